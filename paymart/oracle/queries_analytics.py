@@ -458,7 +458,7 @@ _reg("dq_key_format", " union all ".join([
 _LO = C.target_fraud_rate_pct - C.target_fraud_tolerance_pct
 _HI = C.target_fraud_rate_pct + C.target_fraud_tolerance_pct
 _reg("dq_fraud_rate", f"""
-select r as fraud_rate_pct, {_LO} as lower_pct, {_HI} as upper_pct, coalesce(r between {_LO} and {_HI}, false) as passed
+select r as fraud_rate_pct, cast({_LO} as double) as lower_pct, cast({_HI} as double) as upper_pct, coalesce(r between {_LO} and {_HI}, false) as passed
 from (select {pct_double(count_if('is_fraud'), 'count(is_fraud)')} as r from transactions) a""")
 _reg("dq_status", f"select distinct status from transactions where status not in ({in_list(STATUSES)}) "
      "or status is null")
