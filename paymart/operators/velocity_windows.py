@@ -9,8 +9,9 @@ Plan at scale.  A plain ``PARTITION BY user_id`` window sends all rows of a
 user to one task, so a user holding a third of the data would be one task.
 Instead the rows are split by (user, day): a row at time t in day-bucket b
 only looks back to t - 24 h, which lies in bucket b or b - 1.  Each row is
-therefore emitted twice - once as itself in bucket b and once as a narrow
-*context* row (key columns and timestamp only) in bucket b + 1 - and the
+therefore emitted twice from one scan (``explode``) - once as itself in
+bucket b and once as a narrow *context* row (key columns and timestamp;
+other columns NULL) in bucket b + 1 - and the
 windows run over ``PARTITION BY user_id, bucket``.  Counting every row in the
 frame and then keeping only the non-context rows gives exactly the unsplit
 result.  All three windows share one hash exchange on (user_id, bucket): the
@@ -37,11 +38,16 @@ def add_velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "tr
     w_long = max(cfg.window_1h_us, cfg.window_24h_us)
     bucket_us = w_long  # a frame never reaches further back than one bucket
     us = F.unix_micros(F.col(ts))
-    own = (stg.withColumn(_US, us)
-              .withColumn(_BUCKET, idiv(F.col(_US), F.lit(bucket_us)))
-              .withColumn(_CTX, F.lit(False)))
-    context = own.select(user, category, _US, (F.col(_BUCKET) + 1).alias(_BUCKET), F.lit(True).alias(_CTX))
-    rows = own.unionByName(context, allowMissingColumns=True)
+    keys = {user, category}
+    # one scan: every row is generated twice (itself, and a context copy in
+    # the next bucket whose non-key columns are NULL, so it shuffles narrow)
+    rows = (stg.withColumn(_US, us)
+               .withColumn(_CTX, F.explode(F.array(F.lit(False), F.lit(True)))))
+    ctx = F.col(_CTX)
+    rows = rows.select(
+        *[F.col(c) if c in keys else F.when(~ctx, F.col(c)).alias(c) for c in stg.columns],
+        F.col(_US), ctx,
+        (idiv(F.col(_US), F.lit(bucket_us)) + F.when(ctx, 1).otherwise(0)).alias(_BUCKET))
 
     by_user = Window.partitionBy(user, _BUCKET).orderBy(_US)
     by_user_cat = Window.partitionBy(user, _BUCKET, category).orderBy(_US)

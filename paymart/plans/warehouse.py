@@ -1,8 +1,8 @@
 """The warehouse build: raw -> staging -> enriched -> dimensions -> fact -> marts.
 
 ``Warehouse`` wires the layer functions together and memoises each layer as
-a DataFrame.  With ``materialize=True`` the two layers that feed most marts
-(enriched rows and the fact) are written once as Parquet under the shared
+a DataFrame.  With ``materialize=True`` the layers that feed the marts (enriched rows,
+both dimensions and the fact) are written once as Parquet under the shared
 checkpoint folder and read back: later marts then scan columnar files with
 pruning and pushdown instead of recomputing the velocity windows, and the
 lineage is cut so a lost executor costs a re-read, not a rebuild.
@@ -62,11 +62,11 @@ class Warehouse:
 
     @cached_property
     def dim_users(self) -> DataFrame:
-        return dimensions.dim_users(self.raw["users"], self.as_of)
+        return self._keep(dimensions.dim_users(self.raw["users"], self.as_of), "dim_users")
 
     @cached_property
     def dim_merchants(self) -> DataFrame:
-        return dimensions.dim_merchants(self.raw["merchants"], self.as_of, self.cfg)
+        return self._keep(dimensions.dim_merchants(self.raw["merchants"], self.as_of, self.cfg), "dim_merchants")
 
     @cached_property
     def fct(self) -> DataFrame:

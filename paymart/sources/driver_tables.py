@@ -80,8 +80,9 @@ def transactions_from(events: DataFrame, supplier: DataFrame, nation: DataFrame,
          .where(F.when(uid % 5 == 1, eid % 3 == 0).when(uid % 5 == 2, eid % 12 == 0).otherwise(F.lit(True)))
          .select("event_id", "user_id", "event_type", "value",
                  (F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_2024_US)).alias("off"),
-                 F.get_json_object("props", "$.k").cast("bigint").alias("k")))
-    k = F.col("k")
+                 F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+                 ns.alias("ns")))
+    k, ns = F.col("k"), F.col("ns")
     e = e.withColumn(
         "suppkey",
         F.when(uid % 25 == 1, F.lit(3) % ns)
