@@ -233,16 +233,18 @@ def fraud_loss_tertiles(df: DataFrame) -> DataFrame:
         count_if(F.col("is_fraud")).alias("fraud_txns"), F.sum("fraud_amount").alias("fraud_loss"))
     cuts = per_user.agg(F.percentile(F.col("fraud_txns"), F.array(F.lit(1.0 / 3), F.lit(2.0 / 3)))).scalar()
     x = F.col("fraud_txns")
-    seg = F.when(x <= cuts[0], TERTILES[0]).when(x <= cuts[1], TERTILES[1]).otherwise(TERTILES[2])
-    total_loss = per_user.agg(F.sum("fraud_loss")).scalar()
-    a = per_user.groupBy(seg.alias("segment")).agg(
+    seg = F.when(x <= F.col("_cuts")[0], TERTILES[0]).when(x <= F.col("_cuts")[1], TERTILES[1]).otherwise(TERTILES[2])
+    a = per_user.withColumn("_cuts", cuts).groupBy(seg.alias("segment")).agg(
         F.count(F.lit(1)).alias("users"), rate_double(F.sum("fraud_txns"), F.count(F.lit(1))).alias("fraud_txns"),
         F.sum("fraud_loss").alias("_loss"))
+    # loss share: the grand total is the sum over the (three) segment rows
+    total = F.sum("_loss").over(Window.partitionBy(F.lit(1)))
     order = F.when(F.col("segment") == TERTILES[0], 1).when(F.col("segment") == TERTILES[1], 2).otherwise(3)
     return a.select("segment", order.alias("segment_order"), "users", "fraud_txns",
-                    money(F.col("_loss")).alias("fraud_loss"),
-                    F.when(total_loss > 0, pct_double(F.col("_loss"), total_loss)).otherwise(F.lit(0.0))
-                    .alias("loss_share_pct"))
+                    money(F.col("_loss")).alias("fraud_loss"), total.alias("_total")).select(
+        "segment", "segment_order", "users", "fraud_txns", "fraud_loss",
+        F.when(F.col("_total") > 0, pct_double(F.col("fraud_loss"), F.col("_total"))).otherwise(F.lit(0.0))
+        .alias("loss_share_pct"))
 
 
 # ------------------------------------------------------------------ E16-E20

@@ -164,6 +164,15 @@ def merchant_risk_profiling(dm: DataFrame, fct: DataFrame, cfg: RiskConfig = DEF
     return _stamp(out, as_of)
 
 
+def _newest_joined_ts(fct: DataFrame, du: DataFrame) -> F.Column:
+    """Newest transaction of any user that joins the dimension, as a scalar
+    subquery.  It reads only (user_sk, transaction_ts): Catalyst prunes the
+    score and window columns of the fact's lineage, and the per-task partial
+    max leaves one row per task."""
+    joined = fct.select("user_sk", "transaction_ts").join(du.select("user_sk"), "user_sk", "left_semi")
+    return joined.agg(F.max("transaction_ts")).scalar()
+
+
 # --------------------------------------------------------------------------- A6
 def fraud_customer_segments(fct: DataFrame, du: DataFrame, cfg: RiskConfig = DEFAULT, as_of=None) -> DataFrame:
     """RFM segments per user that joins the user dimension.
@@ -181,7 +190,7 @@ def fraud_customer_segments(fct: DataFrame, du: DataFrame, cfg: RiskConfig = DEF
         F.countDistinct("merchant_category").alias("category_diversity"),
     )
     rfm = per_user.join(du.select("user_sk", "user_id"), "user_sk", "inner")
-    anchor = rfm.agg(F.max("last_transaction_ts")).scalar()
+    anchor = _newest_joined_ts(fct, du)
     rec = R.idiv(F.unix_micros(anchor) - F.unix_micros(F.col("last_transaction_ts")), F.lit(DAY_US))
     out = rfm.select(
         "user_id", rec.alias("recency_days"), "frequency", "monetary_value", "fraud_count", "category_diversity",
@@ -221,8 +230,7 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     newest transaction; immature retention is NULL, not 0.
     """
     uma = user_monthly_activity(fct, du)
-    # month of the newest joined transaction = newest activity month
-    anchor_month = uma.agg(F.max("activity_month")).scalar()
+    anchor_month = F.date_trunc("month", _newest_joined_ts(fct, du))
     first_success = F.min(F.when(F.col("successful_tx_count") > 0, F.col("activity_month"))) \
         .over(Window.partitionBy("user_id"))
     ca = (uma.withColumn("cohort_month", first_success)
@@ -245,7 +253,7 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     )
 
     def mature(k: int) -> F.Column:
-        return (F.col("cohort_month") + F.make_ym_interval(F.lit(0), F.lit(k))) <= anchor_month
+        return (F.col("cohort_month") + F.make_ym_interval(F.lit(0), F.lit(k))) <= F.col("_anchor_month")
 
     per_cohort = per_user.groupBy("cohort_month").agg(
         F.count(F.lit(1)).alias("cohort_size"),
@@ -255,7 +263,7 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
         (F.sum("sum_user_month_score") / F.sum("n_user_months")).alias("_avg_score"),
         F.coalesce(F.sum("high_risk_transactions"), F.lit(0)).cast("long").alias("high_risk_transactions"),
         count_if(F.col("r1")).alias("_r1"), count_if(F.col("r3")).alias("_r3"), count_if(F.col("r6")).alias("_r6"),
-    )
+    ).withColumn("_anchor_month", anchor_month)  # one subquery, referenced as a column
     cols = ["cohort_month", "cohort_size", "total_transactions", "total_volume",
             R.pct(F.col("fraud_tx_count"), F.col("total_transactions")).alias("fraud_rate_pct"),
             R.round_double(F.col("_avg_score")).alias("avg_fraud_risk_score"),

@@ -175,9 +175,9 @@ def dq_watermark(state: DataFrame, tx: DataFrame, table: str = TRANSACTIONS_TABL
     mx = tx.agg(F.max("transaction_ts")).scalar()
     row = state.where(F.col("table_name") == table)
     a = row.agg(F.count(F.lit(1)).alias("_rows"), F.max("last_loaded_ts").alias("last_loaded_ts"),
-                F.max("rows_loaded").alias("rows_loaded"))
+                F.max("rows_loaded").alias("rows_loaded")).select("*", mx.alias("max_transaction_ts"),
+                                                                 n.alias("table_rows"))
     return a.select(
-        (F.col("_rows") == 1).alias("row_exists"), "last_loaded_ts", "rows_loaded",
-        mx.alias("max_transaction_ts"), n.alias("table_rows"),
-        F.coalesce(F.col("rows_loaded") == n, F.lit(False)).alias("rows_match"),
-        F.coalesce(F.col("last_loaded_ts") == mx, F.lit(False)).alias("mark_matches_max"))
+        (F.col("_rows") == 1).alias("row_exists"), "last_loaded_ts", "rows_loaded", "max_transaction_ts",
+        "table_rows", F.coalesce(F.col("rows_loaded") == F.col("table_rows"), F.lit(False)).alias("rows_match"),
+        F.coalesce(F.col("last_loaded_ts") == F.col("max_transaction_ts"), F.lit(False)).alias("mark_matches_max"))

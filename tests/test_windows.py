@@ -56,3 +56,23 @@ def test_split_windows_equal_brute_force(spark, items):
 def test_one_exchange_for_three_windows(spark, wh_small):
     plan = add_velocity_counts(wh_small.stg)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_user_spreads_over_tasks(spark):
+    """One user with most of the rows: the (user, day) split spreads that
+    user over many window tasks instead of one."""
+    from pyspark.sql import functions as F
+    base = dt.datetime(2024, 5, 1)
+    hot = [(f"h{i}", "hot", "X", base + dt.timedelta(minutes=37 * i)) for i in range(1200)]   # ~31 days
+    cold = [(f"c{i}", f"u{i % 5}", "Y", base + dt.timedelta(hours=5 * i)) for i in range(100)]
+    df = spark.createDataFrame(hot + cold, SCHEMA)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")   # keep the hash partitions as planned
+    try:
+        out = add_velocity_counts(df).where(F.col("user_id") == "hot").groupBy(
+            F.spark_partition_id().alias("p")).count()
+        per_task = [r["count"] for r in out.collect()]
+    finally:
+        spark.conf.set(key, "true")
+    assert sum(per_task) == 1200
+    assert len(per_task) >= 4 and max(per_task) < 0.5 * 1200
