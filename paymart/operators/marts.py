@@ -306,3 +306,22 @@ def velocity_anomaly_detection(enr: DataFrame, cfg: RiskConfig = DEFAULT, as_of=
         velocity.breach_type(cfg).alias("velocity_breach_type"),
         "fraud_risk_score", "fraud_risk_level", "fraud_reason", "is_fraud")
     return _stamp(out, as_of)
+
+
+# --------------------------------------------------------------------------- S1, S2
+# Row order the published tables are read in.  Applied only where rows leave
+# the warehouse (exports, reports); a stored table has no order.
+SINK_ORDER = {
+    "daily_overview_kpis": (("day", True),),
+    "daily_merchant_kpis": (("day", True), ("total_revenue", False)),
+    "fraud_analysis_mart": (("fraud_risk_score", False), ("transaction_ts", False)),
+    "velocity_anomaly_detection": (("velocity_score", False), ("transaction_ts", False)),
+}
+
+
+def for_sink(name: str, df: DataFrame) -> DataFrame:
+    """Sort a mart in its published order (a range-partitioned global sort)."""
+    order = SINK_ORDER.get(name)
+    if not order:
+        return df
+    return df.orderBy(*[F.col(c).asc() if asc else F.col(c).desc() for c, asc in order])

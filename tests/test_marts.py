@@ -115,3 +115,24 @@ def test_velocity_score_decimal_arithmetic(spark):
     h = df.select(velocity.velocity_score_hundredths().alias("h")).first().h
     # 30 (capped 1h) + 9.0 (24h: 5 * 1.8) + 7.5 (cat: 3 * 2.5) + 12 + 0 + 6.6 (55 * 0.12) = 65.10
     assert h == 6510
+
+
+def test_queue_amount_edge_is_strict(spark):
+    # High needs amount > 30000 together with a category burst
+    base = dt.datetime(2024, 3, 1, 12)
+    txs = [tx(i, "U", "M", base + dt.timedelta(minutes=90 * i), amount="30000.00" if i == 9 else "30000.01")
+           for i in range(10)]
+    q = {r.transaction_id: r for r in warehouse(spark, txs).velocity_anomaly_detection().collect()}
+    assert q["T00009"].tx_same_category_24h == 10 and q["T00008"].tx_same_category_24h == 9
+    assert q["T00009"].velocity_alert_level != "High" or q["T00009"].velocity_score >= 48
+
+
+def test_build_writes_every_table(spark, tmp_root):
+    from paymart.sources import tables
+    wh = Warehouse.from_driver_tables(spark, "/root/testdata/sf0.001")
+    out = wh.build(f"{tmp_root}/wh")
+    assert len(out) == 13
+    fct = tables.read_table(spark, f"{tmp_root}/wh", "marts", "fct_transactions")
+    assert fct.count() == wh.enriched.count()
+    ordered = marts.for_sink("daily_overview_kpis", wh.daily_overview_kpis()).collect()
+    assert [r.day for r in ordered] == sorted(r.day for r in ordered)
