@@ -101,6 +101,9 @@ class RiskConfig:
     # velocity windows (microseconds)
     window_1h_us: int = 3_600_000_000
     window_24h_us: int = 86_400_000_000
+    # above this many rows in one (user, day) bucket the velocity counts switch
+    # from the bucketed windows to the tiered (time-bounded) plan
+    window_bucket_row_limit: int = 2_000_000
 
     @property
     def velocity_action_24h(self) -> int:

@@ -72,3 +72,117 @@ def add_velocity_counts_unsplit(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: s
         F.count(F.lit(1)).over(by_user.rangeBetween(-cfg.window_24h_us, 0)).alias("tx_count_24h"),
         F.count(F.lit(1)).over(by_user_cat.rangeBetween(-cfg.window_24h_us, 0)).alias("tx_same_category_24h"),
     )
+
+
+# --------------------------------------------------------------------------- tiered
+_M = "_minute"
+_KIND = "_kind"          # 0 = probe (sorts first at equal time), 1 = data
+_N = "_n"
+
+
+def _eq_keys(left: DataFrame, right: DataFrame, cols):
+    return [left[c].eqNullSafe(right[c]) for c in cols]
+
+
+def _tiered_counts(rows: DataFrame, keys: list[str], windows: dict[str, int], fine_us: int) -> DataFrame:
+    """Exact trailing counts per distinct (keys, time) without a per-key sort.
+
+    ``count(t, w) = N(<= t) - N(< t - w)`` where ``N`` is the key's cumulative
+    count.  ``N`` is assembled from two levels, each a window over
+    *aggregated* rows whose partition size is bounded by time units, not by
+    row counts:
+
+    * fine: per (key, minute), running sum over the distinct timestamps of
+      that minute (ties are collapsed by the first aggregate) - at most the
+      number of microseconds in a minute, plus probes;
+    * coarse: per key, running sum over minute totals - at most the number of
+      minutes the key spans, plus probe minutes.
+
+    A probe row at ``t - w`` (weight 0, ordered before data at equal time)
+    reads ``N(< t - w)`` out of the same running sums.
+    """
+    us = F.col(_US)
+    t = rows.groupBy(*keys, _US).agg(F.count(F.lit(1)).alias(_N))          # ties collapse map-side
+    minute = idiv(us, F.lit(fine_us))
+    data = t.select(*keys, _US, minute.alias(_M), _N, F.lit(1).alias(_KIND),
+                    F.lit(None).cast("long").alias("_ref"), F.lit(None).cast("string").alias("_w"))
+    probes = [t.select(*keys, (us - w).alias(_US), idiv(us - w, F.lit(fine_us)).alias(_M), F.lit(0).cast("long").alias(_N),
+                       F.lit(0).alias(_KIND), us.alias("_ref"), F.lit(name).alias("_w"))
+              for name, w in windows.items()]
+    pts = data
+    for p in probes:
+        pts = pts.unionByName(p)
+    fine = Window.partitionBy(*keys, _M).orderBy(_US, _KIND).rowsBetween(Window.unboundedPreceding, 0)
+    pts = pts.withColumn("_cum", F.sum(_N).over(fine))
+
+    minutes = t.groupBy(*keys, minute.alias(_M)).agg(F.sum(_N).alias("_tot"))
+    probe_minutes = pts.where(F.col(_KIND) == 0).select(*keys, _M).distinct()
+    coarse = (minutes.select(*keys, _M, "_tot", F.lit(1).alias(_KIND))
+              .unionByName(probe_minutes.select(*keys, _M, F.lit(0).cast("long").alias("_tot"), F.lit(0).alias(_KIND))))
+    by_key = Window.partitionBy(*keys).orderBy(_M, _KIND).rowsBetween(Window.unboundedPreceding, 0)
+    coarse = coarse.withColumn("_pre", F.sum("_tot").over(by_key) - F.col("_tot"))   # strictly earlier minutes
+
+    def attach(kind: int) -> DataFrame:
+        left = pts.where(F.col(_KIND) == kind).alias("l")
+        right = coarse.where(F.col(_KIND) == kind).select(*keys, _M, "_pre").alias("r")
+        j = left.join(right, _eq_keys(left, right, keys + [_M]), "inner")
+        return j.select(*[F.col(f"l.{c}").alias(c) for c in keys], F.col(f"l.{_US}").alias(_US),
+                        F.col("l._ref").alias("_ref"), F.col("l._w").alias("_w"),
+                        (F.col("r._pre") + F.col("l._cum")).alias("_N"))
+
+    le = attach(1).select(*keys, _US, F.col("_N").alias("_le"))
+    lt = (attach(0).groupBy(*keys, F.col("_ref").alias(_US)).pivot("_w", list(windows)).agg(F.first("_N")))
+    l, r = le.alias("l"), lt.alias("r")
+    j = l.join(r, _eq_keys(l, r, keys + [_US]), "inner")
+    return j.select(*[F.col(f"l.{c}").alias(c) for c in keys], F.col(f"l.{_US}").alias(_US),
+                    *[(F.col("l._le") - F.coalesce(F.col(f"r.{name}"), F.lit(0))).alias(name) for name in windows])
+
+
+def add_velocity_counts_tiered(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
+                               user: str = "user_id", category: str = "merchant_category",
+                               fine_us: int = 60_000_000) -> DataFrame:
+    """Skew-proof formulation: exact counts for any concentration of rows on
+    one user, one day or one timestamp.
+
+    Counts are computed per distinct (user, time) and (user, category, time)
+    with ``_tiered_counts``, the two count tables are joined (aggregated
+    data), and the result is joined back to the rows once on (user,
+    category, time).  A tie group of many rows on one key is a many-to-one
+    join that AQE's skew-join split handles."""
+    rows = stg.withColumn(_US, F.unix_micros(F.col(ts)))
+    per_user = _tiered_counts(rows, [user], {"tx_count_1h": cfg.window_1h_us, "tx_count_24h": cfg.window_24h_us},
+                              fine_us)
+    per_cat = _tiered_counts(rows, [user, category], {"tx_same_category_24h": cfg.window_24h_us}, fine_us)
+    a, b = per_cat.alias("a"), per_user.alias("b")
+    counts = a.join(b, _eq_keys(a, b, [user, _US]), "inner").select(
+        F.col(f"a.{user}").alias(user), F.col(f"a.{category}").alias(category), F.col(f"a.{_US}").alias(_US),
+        "b.tx_count_1h", "b.tx_count_24h", "a.tx_same_category_24h")
+    x, c = rows.alias("x"), counts.alias("c")
+    out = x.join(c, _eq_keys(x, c, [user, category, _US]), "inner")
+    return out.select(*[F.col(f"x.{col}").alias(col) for col in stg.columns],
+                      F.col("c.tx_count_1h").cast("long").alias("tx_count_1h"),
+                      F.col("c.tx_count_24h").cast("long").alias("tx_count_24h"),
+                      F.col("c.tx_same_category_24h").cast("long").alias("tx_same_category_24h"))
+
+
+def hottest_bucket_rows(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
+                        user: str = "user_id") -> int:
+    """Rows in the busiest (user, day-bucket): one aggregate with map-side
+    combine, one number back to the driver."""
+    bucket = idiv(F.unix_micros(F.col(ts)), F.lit(max(cfg.window_1h_us, cfg.window_24h_us)))
+    row = stg.groupBy(user, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+    return int(row[0] or 0)
+
+
+def velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, strategy: str = "auto") -> DataFrame:
+    """Pick the plan: ``bucketed`` (one exchange) unless the busiest
+    (user, day) bucket exceeds ``cfg.window_bucket_row_limit``, then
+    ``tiered`` (every window partition bounded by time units)."""
+    if strategy == "auto":
+        strategy = "tiered" if hottest_bucket_rows(stg, cfg) > cfg.window_bucket_row_limit else "bucketed"
+    if strategy == "tiered":
+        return add_velocity_counts_tiered(stg, cfg)
+    if strategy == "bucketed":
+        return add_velocity_counts(stg, cfg)
+    raise ValueError(f"unknown strategy {strategy!r}")
+

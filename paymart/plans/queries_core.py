@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paymart.functions import scoring
 from paymart.operators import marts
-from paymart.operators.velocity_windows import add_velocity_counts
+from paymart.operators.velocity_windows import add_velocity_counts, add_velocity_counts_tiered
 from paymart.plans.catalog import query
 from paymart.plans.warehouse import Warehouse
 
@@ -41,6 +41,15 @@ def velocity_counts(wh: Warehouse):
         "tx_count_1h", "tx_count_24h", "tx_same_category_24h")
 
 
+@query("velocity_counts_tiered")
+def velocity_counts_tiered(wh: Warehouse):
+    """W1-W3 under the skew-proof plan (two-level prefix sums over distinct
+    timestamps); same result as ``velocity_counts``."""
+    return add_velocity_counts_tiered(wh.stg, wh.cfg).select(
+        "transaction_id", "user_id", "merchant_category", "transaction_ts",
+        "tx_count_1h", "tx_count_24h", "tx_same_category_24h")
+
+
 @query("int_transactions_enriched")
 def int_transactions_enriched(wh: Warehouse):
     """P8-P13, J2."""

@@ -76,3 +76,36 @@ def test_hot_user_spreads_over_tasks(spark):
         spark.conf.set(key, "true")
     assert sum(per_task) == 1200
     assert len(per_task) >= 4 and max(per_task) < 0.5 * 1200
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), st.sampled_from(["X", "Y", None]),
+                          st.integers(0, 3 * 86400 * 10 ** 6)), min_size=1, max_size=60))
+def test_tiered_counts_equal_brute_force(spark, items):
+    from paymart.operators.velocity_windows import add_velocity_counts_tiered
+    base = dt.datetime(2024, 3, 1)
+    rows = [(str(i), u, c, base + dt.timedelta(microseconds=(us // (900 * 10 ** 6)) * 900 * 10 ** 6))
+            for i, (u, c, us) in enumerate(items)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert counts(add_velocity_counts_tiered(df)) == brute(rows)
+
+
+def test_tiered_edges(spark):
+    from paymart.operators.velocity_windows import add_velocity_counts_tiered
+    t1 = T0 + dt.timedelta(hours=1)
+    t2 = t1 + dt.timedelta(hours=1, microseconds=1)
+    df = spark.createDataFrame([("a", "u", "X", T0), ("b", "u", "Y", t1), ("c", "u", "X", t2), ("d", "u", "X", t2)],
+                               SCHEMA)
+    got = counts(add_velocity_counts_tiered(df))
+    assert got == {"a": (1, 1, 1), "b": (2, 2, 1), "c": (2, 4, 3), "d": (2, 4, 3)}
+
+
+def test_strategy_switch(spark):
+    from dataclasses import replace
+    from paymart.config import DEFAULT
+    from paymart.operators.velocity_windows import hottest_bucket_rows, velocity_counts
+    rows = [(str(i), "hot", "X", T0 + dt.timedelta(seconds=i)) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert hottest_bucket_rows(df) == 50
+    low = replace(DEFAULT, window_bucket_row_limit=10)
+    assert counts(velocity_counts(df, low)) == counts(velocity_counts(df, DEFAULT)) == brute(rows)
