@@ -39,10 +39,15 @@ def merged_fact(fct: DataFrame, du: DataFrame, dm: DataFrame) -> DataFrame:
 
 def prepare_transactions(merged: DataFrame) -> DataFrame:
     """Numeric amount (unparseable -> NULL), month label, success
-    flag, and the conditional fraud / success amounts."""
+    flag, and the conditional fraud / success amounts.
+
+    Takes the merged frame (business keys) or the fact itself (surrogate
+    keys, one-to-one with the business keys): analyses that only group by
+    user do not need the dimension lookups."""
     amount = F.col("amount").try_cast("decimal(12,2)")
+    keys = [c for c in ("user_id", "merchant_id", "user_sk", "merchant_sk") if c in merged.columns]
     return merged.select(
-        "transaction_id", "user_id", "merchant_id", "merchant_category", "payment_method",
+        "transaction_id", *keys, "merchant_category", "payment_method",
         amount.alias("amount"), "currency", "status", flag_true("is_fraud").alias("is_fraud"), "device_type",
         "city", "state", "transaction_ts",
         F.date_format("transaction_ts", "yyyy-MM").alias("month"),
@@ -202,15 +207,20 @@ def _round_half_even_pct(num: F.Column, den: F.Column) -> F.Column:
     return (q + F.when(up, 1).otherwise(0)).cast("double")
 
 
+def _user_key(df: DataFrame) -> str:
+    return "user_id" if "user_id" in df.columns else "user_sk"
+
+
 def eda_cohort_matrix(df: DataFrame, max_offset: int = 5) -> DataFrame:
     """cohort = month of a user's first transaction of any status; %
     of the cohort active at month offsets 0..5, rounded half to even.
 
     Per-user first month is an aggregate; activity is the distinct
     (user, month) set; both are grouped data, so no per-row join happens."""
-    um = (df.where(F.col("user_id").isNotNull())
-          .select("user_id", F.date_trunc("month", "transaction_ts").alias("activity")).distinct())
-    cohort = F.min("activity").over(Window.partitionBy("user_id"))
+    user = _user_key(df)
+    um = (df.where(F.col(user).isNotNull())
+          .select(user, F.date_trunc("month", "transaction_ts").alias("activity")).distinct())
+    cohort = F.min("activity").over(Window.partitionBy(user))
     off = um.withColumn("cohort", cohort).withColumn(
         "offset", (F.year("activity") - F.year("cohort")) * 12 + (F.month("activity") - F.month("cohort")))
     off = off.where(F.col("offset").between(0, max_offset))
@@ -229,7 +239,8 @@ def fraud_loss_tertiles(df: DataFrame) -> DataFrame:
     """Users cut into tertiles of their fraud-transaction count (exact
     interpolated quantiles; a value equal to a cut point goes to the lower
     bin).  The cut points are one global aggregate over per-user counts."""
-    per_user = df.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+    user = _user_key(df)
+    per_user = df.where(F.col(user).isNotNull()).groupBy(user).agg(
         count_if(F.col("is_fraud")).alias("fraud_txns"), F.sum("fraud_amount").alias("fraud_loss"))
     cuts = per_user.agg(F.percentile(F.col("fraud_txns"), F.array(F.lit(1.0 / 3), F.lit(2.0 / 3)))).scalar()
     x = F.col("fraud_txns")

@@ -205,11 +205,10 @@ def fraud_customer_segments(fct: DataFrame, du: DataFrame, cfg: RiskConfig = DEF
 
 
 # --------------------------------------------------------------------------- A7-A10
-def user_monthly_activity(fct: DataFrame, du: DataFrame) -> DataFrame:
-    """Per user and calendar month: counts, amount, fraud, mean score,
-    high-risk and successful counts (users that join the dimension)."""
-    tx = fct.where(F.col("user_sk").isNotNull()).join(du.select("user_sk", "user_id"), "user_sk", "inner")
-    return tx.groupBy("user_id", F.date_trunc("month", "transaction_ts").alias("activity_month")).agg(
+def _monthly_by_user_sk(fct: DataFrame) -> DataFrame:
+    """Per user key and calendar month, aggregated from the fact first."""
+    return fct.where(F.col("user_sk").isNotNull()).groupBy(
+        "user_sk", F.date_trunc("month", "transaction_ts").alias("activity_month")).agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum("amount").alias("total_amount"),
         count_if(_is_fraud()).alias("fraud_tx_count"),
@@ -219,6 +218,17 @@ def user_monthly_activity(fct: DataFrame, du: DataFrame) -> DataFrame:
     )
 
 
+def user_monthly_activity(fct: DataFrame, du: DataFrame) -> DataFrame:
+    """Per user and calendar month: counts, amount, fraud, mean score,
+    high-risk and successful counts, for users that join the dimension.
+    The fact is aggregated per (user key, month) before the join, so only
+    one row per user-month meets the dimension."""
+    agg = _monthly_by_user_sk(fct)
+    return agg.join(du.select("user_sk", "user_id"), "user_sk", "inner").select(
+        "user_id", "activity_month", "tx_count", "total_amount", "fraud_tx_count", "avg_risk_score",
+        "high_risk_transactions", "successful_tx_count")
+
+
 def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     """Acquisition cohorts by month of the first *successful* transaction.
 
@@ -229,10 +239,11 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     A cohort is mature for k months when cohort month + k <= month of the
     newest transaction; immature retention is NULL, not 0.
     """
-    uma = user_monthly_activity(fct, du)
+    # user-months of users present in the dimension (semi join on aggregated rows)
+    uma = _monthly_by_user_sk(fct).join(du.select("user_sk"), "user_sk", "left_semi")
     anchor_month = F.date_trunc("month", _newest_joined_ts(fct, du))
     first_success = F.min(F.when(F.col("successful_tx_count") > 0, F.col("activity_month"))) \
-        .over(Window.partitionBy("user_id"))
+        .over(Window.partitionBy("user_sk"))
     ca = (uma.withColumn("cohort_month", first_success)
           .where(F.col("cohort_month").isNotNull() & (F.col("activity_month") >= F.col("cohort_month")))
           .withColumn("month_offset",
@@ -242,7 +253,7 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     def retained(k: int) -> F.Column:
         return F.max((F.col("month_offset") == k) & (F.col("successful_tx_count") > 0))
 
-    per_user = ca.groupBy("cohort_month", "user_id").agg(
+    per_user = ca.groupBy("cohort_month", "user_sk").agg(
         F.sum("tx_count").alias("tx_count"),
         F.sum("total_amount").alias("total_amount"),
         F.sum("fraud_tx_count").alias("fraud_tx_count"),

@@ -57,7 +57,7 @@ query("top_velocity_users")(lambda wh: D.top_velocity_users(wh.velocity_anomaly_
 query("top_merchants_by_fraud_loss")(lambda wh: D.top_merchants_by_fraud_loss(wh.fct, wh.dim_merchants, wh.cfg))
 
 # --------------------------------------------------------------- EDA
-query("eda_prepared")(lambda wh: wh.eda_frame())
+query("eda_prepared")(lambda wh: wh.eda_frame(business_keys=True))
 query("eda_headline")(lambda wh: E.eda_headline(wh.eda_frame()))
 query("eda_monthly_volume")(lambda wh: E.eda_monthly_volume(wh.eda_frame()))
 query("eda_status_mix")(lambda wh: E.eda_status_mix(wh.eda_frame()))

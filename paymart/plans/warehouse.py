@@ -104,9 +104,15 @@ class Warehouse:
     def velocity_anomaly_detection(self) -> DataFrame:
         return marts.velocity_anomaly_detection(self.enriched, self.cfg)
 
-    def eda_frame(self) -> DataFrame:
+    def eda_frame(self, business_keys: bool = False) -> DataFrame:
+        """The notebooks' prepared frame.  With ``business_keys`` the user and
+        merchant ids are looked up in the dimensions (two joins); without,
+        the fact's surrogate keys stand in for them (one-to-one), which is
+        all the per-user analyses need."""
         from paymart.operators import eda
-        return eda.prepare_transactions(eda.merged_fact(self.fct, self.dim_users, self.dim_merchants))
+        base = (eda.merged_fact(self.fct, self.dim_users, self.dim_merchants) if business_keys
+                else self.fct)
+        return eda.prepare_transactions(base)
 
     # whole build ------------------------------------------------------------
     MARTS = ("user_metrics", "hourly_fraud_trends", "daily_overview_kpis", "daily_merchant_kpis",
