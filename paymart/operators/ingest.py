@@ -14,9 +14,11 @@ insert-if-absent guarded by a high-water mark on ``transaction_ts``.
 * The mark advances only after a non-empty load: max timestamp of the
   filtered batch and its row count.
 
-Tables are Parquet folders; a load writes the new version to a fresh
-folder, then the state table last, so a failed job leaves the previous
-version and mark in place.
+Storage: the transactions table is append-only - each load writes only the
+rows it adds into a new folder and commits it in a manifest; dimensions and
+the state table are small and written as whole new versions behind a
+pointer.  Data is written first and the mark last, so a failed job leaves
+the previous tables and mark in place.
 """
 
 from __future__ import annotations
@@ -58,10 +60,15 @@ def first_per_key(batch: DataFrame, key: str, order: tuple[str, ...] = ("transac
     return picked.select("_r.*")
 
 
+def new_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The rows an insert-if-absent adds: one per key, keys not stored yet.
+    Only the stored key column is read for the anti join."""
+    return first_per_key(batch, key).join(target.select(key), key, "left_anti").select(*target.columns)
+
+
 def insert_new(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """IO5 (``ON CONFLICT DO NOTHING``): existing rows win."""
-    fresh = first_per_key(batch, key).join(target.select(key), key, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(new_rows(target, batch, key))
 
 
 def assert_unique_keys(batch: DataFrame, key: str) -> None:
@@ -138,8 +145,11 @@ def _pointer(root: str, name: str) -> str:
 def _current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The published version of a table (empty table before the first load).
     The version pointer is a one-line text dataset written by Spark, so it
-    lives on the same shared storage as the data."""
+    lives on the same shared storage as the data.  Transactions are
+    append-only: the table is the union of its committed load folders."""
     from pyspark.errors import AnalysisException
+    if name == "transactions":
+        return _committed_loads(spark, root)
     try:
         version = spark.read.text(_pointer(root, name)).first()
     except AnalysisException:
@@ -154,6 +164,28 @@ def _publish(spark: SparkSession, root: str, name: str, version: str) -> None:
         _pointer(root, name))
 
 
+def _manifest(root: str) -> str:
+    return f"{root.rstrip('/')}/raw/transactions/_MANIFEST"
+
+
+def _committed_loads(spark: SparkSession, root: str) -> DataFrame:
+    """Union of the committed load folders (one manifest line per load; a
+    folder written by a failed load is never listed)."""
+    from pyspark.errors import AnalysisException
+    try:
+        versions = [r[0] for r in spark.read.text(_manifest(root)).collect()]
+    except AnalysisException:
+        versions = []
+    if not versions:
+        return rawsrc.empty(spark, "transactions")
+    paths = [f"{root.rstrip('/')}/raw/transactions/v={v}" for v in sorted(versions)]
+    return spark.read.schema(schemas.TRANSACTIONS).parquet(*paths)
+
+
+def _commit_load(spark: SparkSession, root: str, version: str) -> None:
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(_manifest(root))
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """IO13 for the raw layer: the latest published version of a table."""
     return _current(spark, root, name)
@@ -162,9 +194,10 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
 def reset_raw(spark: SparkSession, root: str) -> None:
     """IO11: empty all raw tables and the load state."""
     version = _new_version()
-    for name in ("users", "merchants", "transactions", "watermark"):
+    for name in ("users", "merchants", "watermark"):
         _write_version(rawsrc.empty(spark, name), root, name, version)
         _publish(spark, root, name, version)
+    spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(_manifest(root))
 
 
 def load_dimension(spark: SparkSession, batch: DataFrame, root: str, name: str, as_of=None) -> str:
@@ -192,10 +225,11 @@ def load_transactions(spark: SparkSession, batch: DataFrame, root: str, as_of: d
         return LoadReport(TRANSACTIONS_TABLE, n_in, 0, n_in, "")
     version = _new_version(as_of)
     target = _current(spark, root, "transactions")
-    path = _write_version(insert_new(target, fresh, "transaction_id"), root, "transactions", version)
+    # append-only: write just the rows this load adds, then commit the folder
+    path = _write_version(new_rows(target, fresh, "transaction_id"), root, "transactions", version)
     new_state = advance_watermark(state, fresh, TRANSACTIONS_TABLE, as_of)
     _write_version(new_state, root, "watermark", version)
-    _publish(spark, root, "transactions", version)
+    _commit_load(spark, root, version)
     _publish(spark, root, "watermark", version)   # the mark moves last
     return LoadReport(TRANSACTIONS_TABLE, n_in, n_new, n_in - n_new, path)
 

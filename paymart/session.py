@@ -43,12 +43,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     Taken from the session (``spark.checkpoint.dir``); only when unset - as in
     local tests - a folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no local context
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="paymart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
