@@ -155,3 +155,10 @@ def dq_watermark(wh: Warehouse):
 # --------------------------------------------------------------- export
 query("export_velocity")(lambda wh: X.shape_for_export(R.rpt_velocity_anomaly_detection(
     wh.velocity_anomaly_detection())))
+query("export_cohort")(lambda wh: X.shape_for_export(R.rpt_cohort_analysis(wh.cohort_analysis())))
+query("export_segments")(lambda wh: X.shape_for_export(R.rpt_fraud_customer_segments(wh.fraud_customer_segments())))
+query("export_hourly")(lambda wh: X.shape_for_export(R.rpt_hourly_fraud_trends(wh.hourly_fraud_trends())))
+query("export_merchant")(lambda wh: X.shape_for_export(R.rpt_merchant_risk_profiling(wh.merchant_risk_profiling())))
+query("export_daily_kpis")(lambda wh: X.shape_for_export(wh.daily_overview_kpis()))
+query("export_dim_users")(lambda wh: X.shape_for_export(wh.dim_users))
+query("export_fraud_mart")(lambda wh: X.shape_for_export(wh.fraud_analysis_mart()))
