@@ -26,9 +26,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 9))
+        return repr(float(v))
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
