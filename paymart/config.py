@@ -113,6 +113,27 @@ class RiskConfig:
 DEFAULT = RiskConfig()
 
 
+# Output labels and tokens, each list in the order its rule
+# tests them (they must equal the published warehouse's strings).
+SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+REASON_LABELS = ("Odd Hour", "High Amount", "Risky Category", "Velocity Spike (1h)", "Velocity Spike (24h)")
+REASON_SEPARATOR = " | "
+ALERT_LEVELS = ("Critical", "High", "Medium", "Low")
+BREACH_TYPES = ("Compound Velocity Breach", "High Velocity (1 Hour)", "High Velocity (24 Hours)",
+                "Category Concentration", "Elevated Velocity")
+RECENCY_SEGMENTS = ("Active", "Recent", "Lapsed", "Inactive")
+FREQUENCY_SEGMENTS = ("High Frequency", "Medium Frequency", "Low Frequency")
+MONETARY_SEGMENTS = ("High Value", "Medium Value", "Low Value")
+FRAUD_SEGMENTS = ("Repeat Fraudster", "Single Fraud", "Clean")
+MERCHANT_TIERS = ("No Activity", "Insufficient Volume", "High Risk", "Medium Risk", "Low Risk")
+AMOUNT_BUCKETS = ((0, "<₹1K"), (1000, "₹1–5K"), (5000, "₹5–10K"), (10000, "₹10–25K"), (25000, "₹25–50K"),
+                  (50000, "₹50K+"))
+SCORE_BUCKETS = ((30, "Low"), (50, "Med"), (70, "High"), (100, "Critical"))
+DAY_ORDER = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+TERTILES = ("Low repeat", "Medium repeat", "High repeat")
+STEP_UP_CATEGORIES = ("Travel", "Electronics")
+STEP_UP_MIN_AMOUNT = 10000
+
 # Accepted domains of the raw columns.
 MERCHANT_CATEGORIES = (
     "Electronics", "Entertainment", "Fashion", "Food & Beverage",

@@ -10,18 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, RiskConfig
+from paymart.config import DEFAULT, REASON_LABELS, REASON_SEPARATOR, RISK_LEVELS, SURROGATE_NULL_TOKEN, RiskConfig
 
-# Fixed value: the token that stands for NULL inside a hashed surrogate key.
-SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
-
-# Reason labels, in the order they are listed.
-REASON_ODD_HOUR = "Odd Hour"
-REASON_HIGH_AMOUNT = "High Amount"
-REASON_RISKY_CATEGORY = "Risky Category"
-REASON_SPIKE_1H = "Velocity Spike (1h)"
-REASON_SPIKE_24H = "Velocity Spike (24h)"
-REASON_SEPARATOR = " | "
+(REASON_ODD_HOUR, REASON_HIGH_AMOUNT, REASON_RISKY_CATEGORY, REASON_SPIKE_1H, REASON_SPIKE_24H) = REASON_LABELS
 
 
 def _c(x) -> Column:
@@ -76,10 +67,11 @@ def fraud_score_from_counts(is_high, is_risky, is_odd, count_1h, count_24h, cfg:
 
 def risk_level(score="fraud_risk_score", cfg: RiskConfig = DEFAULT) -> Column:
     s = _c(score)
-    return (F.when(s >= cfg.level_critical, "critical")
-            .when(s >= cfg.level_high, "high")
-            .when(s >= cfg.level_medium, "medium")
-            .otherwise("low"))
+    low, medium, high, critical = RISK_LEVELS
+    return (F.when(s >= cfg.level_critical, critical)
+            .when(s >= cfg.level_high, high)
+            .when(s >= cfg.level_medium, medium)
+            .otherwise(low))
 
 
 def fraud_reason(odd="is_odd_hour", high="is_high_amount", risky="is_risky_merchant_category",

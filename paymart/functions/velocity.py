@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, RiskConfig
+from paymart.config import ALERT_LEVELS, BREACH_TYPES, DEFAULT, RiskConfig
 
 
 def _c(x) -> Column:
@@ -64,10 +64,11 @@ def alert_level(cfg: RiskConfig = DEFAULT, score_h="velocity_score_h") -> Column
             | ((nc >= cfg.velocity_category_high) & (amount > cfg.velocity_high_amount_threshold)))
     medium = ((s >= cfg.velocity_score_medium * 100) | (n1 >= cfg.velocity_tx_1h_medium)
               | (n24 >= cfg.velocity_tx_24h_medium))
-    return (F.when(F.coalesce(critical, F.lit(False)), "Critical")
-            .when(F.coalesce(high, F.lit(False)), "High")
-            .when(F.coalesce(medium, F.lit(False)), "Medium")
-            .otherwise("Low"))
+    l_crit, l_high, l_med, l_low = ALERT_LEVELS
+    return (F.when(F.coalesce(critical, F.lit(False)), l_crit)
+            .when(F.coalesce(high, F.lit(False)), l_high)
+            .when(F.coalesce(medium, F.lit(False)), l_med)
+            .otherwise(l_low))
 
 
 def is_critical(cfg: RiskConfig = DEFAULT, score_h="velocity_score_h") -> Column:
@@ -84,12 +85,7 @@ def action_required(cfg: RiskConfig = DEFAULT, score_h="velocity_score_h") -> Co
     return F.coalesce(cond, F.lit(False))
 
 
-# Breach-type labels.
-BREACH_COMPOUND = "Compound Velocity Breach"
-BREACH_1H = "High Velocity (1 Hour)"
-BREACH_24H = "High Velocity (24 Hours)"
-BREACH_CATEGORY = "Category Concentration"
-BREACH_ELEVATED = "Elevated Velocity"
+BREACH_COMPOUND, BREACH_1H, BREACH_24H, BREACH_CATEGORY, BREACH_ELEVATED = BREACH_TYPES
 
 
 def breach_type(cfg: RiskConfig = DEFAULT) -> Column:

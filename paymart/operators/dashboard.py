@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, RiskConfig
+from paymart.config import (DEFAULT, MERCHANT_TIERS, MONETARY_SEGMENTS, RECENCY_SEGMENTS, STEP_UP_CATEGORIES,
+                            STEP_UP_MIN_AMOUNT, RiskConfig)
 from paymart.functions.rounding import money, safe_ratio
 from paymart.functions.scoring import count_if, flag_true
 
@@ -82,7 +83,7 @@ def fraud_loss_category_method(fct: DataFrame) -> DataFrame:
 def merchant_review_list(profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Reliable merchants that are High Risk or above the high fraud %."""
     return profile.where(F.col("is_rate_reliable") & (
-        (F.col("merchant_risk_category") == "High Risk")
+        (F.col("merchant_risk_category") == MERCHANT_TIERS[2])
         | (F.col("fraud_rate_pct") > cfg.merchant_risk_high_fraud_rate_pct)))
 
 
@@ -101,10 +102,6 @@ def segment_matrix(segments: DataFrame) -> DataFrame:
         F.sum("fraud_count").cast("long").alias("fraud_transactions"))
 
 
-STEP_UP_CATEGORIES = ("Travel", "Electronics")
-STEP_UP_MIN_AMOUNT = 10000
-
-
 def step_up_candidates(fct: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Risky-category, high-ticket, odd-hour transactions (a pushed-down
     filter over the fact)."""
@@ -117,7 +114,8 @@ def step_up_candidates(fct: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 def win_back_list(segments: DataFrame) -> DataFrame:
     """High-value lapsed customers without fraud."""
-    return segments.where((F.col("monetary_segment") == "High Value") & (F.col("recency_segment") == "Lapsed")
+    return segments.where((F.col("monetary_segment") == MONETARY_SEGMENTS[0])
+                          & (F.col("recency_segment") == RECENCY_SEGMENTS[2])
                           & (F.col("fraud_count") == 0))
 
 

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, PAYMENT_METHODS, STATUSES, RiskConfig
+from paymart.config import (AMOUNT_BUCKETS, DAY_ORDER, DEFAULT, PAYMENT_METHODS, SCORE_BUCKETS, STATUSES, TERTILES,
+                            RiskConfig)
 from paymart.functions import rounding, segments
 from paymart.functions.rounding import idiv, money, round_double
 from paymart.functions.scoring import count_if, flag_true
@@ -154,11 +155,6 @@ def fraud_matrix_category_method(df: DataFrame, methods=PAYMENT_METHODS) -> Data
     return p.select("merchant_category", *[F.col(m).alias(f"fraud_pct_{_snake(m)}") for m in methods])
 
 
-# Ticket-size buckets (lower bound inclusive) and their labels.
-AMOUNT_BUCKETS = ((0, "<₹1K"), (1000, "₹1–5K"), (5000, "₹5–10K"), (10000, "₹10–25K"),
-                  (25000, "₹25–50K"), (50000, "₹50K+"))
-
-
 def _amount_bucket(amount: F.Column):
     label, order = None, None
     for i, (lo, name) in reversed(list(enumerate(AMOUNT_BUCKETS))):
@@ -181,10 +177,6 @@ def fraud_by_amount_bucket(df: DataFrame) -> DataFrame:
                     (F.col("_loss") > 0).alias("has_loss"))
 
 
-# Weekday names, Monday first.
-DAY_ORDER = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
-
-
 def fraud_matrix_dow_hour(df: DataFrame) -> DataFrame:
     """Fraud % per weekday (rows, Monday first) x hour (24 columns)."""
     cell = df.groupBy(F.date_format("transaction_ts", "EEEE").alias("dow"),
@@ -231,10 +223,6 @@ def eda_cohort_matrix(df: DataFrame, max_offset: int = 5) -> DataFrame:
                                 for k in range(max_offset + 1)])
 
 
-# Tertile labels.
-TERTILES = ("Low repeat", "Medium repeat", "High repeat")
-
-
 def fraud_loss_tertiles(df: DataFrame) -> DataFrame:
     """Users cut into tertiles of their fraud-transaction count (exact
     interpolated quantiles; a value equal to a cut point goes to the lower
@@ -259,10 +247,6 @@ def fraud_loss_tertiles(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ E16-E20
-# Score buckets (upper bound inclusive; the first includes 0).
-SCORE_BUCKETS = ((30, "Low"), (50, "Med"), (70, "High"), (100, "Critical"))
-
-
 def risk_calibration(enr: DataFrame) -> DataFrame:
     """Observed fraud rate per score bucket (0,30] (30,50] (50,70]
     (70,100], 0 counted in the first."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, RiskConfig
+from paymart.config import DEFAULT, FRAUD_SEGMENTS, MONETARY_SEGMENTS, RISK_LEVELS, RiskConfig
 from paymart.functions.rounding import money, safe_ratio
 from paymart.functions.scoring import count_if, flag_true
 
@@ -78,7 +78,7 @@ def kpi_fraud(fct: DataFrame) -> DataFrame:
         count_if(fraud).alias("fraud_transactions"),
         F.coalesce(F.sum(F.when(fraud, F.col("amount"))), F.lit(0)).cast("decimal(38,2)").alias("_loss"),
         F.coalesce(F.sum(F.when(_success(), F.col("amount"))), F.lit(0)).cast("decimal(38,2)").alias("_gmv"),
-        count_if(F.col("fraud_risk_level").isin("high", "critical")).alias("high_risk_transactions"),
+        count_if(F.col("fraud_risk_level").isin(*RISK_LEVELS[2:])).alias("high_risk_transactions"),
         F.sum("fraud_risk_score").alias("_score_sum"),
         F.count("fraud_risk_score").alias("_score_n"),
     )
@@ -130,9 +130,9 @@ def kpi_customers(segments: DataFrame, du: DataFrame) -> DataFrame:
     over the user dimension, no join)."""
     tenure = du.agg(safe_ratio(F.sum("days_since_registration"), F.count("days_since_registration"))).scalar()
     a = segments.agg(
-        count_if(F.col("fraud_segment").isin("Single Fraud", "Repeat Fraudster")).alias("fraud_prone_customers"),
-        count_if(F.col("monetary_segment") == "High Value").alias("high_monetary_customers"),
-        count_if(F.col("fraud_segment") == "Repeat Fraudster").alias("repeat_fraudster_count"))
+        count_if(F.col("fraud_segment").isin(*FRAUD_SEGMENTS[:2])).alias("fraud_prone_customers"),
+        count_if(F.col("monetary_segment") == MONETARY_SEGMENTS[0]).alias("high_monetary_customers"),
+        count_if(F.col("fraud_segment") == FRAUD_SEGMENTS[0]).alias("repeat_fraudster_count"))
     return a.select("*", tenure.alias("avg_days_since_registration"))
 
 

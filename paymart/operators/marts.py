@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.config import DEFAULT, RiskConfig
+from paymart.config import DEFAULT, RISK_LEVELS, RiskConfig
 from paymart.functions import rounding as R
 from paymart.functions import scoring, segments, velocity
 from paymart.functions.scoring import count_if
@@ -34,7 +34,7 @@ def _is_fraud() -> F.Column:
 
 
 def _high_or_critical() -> F.Column:
-    return F.col("fraud_risk_level").isin("high", "critical")
+    return F.col("fraud_risk_level").isin(*RISK_LEVELS[2:])
 
 
 # --------------------------------------------------------------------------- A1
