@@ -59,6 +59,14 @@ def prepare_transactions(merged: DataFrame) -> DataFrame:
     })
 
 
+def amount_coercion_report(merged: DataFrame) -> DataFrame:
+    """How many amounts the numeric coercion turned into NULL (the
+    notebooks log this count as a warning)."""
+    coerced = F.col("amount").isNotNull() & F.col("amount").try_cast("decimal(12,2)").isNull()
+    return merged.agg(F.count(F.lit(1)).alias("rows"), count_if(coerced).alias("coerced_to_null"),
+                      count_if(F.col("amount").isNull()).alias("null_amounts"))
+
+
 # ------------------------------------------------------------------ E1-E8
 def eda_headline(df: DataFrame) -> DataFrame:
     """Attempt volume, success GMV, capture rate (NULL with no attempts)."""

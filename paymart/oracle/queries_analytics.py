@@ -240,6 +240,11 @@ def _eda(name: str, final: str, *ctes: str) -> None:
 
 _eda("eda_prepared", "select * replace (cast(amount as double) as amount, cast(fraud_amount as double) as fraud_amount, "
      "cast(success_amount as double) as success_amount) from ep")
+_reg("eda_amount_coercion", f"""
+select count(*) as rows,
+       {count_if('amount is not null and try_cast(amount as decimal(12,2)) is null')} as coerced_to_null,
+       {count_if('amount is null')} as null_amounts
+from fct""")
 _eda("eda_headline", f"""
 select cast(coalesce(sum(amount), 0) as double) as attempt_volume,
        cast(coalesce(sum(success_amount), 0) as double) as success_gmv,

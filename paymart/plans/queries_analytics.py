@@ -58,6 +58,7 @@ query("top_merchants_by_fraud_loss")(lambda wh: D.top_merchants_by_fraud_loss(wh
 
 # --------------------------------------------------------------- EDA
 query("eda_prepared")(lambda wh: wh.eda_frame(business_keys=True))
+query("eda_amount_coercion")(lambda wh: E.amount_coercion_report(wh.fct))
 query("eda_headline")(lambda wh: E.eda_headline(wh.eda_frame()))
 query("eda_monthly_volume")(lambda wh: E.eda_monthly_volume(wh.eda_frame()))
 query("eda_status_mix")(lambda wh: E.eda_status_mix(wh.eda_frame()))
