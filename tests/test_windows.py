@@ -109,3 +109,18 @@ def test_strategy_switch(spark):
     assert hottest_bucket_rows(df) == 50
     low = replace(DEFAULT, window_bucket_row_limit=10)
     assert counts(velocity_counts(df, low)) == counts(velocity_counts(df, DEFAULT)) == brute(rows)
+
+
+def test_hot_user_day_tiered_equals_unsplit(spark):
+    """A third of the rows on one user inside one day: the auto plan switches
+    to the tiered counts and matches the reference formulation."""
+    from dataclasses import replace
+    from paymart.config import DEFAULT
+    from paymart.operators.velocity_windows import velocity_counts
+    day = dt.datetime(2024, 4, 2)
+    hot = [(f"h{i}", "hot", "XY"[i % 2], day + dt.timedelta(seconds=7 * i)) for i in range(3000)]
+    ties = [(f"t{i}", "hot", "X", day + dt.timedelta(hours=3)) for i in range(200)]
+    rest = [(f"r{i}", f"u{i % 40}", "Y", day + dt.timedelta(minutes=11 * i)) for i in range(6000)]
+    df = spark.createDataFrame(hot + ties + rest, SCHEMA)
+    cfg = replace(DEFAULT, window_bucket_row_limit=1000)
+    assert counts(velocity_counts(df, cfg)) == counts(add_velocity_counts_unsplit(df))
