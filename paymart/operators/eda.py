@@ -96,14 +96,16 @@ def eda_status_mix(df: DataFrame) -> DataFrame:
 
 def daily_success_rate_ma7(df: DataFrame) -> DataFrame:
     """Daily success %, its 7-row moving average (rows are days with
-    data; from the first row on) and the platform average.  The window runs
-    over the daily aggregate, one row per calendar day."""
-    platform = df.agg(pct_double(count_if(F.col("is_success")), F.count(F.lit(1)))).scalar()
+    data; from the first row on) and the platform average.  Both windows run
+    over the daily aggregate (one row per calendar day), so the fact is read
+    once."""
     daily = df.groupBy(F.to_date("transaction_ts").alias("day")).agg(
-        pct_double(count_if(F.col("is_success")), F.count(F.lit(1))).alias("pct"))
+        count_if(F.col("is_success")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    everything = Window.partitionBy(F.lit(0))
+    platform = pct_double(F.sum("_s").over(everything), F.sum("_n").over(everything))
     w = Window.orderBy("day").rowsBetween(-6, 0)
-    return daily.select("day", "pct", round_double(F.avg("pct").over(w), 6).alias("ma7"),
-                        platform.alias("platform_pct"))
+    daily = daily.select("day", pct_double(F.col("_s"), F.col("_n")).alias("pct"), platform.alias("platform_pct"))
+    return daily.select("day", "pct", round_double(F.avg("pct").over(w), 6).alias("ma7"), "platform_pct")
 
 
 def _snake(v: str) -> str:
@@ -143,11 +145,13 @@ def monthly_atv(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ E9-E13
 def monthly_fraud_rate(df: DataFrame) -> DataFrame:
-    """Monthly fraud % next to the platform %."""
-    platform = df.agg(pct_double(count_if(F.col("is_fraud")), F.count(F.lit(1)))).scalar()
-    return df.groupBy("month").agg(
-        pct_double(count_if(F.col("is_fraud")), F.count(F.lit(1))).alias("fraud_rate_pct")
-    ).select("month", "fraud_rate_pct", platform.alias("platform_fraud_rate_pct"))
+    """Monthly fraud % next to the platform % (summed from the monthly
+    rows; one pass over the fact)."""
+    m = df.groupBy("month").agg(count_if(F.col("is_fraud")).alias("_f"), F.count(F.lit(1)).alias("_n"))
+    everything = Window.partitionBy(F.lit(0))
+    return m.select("month", pct_double(F.col("_f"), F.col("_n")).alias("fraud_rate_pct"),
+                    pct_double(F.sum("_f").over(everything), F.sum("_n").over(everything))
+                    .alias("platform_fraud_rate_pct"))
 
 
 def monthly_fraud_loss(df: DataFrame) -> DataFrame:
