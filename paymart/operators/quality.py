@@ -171,12 +171,13 @@ def dq_status(tx: DataFrame) -> DataFrame:
 def dq_watermark(state: DataFrame, tx: DataFrame, table: str = TRANSACTIONS_TABLE) -> DataFrame:
     """Q13: the load-state row exists, counts the loaded rows and marks the
     newest loaded timestamp (two scalars compared)."""
-    n = tx.agg(F.count(F.lit(1))).scalar()
-    mx = tx.agg(F.max("transaction_ts")).scalar()
+    # one scalar subquery (a struct) = one pass over the table for both numbers
+    facts = tx.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max("transaction_ts").alias("mx"))).scalar()
     row = state.where(F.col("table_name") == table)
     a = row.agg(F.count(F.lit(1)).alias("_rows"), F.max("last_loaded_ts").alias("last_loaded_ts"),
-                F.max("rows_loaded").alias("rows_loaded")).select("*", mx.alias("max_transaction_ts"),
-                                                                 n.alias("table_rows"))
+                F.max("rows_loaded").alias("rows_loaded")).withColumn("_facts", facts).select(
+        "_rows", "last_loaded_ts", "rows_loaded", F.col("_facts.mx").alias("max_transaction_ts"),
+        F.col("_facts.n").alias("table_rows"))
     return a.select(
         (F.col("_rows") == 1).alias("row_exists"), "last_loaded_ts", "rows_loaded", "max_transaction_ts",
         "table_rows", F.coalesce(F.col("rows_loaded") == F.col("table_rows"), F.lit(False)).alias("rows_match"),
