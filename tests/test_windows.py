@@ -113,7 +113,7 @@ def test_strategy_switch(spark):
 
 def test_hot_user_day_tiered_equals_unsplit(spark):
     """A third of the rows on one user inside one day: the auto plan switches
-    to the tiered counts and matches the reference formulation."""
+    to the tiered counts and matches the unsplit formulation."""
     from dataclasses import replace
     from paymart.config import DEFAULT
     from paymart.operators.velocity_windows import velocity_counts
