@@ -18,6 +18,10 @@ result.  All three windows share one hash exchange on (user_id, bucket): the
 per-category window partitions by a superset of those keys.  A user's load
 is spread over the days it is active; the frame buffer of a task holds at
 most one user-day of rows.
+
+When a single user-day (or a single timestamp) is itself very large,
+``velocity_counts`` switches to the *tiered* plan below, whose window
+partitions are bounded by time units instead of row counts.
 """
 
 from __future__ import annotations
@@ -62,7 +66,7 @@ def add_velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "tr
 
 def add_velocity_counts_unsplit(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
                                 user: str = "user_id", category: str = "merchant_category") -> DataFrame:
-    """Reference formulation (one partition per user); used by tests."""
+    """Unsplit formulation (one window partition per user); used by tests."""
     us = F.unix_micros(F.col(ts))
     by_user = Window.partitionBy(user).orderBy(us)
     by_user_cat = Window.partitionBy(user, category).orderBy(us)
