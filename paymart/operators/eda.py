@@ -18,6 +18,7 @@ from paymart.config import (AMOUNT_BUCKETS, DAY_ORDER, DEFAULT, PAYMENT_METHODS,
 from paymart.functions import rounding, segments
 from paymart.functions.rounding import idiv, money, round_double
 from paymart.functions.scoring import count_if, flag_true
+from paymart.operators.joins import broadcast_if_small
 
 
 def pct_double(num: F.Column, den: F.Column) -> F.Column:
@@ -32,8 +33,8 @@ def rate_double(num: F.Column, den: F.Column) -> F.Column:
 # ------------------------------------------------------------------ frame
 def merged_fact(fct: DataFrame, du: DataFrame, dm: DataFrame) -> DataFrame:
     """Fact with business keys looked up from both dimensions."""
-    return (fct.join(du.select("user_sk", "user_id"), "user_sk", "left")
-            .join(dm.select("merchant_sk", "merchant_id"), "merchant_sk", "left")
+    return (fct.join(broadcast_if_small(du.select("user_sk", "user_id")), "user_sk", "left")
+            .join(broadcast_if_small(dm.select("merchant_sk", "merchant_id")), "merchant_sk", "left")
             .select("transaction_id", "user_id", "merchant_id", "merchant_category", "payment_method", "amount",
                     "currency", "status", "is_fraud", "device_type", "city", "state", "transaction_ts"))
 

@@ -1,19 +1,17 @@
 """Transaction fact: enriched rows with the dimension surrogate keys.
 
 The fact left-joins both dimensions on the business keys; a transaction
-whose user or merchant is missing keeps NULL keys.  No broadcast is forced:
-Spark broadcasts a dimension only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (statically from file statistics,
-or at run time by AQE), and otherwise runs a sort-merge join whose skewed
-partitions AQE splits.  The dimension sides are reduced to (business key,
-surrogate key) before the join so that only two columns are shuffled or
-broadcast.
+whose user or merchant is missing keeps NULL keys.  The dimension sides are
+reduced to (business key, surrogate key) and broadcast only when a count
+shows they are under a row bound; larger dimensions run as sort-merge joins
+whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from paymart.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 FACT_COLUMNS = ("transaction_sk", "transaction_id", "user_sk", "merchant_sk", "merchant_category",
                 "payment_method", "amount", "currency", "status", "is_fraud", "fraud_risk_score",
@@ -21,9 +19,10 @@ FACT_COLUMNS = ("transaction_sk", "transaction_id", "user_sk", "merchant_sk", "m
                 "raw_loaded_at")
 
 
-def fct_transactions(enriched: DataFrame, du: DataFrame, dm: DataFrame) -> DataFrame:
-    users = du.select("user_id", "user_sk")
-    merchants = dm.select("merchant_id", "merchant_sk")
+def fct_transactions(enriched: DataFrame, du: DataFrame, dm: DataFrame,
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    users = broadcast_if_small(du.select("user_id", "user_sk"), max_broadcast_rows)
+    merchants = broadcast_if_small(dm.select("merchant_id", "merchant_sk"), max_broadcast_rows)
     joined = (enriched.join(users, "user_id", "left")
               .join(merchants, "merchant_id", "left"))
     cols = list(FACT_COLUMNS)

@@ -21,6 +21,7 @@ from paymart.config import DEFAULT, RISK_LEVELS, RiskConfig
 from paymart.functions import rounding as R
 from paymart.functions import scoring, segments, velocity
 from paymart.functions.scoring import count_if
+from paymart.operators.joins import broadcast_if_small
 
 DAY_US = 86_400_000_000
 
@@ -89,7 +90,8 @@ def daily_merchant_kpis(fct: DataFrame, dm: DataFrame) -> DataFrame:
         F.sum(F.when(_is_fraud(), amount).otherwise(F.lit(0))).alias("fraud_loss"),
         F.countDistinct("user_sk").alias("unique_customers"),
     )
-    attrs = dm.select("merchant_sk", "merchant_id", "merchant_name", "merchant_category", "is_high_risk_category")
+    attrs = broadcast_if_small(
+        dm.select("merchant_sk", "merchant_id", "merchant_name", "merchant_category", "is_high_risk_category"))
     return agg.join(attrs, "merchant_sk", "left").select(
         "merchant_sk", "merchant_id", "merchant_name", "merchant_category", "is_high_risk_category", "day",
         "transaction_count", "total_revenue",
@@ -291,7 +293,8 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
 
 # --------------------------------------------------------------------------- A11
 def fraud_analysis_mart(fct: DataFrame, dm: DataFrame) -> DataFrame:
-    attrs = dm.select("merchant_sk", "merchant_id", "merchant_name", "merchant_category", "is_high_risk_category")
+    attrs = broadcast_if_small(
+        dm.select("merchant_sk", "merchant_id", "merchant_name", "merchant_category", "is_high_risk_category"))
     return fct.drop("merchant_category").join(attrs, "merchant_sk", "left").select(
         "transaction_id", "amount", "currency", "payment_method", "device_type", "city", "state", "transaction_ts",
         "is_fraud", "fraud_risk_score", "fraud_risk_level", "fraud_reason", "merchant_id", "merchant_name",

@@ -136,3 +136,24 @@ def test_build_writes_every_table(spark, tmp_root):
     assert fct.count() == wh.enriched.count()
     ordered = marts.for_sink("daily_overview_kpis", wh.daily_overview_kpis()).collect()
     assert [r.day for r in ordered] == sorted(r.day for r in ordered)
+
+
+def test_broadcast_only_below_bound(spark):
+    from paymart.operators.joins import broadcast_if_small
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+
+    def plan(df):
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 10), "k"))
+        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, 9), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
