@@ -26,9 +26,8 @@ HEAVY = ["enriched", "fct", "hourly_fraud_trends", "velocity_anomaly_detection",
 NOTES = {
     "enriched": "one scan of events; `Generate` emits each row plus its narrow context copy; the three "
                 "velocity windows share the single hash exchange on (user_id, day bucket).",
-    "fct": "built from the raw tables the derived dimensions have no size statistics (joined from "
-           "customer/supplier with nation/region), so Spark plans sort-merge joins; from Parquet dimensions "
-           "it broadcasts them when under the threshold, otherwise AQE splits skewed join partitions.",
+    "fct": "the (key, surrogate key) sides of both dimensions are broadcast after a count shows they are "
+           "under the row bound; above it the joins stay sort-merge with AQE skew splitting.",
     "hourly_fraud_trends": "single-distinct plan: partial aggregate on (hour, category, method, user), "
                            "then the 960-group aggregate.",
     "velocity_anomaly_detection": "a filter pushed into the Parquet scan; no shuffle.",
