@@ -88,7 +88,8 @@ def _eq_keys(left: DataFrame, right: DataFrame, cols):
     return [left[c].eqNullSafe(right[c]) for c in cols]
 
 
-def _tiered_counts(rows: DataFrame, keys: list[str], windows: dict[str, int], fine_us: int) -> DataFrame:
+def _tiered_counts(rows: DataFrame, keys: list[str], windows: dict[str, tuple[int, int | None]],
+                   fine_us: int, set_col: str | None = None) -> DataFrame:
     """Exact trailing counts per distinct (keys, time) without a per-key sort.
 
     ``count(t, w) = N(<= t) - N(< t - w)`` where ``N`` is the key's cumulative
@@ -104,15 +105,22 @@ def _tiered_counts(rows: DataFrame, keys: list[str], windows: dict[str, int], fi
 
     A probe row at ``t - w`` (weight 0, ordered before data at equal time)
     reads ``N(< t - w)`` out of the same running sums.
+
+    Several key sets can share one pass: ``set_col`` (part of ``keys``)
+    tells them apart, and a window ``(w, set_id)`` gets probes only for rows
+    of that set.
     """
     us = F.col(_US)
     t = rows.groupBy(*keys, _US).agg(F.count(F.lit(1)).alias(_N))          # ties collapse map-side
     minute = idiv(us, F.lit(fine_us))
     data = t.select(*keys, _US, minute.alias(_M), _N, F.lit(1).alias(_KIND),
                     F.lit(None).cast("long").alias("_ref"), F.lit(None).cast("string").alias("_w"))
-    probes = [t.select(*keys, (us - w).alias(_US), idiv(us - w, F.lit(fine_us)).alias(_M), F.lit(0).cast("long").alias(_N),
-                       F.lit(0).alias(_KIND), us.alias("_ref"), F.lit(name).alias("_w"))
-              for name, w in windows.items()]
+    probes = []
+    for name, (w, set_id) in windows.items():
+        src = t if set_id is None else t.where(F.col(set_col) == set_id)
+        probes.append(src.select(*keys, (us - w).alias(_US), idiv(us - w, F.lit(fine_us)).alias(_M),
+                                 F.lit(0).cast("long").alias(_N), F.lit(0).alias(_KIND), us.alias("_ref"),
+                                 F.lit(name).alias("_w")))
     pts = data
     for p in probes:
         pts = pts.unionByName(p)
@@ -149,14 +157,21 @@ def add_velocity_counts_tiered(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: st
     one user, one day or one timestamp.
 
     Counts are computed per distinct (user, time) and (user, category, time)
-    with ``_tiered_counts``, the two count tables are joined (aggregated
-    data), and the result is joined back to the rows once on (user,
-    category, time).  A tie group of many rows on one key is a many-to-one
+    in one ``_tiered_counts`` pass over both key sets, the two count tables
+    are joined (aggregated data), and the result is joined back to the rows
+    once on (user, category, time).  A tie group of many rows on one key is a many-to-one
     join that AQE's skew-join split handles."""
     rows = stg.withColumn(_US, F.unix_micros(F.col(ts)))
-    per_user = _tiered_counts(rows, [user], {"tx_count_1h": cfg.window_1h_us, "tx_count_24h": cfg.window_24h_us},
-                              fine_us)
-    per_cat = _tiered_counts(rows, [user, category], {"tx_same_category_24h": cfg.window_24h_us}, fine_us)
+    # both key sets in one pass: set 0 = (user), set 1 = (user, category)
+    keyed = (rows.select(F.lit(0).alias("_set"), user, F.lit(None).cast("string").alias("_cat"), _US)
+             .unionByName(rows.select(F.lit(1).alias("_set"), user, F.col(category).cast("string").alias("_cat"),
+                                      _US)))
+    both = _tiered_counts(keyed, ["_set", user, "_cat"],
+                          {"tx_count_1h": (cfg.window_1h_us, 0), "tx_count_24h": (cfg.window_24h_us, 0),
+                           "tx_same_category_24h": (cfg.window_24h_us, 1)}, fine_us, set_col="_set")
+    per_user = both.where(F.col("_set") == 0).select(user, _US, "tx_count_1h", "tx_count_24h")
+    per_cat = both.where(F.col("_set") == 1).select(user, F.col("_cat").alias(category), _US,
+                                                    "tx_same_category_24h")
     a, b = per_cat.alias("a"), per_user.alias("b")
     counts = a.join(b, _eq_keys(a, b, [user, _US]), "inner").select(
         F.col(f"a.{user}").alias(user), F.col(f"a.{category}").alias(category), F.col(f"a.{_US}").alias(_US),
