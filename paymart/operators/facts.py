@@ -1,16 +1,19 @@
 """Transaction fact: enriched rows with the dimension surrogate keys.
 
 The fact left-joins both dimensions on the business keys; a transaction
-whose user or merchant is missing keeps NULL keys.  The dimension sides are
-reduced to (business key, surrogate key) and broadcast only when a count
-shows they are under a row bound; larger dimensions run as sort-merge joins
-whose skewed partitions AQE splits.
+whose user or merchant is missing keeps NULL keys.  Inside the warehouse the
+keys come from the fact's own ids and the (small) set of orphan ids, so the
+fact is not shuffled against a large dimension; the general path joins the
+(business key, surrogate key) sides, broadcast only when a count shows they
+are under a row bound, sort-merge (with AQE skew splitting) beyond it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from paymart.functions.scoring import surrogate_key
 from paymart.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 FACT_COLUMNS = ("transaction_sk", "transaction_id", "user_sk", "merchant_sk", "merchant_category",
@@ -19,12 +22,38 @@ FACT_COLUMNS = ("transaction_sk", "transaction_id", "user_sk", "merchant_sk", "m
                 "raw_loaded_at")
 
 
+def _key_via_orphans(fact: DataFrame, dim: DataFrame, id_col: str, sk_col: str, max_rows: int) -> DataFrame:
+    """``sk_col`` for every fact row without joining the fact to the whole
+    dimension.  The dimension's key is ``surrogate_key(id)``, so only the
+    business ids that are *missing* from the dimension matter: the distinct
+    ids of the fact (an aggregate) anti-joined with the dimension give the
+    orphan ids - normally a handful - which are broadcast (behind a measured
+    bound) and turn the key into NULL.  No wide shuffle of the fact."""
+    ids = fact.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    orphans = ids.join(dim.select(id_col), id_col, "left_anti").withColumn("_orphan", F.lit(True))
+    j = fact.join(broadcast_if_small(orphans, max_rows), id_col, "left")
+    sk = F.when(F.col(id_col).isNull() | F.col("_orphan").isNotNull(), F.lit(None).cast("string")) \
+        .otherwise(surrogate_key(id_col))
+    return j.withColumn(sk_col, sk).drop("_orphan")
+
+
 def fct_transactions(enriched: DataFrame, du: DataFrame, dm: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    users = broadcast_if_small(du.select("user_id", "user_sk"), max_broadcast_rows)
-    merchants = broadcast_if_small(dm.select("merchant_id", "merchant_sk"), max_broadcast_rows)
-    joined = (enriched.join(users, "user_id", "left")
-              .join(merchants, "merchant_id", "left"))
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                     keys_from_hash: bool = False) -> DataFrame:
+    """``keys_from_hash=True`` is for dimensions built by
+    ``paymart.operators.dimensions`` (surrogate key = hash of the business
+    key, business key unique): the keys are then derived from the fact's
+    own ids plus the small set of orphan ids, with the same result as the
+    joins.  Otherwise both dimensions are joined (broadcast behind a measured
+    bound, sort-merge beyond it)."""
+    if keys_from_hash:
+        joined = _key_via_orphans(enriched, du, "user_id", "user_sk", max_broadcast_rows)
+        joined = _key_via_orphans(joined, dm, "merchant_id", "merchant_sk", max_broadcast_rows)
+    else:
+        users = broadcast_if_small(du.select("user_id", "user_sk"), max_broadcast_rows)
+        merchants = broadcast_if_small(dm.select("merchant_id", "merchant_sk"), max_broadcast_rows)
+        joined = (enriched.join(users, "user_id", "left")
+                  .join(merchants, "merchant_id", "left"))
     cols = list(FACT_COLUMNS)
     if "dbt_updated_at" in enriched.columns:
         cols.append("dbt_updated_at")

@@ -70,8 +70,8 @@ class Warehouse:
 
     @cached_property
     def fct(self) -> DataFrame:
-        return self._keep(facts.fct_transactions(self.enriched, self.dim_users, self.dim_merchants),
-                          "fct_transactions")
+        return self._keep(facts.fct_transactions(self.enriched, self.dim_users, self.dim_merchants,
+                                                 keys_from_hash=True), "fct_transactions")
 
     # marts ----------------------------------------------------------------
     def user_metrics(self) -> DataFrame:

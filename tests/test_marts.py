@@ -157,3 +157,20 @@ def test_broadcast_only_below_bound(spark):
         assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, 9), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_fact_keys_via_orphans_equal_joins(spark, wh_small):
+    from paymart.operators import facts
+    txs = [tx(0, "KNOWN", "M", dt.datetime(2024, 2, 1)), tx(1, "GHOST", "M", dt.datetime(2024, 2, 2)),
+           tx(2, "KNOWN", "NOWHERE", dt.datetime(2024, 2, 3))]
+    users = [("KNOWN", "18-25", "savings", dt.date(2024, 1, 1), None, None)]
+    merchants = [("M", "m", "Retail", None, None, dt.date(2023, 1, 1))]
+    small = warehouse(spark, txs, users=users, merchants=merchants)
+    for w in (small, wh_small):
+        a = facts.fct_transactions(w.enriched, w.dim_users, w.dim_merchants, keys_from_hash=True)
+        b = facts.fct_transactions(w.enriched, w.dim_users, w.dim_merchants, keys_from_hash=False)
+        c = facts.fct_transactions(w.enriched, w.dim_users, w.dim_merchants, max_broadcast_rows=0,
+                                   keys_from_hash=True)   # orphan set joined without a broadcast
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and c.exceptAll(b).count() == 0
+    got = {r.transaction_id: (r.user_sk is None, r.merchant_sk is None) for r in small.fct.collect()}
+    assert got == {"T00000": (False, False), "T00001": (True, False), "T00002": (False, True)}

@@ -26,8 +26,9 @@ HEAVY = ["enriched", "fct", "hourly_fraud_trends", "velocity_anomaly_detection",
 NOTES = {
     "enriched": "one scan of events; `Generate` emits each row plus its narrow context copy; the three "
                 "velocity windows share the single hash exchange on (user_id, day bucket).",
-    "fct": "the (key, surrogate key) sides of both dimensions are broadcast after a count shows they are "
-           "under the row bound; above it the joins stay sort-merge with AQE skew splitting.",
+    "fct": "keys are hashed from the fact's own ids; only the orphan ids (distinct fact ids anti-joined with "
+           "the dimension, an aggregate) are broadcast behind a measured row bound - the wide rows are not "
+           "shuffled against the dimensions.",
     "hourly_fraud_trends": "single-distinct plan: partial aggregate on (hour, category, method, user), "
                            "then the 960-group aggregate.",
     "velocity_anomaly_detection": "a filter pushed into the Parquet scan; no shuffle.",
