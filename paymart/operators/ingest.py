@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.config import TRANSACTIONS_TABLE
+from paymart.operators.joins import broadcast_if_small
 from paymart.sources import raw as rawsrc
 from paymart.sources import schemas
 
@@ -62,8 +63,13 @@ def first_per_key(batch: DataFrame, key: str, order: tuple[str, ...] = ("transac
 
 def new_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The rows an insert-if-absent adds: one per key, keys not stored yet.
-    Only the stored key column is read for the anti join."""
-    return first_per_key(batch, key).join(target.select(key), key, "left_anti").select(*target.columns)
+
+    The stored table is only scanned, not shuffled: the batch keys (bounded
+    by the batch, broadcast behind a measured bound) pick out the stored keys
+    that clash - normally few - and the batch is anti-joined with those."""
+    picked = first_per_key(batch, key)
+    clashes = target.select(key).join(broadcast_if_small(picked.select(key)), key, "left_semi")
+    return picked.join(clashes, key, "left_anti").select(*target.columns)
 
 
 def insert_new(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
