@@ -89,12 +89,16 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, check_duplicates: bool
     if check_duplicates:
         assert_unique_keys(batch, key)
     missing = [c for c in target.columns if c not in batch.columns]
+    # the batch keys (bounded by the batch) are broadcast behind a measured
+    # bound, so the stored table is filtered in place instead of shuffled
+    batch_keys = broadcast_if_small(batch.select(key))
     incoming = batch
     if missing:
-        stored = target.select(key, *[F.col(c).alias(f"_old_{c}") for c in missing])
+        stored = target.join(batch_keys, key, "left_semi").select(
+            key, *[F.col(c).alias(f"_old_{c}") for c in missing])
         incoming = batch.join(stored, key, "left").select(
             *[F.col(c) for c in batch.columns], *[F.col(f"_old_{c}").alias(c) for c in missing])
-    kept = target.join(batch.select(key), key, "left_anti")
+    kept = target.join(batch_keys, key, "left_anti")
     return kept.unionByName(incoming.select(*target.columns))
 
 
