@@ -120,10 +120,14 @@ def dq_score_range(enr: DataFrame) -> DataFrame:
 
 def dq_orphans(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
     """Transactions whose user or merchant is missing (anti-joins)."""
-    ou = tx.select("user_id").join(users.select("user_id"), "user_id", "left_anti")
-    om = tx.select("merchant_id").join(merchants.select("merchant_id"), "merchant_id", "left_anti")
-    n_ou = ou.agg(F.count(F.lit(1))).scalar()
-    return om.agg(F.count(F.lit(1)).alias("orphan_merchants")).select(
+    def orphan_rows(key: str, dim: DataFrame) -> DataFrame:
+        # rows per key first (map-side combine), so only distinct keys meet the dimension
+        per_key = tx.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        return per_key.join(dim.select(key), key, "left_anti")
+
+    n_ou = orphan_rows("user_id", users).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long")).scalar()
+    om = orphan_rows("merchant_id", merchants)
+    return om.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphan_merchants")).select(
         n_ou.alias("orphan_users"), "orphan_merchants")
 
 
