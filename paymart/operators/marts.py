@@ -168,11 +168,13 @@ def merchant_risk_profiling(dm: DataFrame, fct: DataFrame, cfg: RiskConfig = DEF
 
 def _newest_joined_ts(fct: DataFrame, du: DataFrame) -> F.Column:
     """Newest transaction of any user that joins the dimension, as a scalar
-    subquery.  It reads only (user_sk, transaction_ts): Catalyst prunes the
-    score and window columns of the fact's lineage, and the per-task partial
-    max leaves one row per task."""
-    joined = fct.select("user_sk", "transaction_ts").join(du.select("user_sk"), "user_sk", "left_semi")
-    return joined.agg(F.max("transaction_ts")).scalar()
+    subquery.  It reads only (user_sk, transaction_ts) - Catalyst prunes the
+    score and window columns of the fact's lineage - and takes the newest
+    timestamp per user (map-side combine) before the semi join, so one row
+    per user meets the dimension."""
+    newest = fct.where(F.col("user_sk").isNotNull()).groupBy("user_sk").agg(F.max("transaction_ts").alias("_ts"))
+    joined = newest.join(du.select("user_sk"), "user_sk", "left_semi")     # one row per user meets the dim
+    return joined.agg(F.max("_ts")).scalar()
 
 
 # --------------------------------------------------------------------------- A6
