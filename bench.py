@@ -13,9 +13,11 @@ sink (no collect, no output files):
   check calls them (``queries()[name](spark, sf_dir)``); the first one that
   needs the enriched layer materialises the session's shared warehouse.
 
-Before timing, the same suite runs once on the smallest tables to warm the
-JVM (JIT, codegen cache); that time is reported as ``warmup_sec`` and is
-not part of the total.
+``value`` is the production path (build + marts).  The ``registry_*``
+timings rebuild the session's shared warehouse and are reported separately
+as ``registry_sec``.  Before timing, the same suite runs once on the
+smallest tables to warm the JVM (JIT, codegen cache); that time is reported
+as ``warmup_sec``.  Neither is part of ``value``.
 """
 
 from __future__ import annotations
@@ -76,11 +78,12 @@ def main() -> None:
         timed(f"registry_{name}", lambda n=name: run(registry[n](spark, sf_dir)))
 
     rows = wh.fct.count()
-    total = round(sum(timings.values()), 3)
+    total = round(sum(v for k, v in timings.items() if not k.startswith("registry_")), 3)
+    registry_total = round(sum(v for k, v in timings.items() if k.startswith("registry_")), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "warehouse_build_and_marts_total", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": int(cpus), "transactions": rows,
-                      "warmup_sec": warmup,
+                      "warmup_sec": warmup, "registry_sec": registry_total,
                       "spark": spark.version}))
     spark.stop()
 
