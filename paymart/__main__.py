@@ -23,9 +23,7 @@ from paymart.session import prepare
 def _warehouse(spark, args):
     from paymart.plans.warehouse import Warehouse
     if args.raw_root:
-        from paymart.operators import ingest
-        raw = {n: ingest.read_current(spark, args.raw_root, n) for n in ("users", "merchants", "transactions")}
-        return Warehouse(spark, raw, materialize=True)
+        return Warehouse.from_raw_root(spark, args.raw_root, materialize=True)
     return Warehouse.from_driver_tables(spark, args.sf_dir, materialize=True)
 
 

@@ -40,8 +40,9 @@ class Warehouse:
 
     @classmethod
     def from_raw_root(cls, spark: SparkSession, root: str, **kw) -> "Warehouse":
-        from paymart.sources.tables import read_table
-        raw = {n: read_table(spark, root, "raw", n) for n in ("users", "merchants", "transactions")}
+        """The published raw tables written by ``paymart.operators.ingest``."""
+        from paymart.operators.ingest import read_current
+        raw = {n: read_current(spark, root, n) for n in ("users", "merchants", "transactions")}
         return cls(spark, raw, **kw)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:

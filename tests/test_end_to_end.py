@@ -31,9 +31,8 @@ def test_csv_ingest_then_build_matches_direct(spark, tmp_root):
     n = tx.count()
     assert r1.rows_after_mark + r2.rows_after_mark == n and r2.rows_skipped_late == r1.rows_after_mark
 
-    loaded = {name: ingest.read_current(spark, root, name) for name in ("users", "merchants", "transactions")}
-    assert loaded["transactions"].count() == n
-    via_csv = Warehouse(spark, loaded, materialize=True)
+    via_csv = Warehouse.from_raw_root(spark, root, materialize=True)
+    assert via_csv.raw["transactions"].count() == n
     direct = Warehouse.from_driver_tables(spark, "/root/testdata/sf0.001")
     for mart in ("hourly_fraud_trends", "merchant_risk_profiling", "cohort_analysis", "velocity_anomaly_detection"):
         a, b = getattr(via_csv, mart)(), getattr(direct, mart)()

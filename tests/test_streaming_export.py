@@ -85,3 +85,12 @@ def test_cli_build_and_views(spark, tmp_root, capsys):
     assert set(out) >= {"fct_transactions", "cohort_analysis", "int_user_metrics"}
     assert main(["views", "--sf-dir", "/root/testdata/sf0.001"]) == 0
     assert spark.catalog.tableExists("reporting_velocity_anomaly_detection")
+
+
+def test_late_rows_are_visible(spark):
+    from paymart.streaming.incremental import late_rows
+    state = spark.createDataFrame([("raw.transactions", dt.datetime(2024, 3, 2, 10), 2, None)], schemas.WATERMARK)
+    batch = spark.createDataFrame([_row("T1", "2024-03-01 10:00:00")[:1] + [dt.datetime(2024, 3, 1, 10)],
+                                   ["T2", dt.datetime(2024, 3, 2, 10)], ["T3", dt.datetime(2024, 3, 3, 10)]],
+                                  "transaction_id string, transaction_ts timestamp")
+    assert sorted(r.transaction_id for r in late_rows(batch, state).collect()) == ["T1", "T2"]
