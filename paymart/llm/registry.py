@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
+from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.token_cache import default_tokenizer
 
 
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
     }
 
