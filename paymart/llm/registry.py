@@ -10,14 +10,18 @@ from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
 from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.token_cache import default_tokenizer
+from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
 
 
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_warc_zip": lambda spark, d: op3_warc_zip(table(spark, d, "pages")),
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
     }
 
 
 def load_oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_warc_zip": OP3_SQL,
+    }
