@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
 from paymart.llm.line_crf import op5_line_crf
+from paymart.llm.packing import op9_best_two_fit
+from paymart.llm.range_coder import op4_range_coder
 from paymart.llm.token_cache import default_tokenizer
 from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
 
@@ -16,8 +18,10 @@ from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_warc_zip": lambda spark, d: op3_warc_zip(table(spark, d, "pages")),
+        "op4_range_coder": lambda spark, d: op4_range_coder(table(spark, d, "documents"), default_tokenizer()),
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
+        "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
     }
 
 
