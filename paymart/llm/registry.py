@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
+from paymart.llm.cotraining import op10_cotraining
 from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.packing import op9_best_two_fit
 from paymart.llm.range_coder import op4_range_coder
@@ -22,6 +23,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
+        "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
     }
 
 
