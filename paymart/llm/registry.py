@@ -11,6 +11,7 @@ from paymart.llm.common import table
 from paymart.llm.cotraining import op10_cotraining
 from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.packing import op9_best_two_fit
+from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
 from paymart.llm.token_cache import default_tokenizer
 from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
@@ -21,6 +22,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc_zip": lambda spark, d: op3_warc_zip(table(spark, d, "pages")),
         "op4_range_coder": lambda spark, d: op4_range_coder(table(spark, d, "documents"), default_tokenizer()),
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
+        "op6_prob_minhash": lambda spark, d: op6_prob_minhash(table(spark, d, "documents")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
