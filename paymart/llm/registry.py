@@ -15,6 +15,7 @@ from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
 from paymart.llm.token_cache import default_tokenizer
 from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
+from paymart.llm.weighted_sampling import op8_weighted_sampling
 
 
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +25,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
         "op6_prob_minhash": lambda spark, d: op6_prob_minhash(table(spark, d, "documents")),
         "op7_bpe": lambda spark, d: op7_bpe(table(spark, d, "documents"), default_tokenizer()),
+        "op8_weighted_sampling": lambda spark, d: op8_weighted_sampling(table(spark, d, "documents")),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
     }
