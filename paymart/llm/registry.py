@@ -13,6 +13,7 @@ from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.packing import op9_best_two_fit
 from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
+from paymart.llm.suffix_dedup import op2_suffix_dedup
 from paymart.llm.token_cache import default_tokenizer
 from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
 from paymart.llm.weighted_sampling import op8_weighted_sampling
@@ -20,6 +21,7 @@ from paymart.llm.weighted_sampling import op8_weighted_sampling
 
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": lambda spark, d: op2_suffix_dedup(table(spark, d, "documents")),
         "op3_warc_zip": lambda spark, d: op3_warc_zip(table(spark, d, "pages")),
         "op4_range_coder": lambda spark, d: op4_range_coder(table(spark, d, "documents"), default_tokenizer()),
         "op5_line_crf": lambda spark, d: op5_line_crf(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -33,5 +35,6 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def load_oracle_sql() -> dict[str, str]:
     return {
+        "op2_suffix_dedup": lambda spark, d: op2_suffix_dedup(table(spark, d, "documents")),
         "op3_warc_zip": OP3_SQL,
     }
