@@ -209,10 +209,12 @@ def op5_line_crf(docs: DataFrame, labels: DataFrame, least_share: float = 0.5) -
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("content_share") >= least_share)).drop("labels")
 
 
-def keep_content(docs: DataFrame, labels: DataFrame, least_share: float = 0.5) -> DataFrame:
-    """The rows of `docs` that pass the base rules and whose lines are mostly content; the text is read once, in place."""
+def keep_content(docs: DataFrame, labels: DataFrame, least_share: float = 0.5, fit_on: DataFrame | None = None) -> DataFrame:
+    """The rows of `docs` that pass the base rules and whose lines are mostly content; the text is read once, in place.
+
+    fit_on: labelled documents of both classes, where `docs` has lost its bad ones already."""
     workers_can_import(docs.sparkSession)
-    model = train(docs, labels)
+    model = train(docs if fit_on is None else fit_on, labels)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

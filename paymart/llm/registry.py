@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run
+
 from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
 from paymart.llm.cotraining import op10_cotraining
@@ -15,12 +17,14 @@ from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
 from paymart.llm.suffix_dedup import op2_suffix_dedup
 from paymart.llm.token_cache import default_tokenizer
+from paymart.llm.tool_calls import OP1_SQL, op1_tool_calls
 from paymart.llm.warc_zip import OP3_SQL, op3_warc_zip
 from paymart.llm.weighted_sampling import op8_weighted_sampling
 
 
 def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_tool_calls": lambda spark, d: op1_tool_calls(table(spark, d, "conversations")),
         "op2_suffix_dedup": lambda spark, d: op2_suffix_dedup(table(spark, d, "documents")),
         "op3_warc_zip": lambda spark, d: op3_warc_zip(table(spark, d, "pages")),
         "op4_range_coder": lambda spark, d: op4_range_coder(table(spark, d, "documents"), default_tokenizer()),
@@ -30,11 +34,14 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_weighted_sampling": lambda spark, d: op8_weighted_sampling(table(spark, d, "documents")),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
+        "pipeline": run,
     }
 
 
 def load_oracle_sql() -> dict[str, str]:
     return {
+        "op1_tool_calls": lambda spark, d: op1_tool_calls(table(spark, d, "conversations")),
         "op2_suffix_dedup": lambda spark, d: op2_suffix_dedup(table(spark, d, "documents")),
+        "op1_tool_calls": OP1_SQL,
         "op3_warc_zip": OP3_SQL,
     }
