@@ -327,7 +327,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _repeated_occurrences(rows: DataFrame, length: int, gram: int) -> DataFrame:
     found = anchors(rows, length, gram)
-    twice = anchors(rows, length, gram).groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    # written, so that the join below deals out both its sides itself and Spark can split the rows of a frequent anchor
+    twice = _written(anchors(rows, length, gram).groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "twice")
     return _written(found.join(twice, "a"), "anchors")
 
 
