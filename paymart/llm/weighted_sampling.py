@@ -4,8 +4,8 @@ A document is its words (ASCII blanks part them, letters are lower-cased) weight
 samples a word of weight w draws r and c from Gamma(2, 1) and b from U(0, 1), all from hashes of the word and the sample's
 number; with t = floor(ln w / r + b), the word of the smallest ln c - r (t - b) - r is sampled, and the sample is (word, t).
 Two documents have equal samples with a probability equal to their generalised Jaccard similarity, sum of the smaller over
-sum of the larger counts. The minimum is a bigint: the value to 2^-24 in the upper half, 32 bits of a hash of (word, t) in
-the lower half. The last 16 of them are that sample's 4 hexadecimal digits in the fingerprint, so that different samples
+sum of the larger counts. The minimum is a bigint: the value to 2^-24 in the upper half, 32 bits of the word's hash, changed by
+t, in the lower half. The last 16 of them are that sample's 4 hexadecimal digits in the fingerprint, so that different samples
 look equal once in 65,536 times.
 
 The whole text moves once, by doc_id, and is read from that exchange wherever it is needed; the words are counted and the
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from paymart.llm.common import cut
 
-SAMPLES, TOGETHER = 64, 8  # samples of a document; of those, in one row
+SAMPLES, REACH = 64, 32.0
 LOWEST = -(1 << 63)
-PARTITION_CHARS = 8_000_000
+PARTITION_CHARS = 2_000_000  # so that a task's minima stay in the first, small hash map
 
 
 def words(text: Column) -> Column:
@@ -34,36 +34,49 @@ def words(text: Column) -> Column:
     return F.when(F.size(split) == 0, F.array(F.lit(""))).otherwise(split)
 
 
-def fingerprints(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """(keys, samples) of each key: SAMPLES smallints. `texts` has one row a key and is dealt out by (some of) the keys."""
-    terms = texts.select(*keys, F.explode(words(F.col(text_col))).alias("w")).select(*keys, F.xxhash64("w").alias("h"))
-    terms = terms.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
-    rows = terms.select(*keys, "h", F.log("n").alias("lw"), F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // TOGETHER - 1))).alias("g"))
-    lanes = range(TOGETHER)
-    seed = [F.col("g") * TOGETHER + i for i in lanes]
-    high = lambda x: (F.shiftrightunsigned(x, 32) + F.lit(0.5)) / F.lit(float(1 << 32))
-    low = lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) + F.lit(0.5)) / F.lit(float(1 << 32))
-    rows = rows.select(*keys, "g", "h", "lw", *(F.xxhash64("h", seed[i], F.lit(k)).alias(f"x{k}{i}") for k in range(3) for i in lanes))
-    rows = rows.select(
-        *keys, "g", "h", "lw",
-        *((-F.log(high(F.col(f"x0{i}")) * low(F.col(f"x0{i}")))).alias(f"r{i}") for i in lanes),
-        *(F.log(-F.log(high(F.col(f"x1{i}")) * low(F.col(f"x1{i}")))).alias(f"c{i}") for i in lanes),
-        *(high(F.col(f"x2{i}")).alias(f"b{i}") for i in lanes),
-    )
-    rows = rows.select(*rows.columns, *(F.floor(F.col("lw") / F.col(f"r{i}") + F.col(f"b{i}")).alias(f"t{i}") for i in lanes))
-
-    def packed(i: int) -> Column:
-        r, c, b, t = (F.col(f"{k}{i}") for k in "rcbt")
+def fingerprints(texts: DataFrame, keys: list[str], text_cols: list[str], reach: float | None = REACH) -> DataFrame:
+    """(keys, samples) of each key: for each text column an array of SAMPLES smallints. `texts` has one row a key and is
+    dealt out by (some of) the keys. Words that the texts of a row share draw their numbers once.
+
+    The smallest value of a sample is exponentially distributed with the text's number of words n as its rate. A word of
+    weight w can't get below c exp(-r) / w, so one for which that is over reach / n is left out before any logarithm is
+    taken; with none left for a sample, as happens once in exp(reach) times, the sample is null. Without `reach` all are
+    worked out."""
+    sides = range(len(text_cols))
+    sized = texts.select(*keys, *(words(F.col(c)).alias(f"ws{k}") for k, c in enumerate(text_cols)))
+    sizes = [f"size{k}" for k in sides]
+    terms = sized.select(*keys, *(F.size(f"ws{k}").alias(f"size{k}") for k in sides), F.explode(F.array(*(F.struct(F.lit(k).alias("side"), F.col(f"ws{k}").alias("ws")) for k in sides))).alias("e"))
+    terms = terms.select(*keys, *sizes, "e.side", F.explode("e.ws").alias("w")).select(*keys, *sizes, "side", F.xxhash64("w").alias("h"))
+    terms = terms.groupBy(*keys, *sizes, "h").agg(*(F.count(F.when(F.col("side") == k, 1)).alias(f"n{k}") for k in sides))
+    logs = [f"lw{k}" for k in sides]
+    share = [F.col(f"n{k}") * F.lit(reach or 0.0) / F.col(f"size{k}") for k in sides]
+    rows = terms.select(
+        *keys, "h", *(F.when(F.col(f"n{k}") > 0, F.log(f"n{k}")).alias(f"lw{k}") for k in sides),
+        (F.greatest(*share) if len(share) > 1 else share[0]).alias("most"), F.explode(F.sequence(F.lit(0), F.lit(SAMPLES - 1))).alias("g"),
+    )
+    bits = lambda k: F.xxhash64(F.col("h").bitwiseXOR((F.col("g") * 4 + k).cast("long")))
+    high = lambda x: (F.shiftrightunsigned(x, 32) + F.lit(0.5)) * F.lit(1 / (1 << 32))
+    low = lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) + F.lit(0.5)) * F.lit(1 / (1 << 32))
+    rows = rows.select(*keys, "g", "h", *logs, "most", bits(0).alias("x0"), bits(1).alias("x1"))
+    rows = rows.select(*keys, "g", "h", *logs, "most", (high(F.col("x0")) * low(F.col("x0"))).alias("u"), (high(F.col("x1")) * low(F.col("x1"))).alias("v"))
+    if reach is not None:  # exp(-r) is u, and c = -ln v is at least 2 (1 - v) / (1 + v)
+        rows = rows.where((F.lit(2.0) - 2 * F.col("v")) * F.col("u") <= F.col("most") * (F.col("v") + 1))
+    rows = rows.select(*keys, "g", "h", *logs, (-F.log("u")).alias("r"), F.log(-F.log("v")).alias("c"), high(bits(2)).alias("b"))
+    rows = rows.select(*rows.columns, *(F.floor(F.col(f"lw{k}") / F.col("r") + F.col("b")).alias(f"t{k}") for k in sides))
+
+    def packed(k: int) -> Column:
+        r, c, b, t = F.col("r"), F.col("c"), F.col("b"), F.col(f"t{k}")
         value = (c - r * (t - b) - r + 64) * F.lit(float(1 << 24))
         rank = F.least(F.greatest(value, F.lit(0.0)), F.lit(float((1 << 31) - 1))).cast("long")
-        return F.shiftleft(rank, 32).bitwiseOR(F.xxhash64("h", t).bitwiseAND(F.lit((1 << 32) - 1)))
+        return F.when(t.isNotNull(), F.shiftleft(rank, 32).bitwiseOR(F.col("h").bitwiseXOR(F.shiftleft(t, 5)).bitwiseAND(F.lit((1 << 32) - 1))))
 
-    rows = rows.select(*keys, "g", *(packed(i).alias(f"m{i}") for i in lanes))
-    least = rows.groupBy(*keys, "g").agg(*(F.min(f"m{i}").alias(f"m{i}") for i in lanes))
+    rows = rows.select(*keys, "g", *(packed(k).alias(f"m{k}") for k in sides))
+    least = rows.groupBy(*keys, "g").agg(*(F.min(f"m{k}").alias(f"m{k}") for k in sides))
+    # the last 16 bits, as a signed smallint
     signed = lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - F.lit(0x8000)).cast("short")
-    part = F.array(*(signed(F.col(f"m{i}")) for i in lanes))
-    parts = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("g", part.alias("p")))).alias("parts"))
-    return parts.select(*keys, F.flatten(F.col("parts.p")).alias("samples"))
+    part = F.struct("g", *(signed(F.col(f"m{k}")).alias(f"p{k}") for k in sides))
+    parts = least.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    return parts.select(*keys, F.array(*(F.col(f"parts.p{k}") for k in sides)).alias("samples"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,17 +119,20 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         "id", "key", "times", "text",
         F.concat(F.col("text").substr(F.lit(1), F.length("text") - half), F.col("start").substr(F.lit(1), half)).alias("edited"),
     )
-    both = edited.select("id", "key", F.posexplode(F.array("text", "edited")).alias("which", "text"))
-    found = fingerprints(both, ["id", "key", "which"]).groupBy("id", "key").agg(
-        F.sort_array(F.collect_list(F.struct("which", "samples"))).alias("two")
-    )
-    found = found.select(
-        F.col("id").alias("of"), F.col("key").alias("of_key"),
-        F.col("two")[0]["samples"].alias("samples"), F.col("two")[1]["samples"].alias("edited_samples"),
+    named = lambda df: df.select(
+        F.col("id").alias("of"), F.col("key").alias("of_key"), F.get(F.col("samples"), F.lit(0)).alias("samples"), F.get(F.col("samples"), F.lit(1)).alias("edited_samples"),
     )
+    found = named(fingerprints(edited, ["id", "key"], ["text", "edited"]))
     facts = edited.select("id", "key", "times", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     # both sides are dealt out by id; as a join key, the text's would deal them out again
-    found = cut(facts.join(found, (F.col("id") == F.col("of")) & (F.col("key").bitwiseXOR(F.col("of_key")) == 0)).drop("key", "of", "of_key"))
+    found = cut(facts.join(found, (F.col("id") == F.col("of")) & (F.col("key").bitwiseXOR(F.col("of_key")) == 0)).drop("of", "of_key"))
+    full = lambda c: (F.size(c) == SAMPLES) & ~F.exists(c, lambda x: x.isNull())
+    short = found.where(~(full("samples") & full("edited_samples")))
+    if not short.isEmpty():  # about one document in 1e12: worked out again without leaving any word out
+        again = named(fingerprints(edited.join(short.select("id", "key"), ["id", "key"]), ["id", "key"], ["text", "edited"], reach=None))
+        again = short.drop("samples", "edited_samples").join(again, (F.col("id") == F.col("of")) & (F.col("key") == F.col("of_key")))
+        found = cut(found.join(short.select("id", "key"), ["id", "key"], "left_anti").unionByName(again.select(*found.columns)))
+    found = found.drop("key")
     # the next document's, of its smallest text's samples if it has several
     theirs = found.join(wanted.select("id", "before"), "id").groupBy("before").agg(F.min("samples").alias("next_samples"))
     out = found.join(theirs.withColumnRenamed("before", "id"), "id")
