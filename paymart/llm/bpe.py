@@ -121,8 +121,9 @@ class WordBPE:
         if len(self.chunks) > self.max_entries:
             self.chunks, self.words = {"": b""}, {}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        for chunk in set().union(*split) - self.chunks.keys():
-            self.chunks[chunk] = self._chunk(chunk)
+        for chunk in set().union(*split):
+            if chunk not in self.chunks:
+                self.chunks[chunk] = self._chunk(chunk)
         get = self.chunks.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 

@@ -33,7 +33,8 @@ from paymart.llm.common import cut, runs, workers_can_import
 from paymart.llm.graph import components
 
 WORDS, SLOTS_N, BANDS = 5, 128, 32
-HUBS = 16  # of a bucket in each round after the first
+HUBS = 16  # of a bucket in the second round; four times as many in each round after
+CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORD_HASHES: dict[str, int] = {}
 
@@ -49,8 +50,9 @@ def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     split = text.lower().split()
     if len(_WORD_HASHES) > 500_000:
         _WORD_HASHES.clear()
-    for w in set(split) - _WORD_HASHES.keys():
-        _WORD_HASHES[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    for w in set(split):
+        if w not in _WORD_HASHES:
+            _WORD_HASHES[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
     h = np.fromiter(map(_WORD_HASHES.__getitem__, split), np.uint64, len(split))
     k = min(words, len(h))
     out = np.full(max(len(h) - k + 1, 1), k, np.uint64)
@@ -138,13 +140,24 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     rows = pairs.join(texts.withColumnsRenamed({"doc": "v", "text": "b"}), "v").join(texts.withColumnsRenamed({"doc": "u", "text": "a"}), "u")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, held = None, None
-        for batch in batches:
+        held: dict[str, tuple] = {}
+        size = 0
+
+        def of(text: str) -> tuple:
+            nonlocal size
+            if (got := held.get(text)) is None:
+                if size > CACHED:
+                    held.clear()
+                    size = 0
+                got = held[text] = shingles(text)
+                size += len(got[0])
+            return got
+
+        for batch in runs(batches, "b", 1 << 22):
             keep = []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                if a != hub:
-                    hub, held = a, shingles(a)
-                keep.append(max(similarity(held, shingles(b))) >= least)
+                x, y = of(a), of(b)
+                keep.append(max(similarity(x, y)) >= least)
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
@@ -179,7 +192,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
         links = cut(links.unionByName(verified(pairs, docs, least)))
         classes = components(links)
         buckets = named.select("bucket", "rep").join(hubs.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti")
-        hubs_each = HUBS
+        hubs_each = HUBS if hubs_each == 1 else 4 * hubs_each
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))

@@ -71,7 +71,7 @@ class LibraryEncoder:
         if len(self.cache) > self.max_entries:
             self.cache = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*split) - self.cache.keys()
+        missing = {c for c in set().union(*split) if c not in self.cache}
         if missing:
             self._fill(missing)
         get = self.cache.__getitem__
