@@ -43,7 +43,7 @@ def content_view(text: str) -> tuple[np.ndarray, np.ndarray]:
     slots = np.fromiter((crc32(w) % TEXT_DIMS for w in counts), np.int64, len(counts))
     values = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)))
     held, at = np.unique(slots, return_inverse=True)
-    values = np.bincount(at, values, len(held))
+    values = np.bincount(at, values, len(held)).astype(float)  # of no words: whole numbers
     values /= max(np.sqrt((values**2).sum()), 1.0)
     joined = b"".join(words)
     size = max(len(joined), 1)
