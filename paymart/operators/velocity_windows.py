@@ -45,8 +45,11 @@ def add_velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "tr
     keys = {user, category}
     # one scan: every row is generated twice (itself, and a context copy in
     # the next bucket whose non-key columns are NULL, so it shuffles narrow)
+    # a row without a time has no next bucket: its peers are the rows of its
+    # user without one, which its own bucket holds already
     rows = (stg.withColumn(_US, us)
-               .withColumn(_CTX, F.explode(F.array(F.lit(False), F.lit(True)))))
+               .withColumn(_CTX, F.explode(F.when(F.col(_US).isNull(), F.array(F.lit(False)))
+                                            .otherwise(F.array(F.lit(False), F.lit(True))))))
     ctx = F.col(_CTX)
     rows = rows.select(
         *[F.col(c) if c in keys else F.when(~ctx, F.col(c)).alias(c) for c in stg.columns],

@@ -87,12 +87,13 @@ merchants as (
          cast(date '2023-01-01' + cast((s_suppkey * 37) % 640 as integer) as date) as onboarding_date
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 ),
-tx_n as (select count(*) as ns from supplier),
+tx_n as (select (select count(*) from supplier) as ns, (select count(*) from customer) as nc),
 tx_e as (
   select event_id, user_id, event_type, value, epoch_us(ts) - 1704067200000000 as off,
          cast(json_extract_string(props, '$.k') as bigint) as k, ns
+         , case when user_id % 5 = 1 and event_id % 3 <> 0 or user_id % 5 = 2 and event_id % 12 <> 0
+                then nc - 1 - (event_id * 7919) % (nc // 2) else user_id end as owner
   from events cross join tx_n
-  where case when user_id % 5 = 1 then event_id % 3 = 0 when user_id % 5 = 2 then event_id % 12 = 0 else true end
 ),
 tx_m as (
   select *, case when user_id % 25 = 1 then 3 % ns
@@ -107,7 +108,7 @@ tx_f as (
 ),
 transactions as (
   select concat('TXN_', lpad(cast(event_id as varchar), 10, '0')) as transaction_id,
-         concat('USR_', lpad(cast(user_id as varchar), 8, '0')) as user_id,
+         concat('USR_', lpad(cast(owner as varchar), 8, '0')) as user_id,
          concat('MER_', lpad(cast(suppkey as varchar), 6, '0')) as merchant_id,
          {CATEGORY_CASE.format(k='suppkey')} as merchant_category,
          case event_type when 'view' then 'UPI' when 'click' then 'Credit Card' when 'purchase' then 'Debit Card'

@@ -72,13 +72,17 @@ def merchants_from(supplier: DataFrame, nation: DataFrame, region: DataFrame) ->
                 F.date_add(F.lit("2023-01-01").cast("date"), ((k * 37) % 640).cast("int")).alias("onboarding_date")))
 
 
-def transactions_from(events: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    # number of merchants, as a scalar subquery (evaluated once, no join)
+def transactions_from(events: DataFrame, customer: DataFrame, supplier: DataFrame, nation: DataFrame,
+                      region: DataFrame) -> DataFrame:
+    # number of merchants and of customers, as scalar subqueries (evaluated once, no join)
     ns = supplier.agg(F.count(F.lit(1))).scalar()
+    nc = customer.agg(F.count(F.lit(1))).scalar()
     uid, eid = F.col("user_id"), F.col("event_id")
     e = (events
-         .where(F.when(uid % 5 == 1, eid % 3 == 0).when(uid % 5 == 2, eid % 12 == 0).otherwise(F.lit(True)))
          .select("event_id", "user_id", "event_type", "value",
+                 # every event is a transaction; some users give most of theirs to customers that have no events
+                 F.when((uid % 5 == 1) & (eid % 3 != 0) | (uid % 5 == 2) & (eid % 12 != 0),
+                        nc - 1 - (eid * 7919) % idiv(nc, F.lit(2))).otherwise(uid).alias("owner"),
                  (F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_2024_US)).alias("off"),
                  F.get_json_object("props", "$.k").cast("bigint").alias("k"),
                  ns.alias("ns")))
@@ -104,7 +108,7 @@ def transactions_from(events: DataFrame, supplier: DataFrame, nation: DataFrame,
     out = (e.join(_geo(nation, region), (eid % 25) == F.col("n_nationkey"))
            .select(
                F.concat(F.lit("TXN_"), F.lpad(eid.cast("string"), 10, "0")).alias("transaction_id"),
-               F.concat(F.lit("USR_"), F.lpad(uid.cast("string"), 8, "0")).alias("user_id"),
+               F.concat(F.lit("USR_"), F.lpad(F.col("owner").cast("string"), 8, "0")).alias("user_id"),
                F.concat(F.lit("MER_"), F.lpad(s.cast("string"), 6, "0")).alias("merchant_id"),
                _cycle(s).alias("merchant_category"),
                method.alias("payment_method"),
@@ -127,7 +131,7 @@ def load_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = {
         "users": users_from(t["customer"], t["nation"], t["region"]),
         "merchants": merchants_from(t["supplier"], t["nation"], t["region"]),
-        "transactions": transactions_from(t["events"], t["supplier"], t["nation"], t["region"]),
+        "transactions": transactions_from(t["events"], t["customer"], t["supplier"], t["nation"], t["region"]),
     }
     return {name: df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW[name]])
             for name, df in raw.items()}

@@ -7,11 +7,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from paymart.oracle import load_all as load_oracle
+from paymart.plans.catalog import load_all as load_queries
 from twin import compare, duck
 
 SF = os.environ.get("PAYMART_TWIN_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = load_queries()
+ORACLE = load_oracle()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -124,3 +124,22 @@ def test_hot_user_day_tiered_equals_unsplit(spark):
     df = spark.createDataFrame(hot + ties + rest, SCHEMA)
     cfg = replace(DEFAULT, window_bucket_row_limit=1000)
     assert counts(velocity_counts(df, cfg)) == counts(add_velocity_counts_unsplit(df))
+
+
+def test_null_time_and_user_in_every_plan(spark):
+    from paymart.operators.velocity_windows import add_velocity_counts_tiered
+    rows = [("a", "u", "X", None), ("b", "u", "Y", None), ("c", "u", "X", T0), ("d", None, "X", T0), ("e", None, "X", None),
+            ("f", None, "X", T0 + dt.timedelta(hours=2))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = counts(add_velocity_counts_unsplit(df))
+    assert want["a"] == (2, 2, 1) and want["f"] == (1, 2, 2)
+    assert counts(add_velocity_counts(df)) == want
+    assert counts(add_velocity_counts_tiered(df)) == want
+
+
+def test_every_event_is_a_transaction(spark):
+    from paymart.sources.driver_tables import load_raw
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        raw = load_raw(spark, sf)
+        assert raw["transactions"].count() == spark.read.parquet(f"{sf}/events.parquet").count()
+        assert raw["transactions"].join(raw["users"], "user_id", "left_anti").isEmpty()
