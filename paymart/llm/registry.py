@@ -40,8 +40,6 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def load_oracle_sql() -> dict[str, str]:
     return {
-        "op1_tool_calls": lambda spark, d: op1_tool_calls(table(spark, d, "conversations")),
-        "op2_suffix_dedup": lambda spark, d: op2_suffix_dedup(table(spark, d, "documents")),
         "op1_tool_calls": OP1_SQL,
         "op3_warc_zip": OP3_SQL,
     }
