@@ -22,6 +22,7 @@ empty one. Other columns, whatever their names, aren't read."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,15 @@ WORDS, SLOTS_N, BANDS = 5, 128, 32
 HUBS = 16  # of a bucket in the second round; four times as many in each round after
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_WORD_HASHES: dict[str, int] = {}
+
+
+class WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        got = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return got
+
+
+_WORD_HASHES = WordHashes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,20 +54,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the text's shingles and their counts."""
-    split = text.lower().split()
+def shingle_sets(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, hashes, counts): the shingles of all texts, sorted within each; ends[i] is where those of text i end."""
     if len(_WORD_HASHES) > 500_000:
         _WORD_HASHES.clear()
-    for w in set(split):
-        if w not in _WORD_HASHES:
-            _WORD_HASHES[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-    h = np.fromiter(map(_WORD_HASHES.__getitem__, split), np.uint64, len(split))
-    k = min(words, len(h))
-    out = np.full(max(len(h) - k + 1, 1), k, np.uint64)
-    for i in range(k):
-        out = mix(out * _GOLDEN + h[i : i + len(out)])
-    return np.unique(out, return_counts=True)
+    split = [t.lower().split() for t in texts]
+    n = np.array([len(x) for x in split], np.int64)
+    h = np.fromiter(map(_WORD_HASHES.__getitem__, chain.from_iterable(split)), np.uint64, int(n.sum()))
+    rolled = np.full(len(h), words, np.uint64)
+    for i in range(min(words, len(h))):
+        rolled[: len(h) - i] = mix(rolled[: len(h) - i] * _GOLDEN + h[i:])
+    starts, parts = np.cumsum(n) - n, []
+    for i, (at, k) in enumerate(zip(starts.tolist(), n.tolist())):
+        if k >= words:
+            part = rolled[at : at + k - words + 1]
+            part.sort()
+        else:  # one shingle of all its words
+            part = np.full(1, k, np.uint64)
+            for x in h[at : at + k]:
+                part = mix(part * _GOLDEN + x)
+        parts.append(part)
+    every = np.concatenate(parts) if parts else h
+    ends = np.cumsum(np.maximum(n - words + 1, 1))
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    new[ends[:-1]] = True
+    at = np.flatnonzero(new)
+    return np.cumsum(new)[ends - 1] if len(ends) else ends, every[at], np.diff(at, append=len(every))
+
+
+def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the text's shingles and their counts."""
+    return shingle_sets([text], words)[1:]
+
+
+def signatures_of(texts: list[str], slots: int = SLOTS_N) -> np.ndarray:
+    """One ProbMinHash a row. Texts share their array operations, one arrival of every element a round; the
+    elements of very short ones need hundreds of arrivals each and are worked out text by text."""
+    ends, hashes, weights = shingle_sets(texts)
+    weights = weights.astype(np.float64)
+    n = np.diff(ends, prepend=0)
+    kept, long = np.zeros((len(texts), slots), np.uint64), n >= slots // 16
+    for i in np.flatnonzero(~long).tolist():
+        kept[i] = signature(hashes[ends[i] - n[i] : ends[i]], weights[ends[i] - n[i] : ends[i]], slots)
+    row = np.repeat(np.arange(len(texts)), n)
+    going = long[row]
+    row, hashes, weights = row[going], hashes[going], weights[going]
+    first, flat, at, done = np.full(len(texts) * slots, np.inf), kept.ravel(), np.zeros(len(row)), 0
+    while len(row):
+        done += 1
+        draw = mix(hashes + _GOLDEN * np.array(done, np.uint64))
+        at = at - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / weights
+        place = row * slots + (mix(draw + _A) % np.uint64(slots)).astype(np.int64)
+        early = np.flatnonzero(at < first[place])
+        when, where = at[early], place[early]
+        np.minimum.at(first, where, when)
+        won = np.flatnonzero(when == first[where])[::-1]  # arrivals at one time go by element
+        flat[where[won]] = hashes[early[won]]
+        going = at < first.reshape(-1, slots).max(1)[row]  # early termination
+        row, hashes, weights, at = row[going], hashes[going], weights[going], at[going]
+    return kept
 
 
 def signature(hashes: np.ndarray, weights: np.ndarray, slots: int = SLOTS_N) -> np.ndarray:
@@ -101,13 +156,13 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((x / (above + ratio * below)).sum()), len(both) / union
 
 
-def band_keys(sig: np.ndarray, bands: int = BANDS) -> list[int]:
-    rows = sig.reshape(bands, -1)
-    out = np.arange(bands, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(rows.shape[1]):
-            out = mix(out * _GOLDEN + rows[:, k])
-    return out.view(np.int64).tolist()
+def band_keys(sigs: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """The bucket of each band of each signature."""
+    rows = sigs.reshape(len(sigs), bands, -1)
+    out = np.tile(np.arange(bands, dtype=np.uint64), (len(sigs), 1))
+    for k in range(rows.shape[2]):
+        out = mix(out * _GOLDEN + rows[:, :, k])
+    return out.view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -118,12 +173,10 @@ def signatures(docs: DataFrame) -> DataFrame:
     rows = rows.select(doc_name("doc_id", "text_key").alias("doc"), "text_key", F.col("text").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "t", 1 << 21):
-            out = []
-            for text in batch.column("t").to_pylist():
-                hashes, counts = shingles(text)
-                out.append(band_keys(signature(hashes, counts.astype(np.float64))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text_key"), pa.array(out, pa.list_(pa.int64()))], ["doc", "text_key", "bands"])
+        for batch in runs(batches, "t", 1 << 19):
+            keys = band_keys(signatures_of(batch.column("t").to_pylist()))
+            bands = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, keys.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text_key"), bands], ["doc", "text_key", "bands"])
 
     return rows.mapInArrow(run, "doc long, text_key string, bands array<long>")
 
