@@ -15,10 +15,11 @@ insert-if-absent guarded by a high-water mark on ``transaction_ts``.
   filtered batch and its row count.
 
 Storage: the transactions table is append-only - each load writes only the
-rows it adds into a new folder and commits it in a manifest; dimensions and
-the state table are small and written as whole new versions behind a
-pointer.  Data is written first and the mark last, so a failed job leaves
-the previous tables and mark in place.
+rows it adds into a new folder; dimensions and the state table are small and
+written as whole new versions.  A folder counts once the table's log names
+it, and the log only ever grows by one small file per commit.  Data is
+written first and the mark last, so a job that stops anywhere leaves the
+previous tables and mark in place, and the next load repeats its rows.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ def watermark_row(batch: DataFrame, table: str = TRANSACTIONS_TABLE, as_of=None,
                   ts: str = "transaction_ts") -> DataFrame:
     """IO9: the state row a non-empty load writes (max timestamp and size of
     the *filtered* batch, not the rows actually inserted)."""
-    a = batch.agg(F.max(ts).alias("last_loaded_ts"), F.count(F.lit(1)).cast("int").alias("rows_loaded"))
+    a = batch.agg(F.max(ts).alias("last_loaded_ts"), F.count(F.lit(1)).alias("rows_loaded"))
     cols = [F.lit(table).alias("table_name"), "last_loaded_ts", "rows_loaded"]
     cols.append((F.lit(as_of) if as_of is not None else F.current_timestamp()).cast("timestamp").alias("updated_at"))
     return a.select(*cols)
@@ -135,6 +136,7 @@ class LoadReport:
     rows_after_mark: int
     rows_skipped_late: int
     path: str
+    rows_rejected: int = 0
 
 
 def _new_version(as_of=None) -> str:
@@ -148,52 +150,86 @@ def _write_version(df: DataFrame, root: str, name: str, version: str) -> str:
     return path
 
 
-def _pointer(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/raw/{name}/_CURRENT"
+EMPTY = "-"  # the version of a table that has no rows yet
 
 
-def _current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The published version of a table (empty table before the first load).
-    The version pointer is a one-line text dataset written by Spark, so it
-    lives on the same shared storage as the data.  Transactions are
-    append-only: the table is the union of its committed load folders."""
-    from pyspark.errors import AnalysisException
-    if name == "transactions":
-        return _committed_loads(spark, root)
-    try:
-        version = spark.read.text(_pointer(root, name)).first()
-    except AnalysisException:
-        version = None
-    if version is None:
-        return rawsrc.empty(spark, name)
-    return spark.read.parquet(f"{root.rstrip('/')}/raw/{name}/v={version[0]}")
+class UnpublishedDataError(RuntimeError):
+    """Data folders without the log that names the published ones: never taken for an empty table."""
+
+
+def _log(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/raw/{name}/_LOG"
+
 
+def _entries(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(seq, kind, version) of a table's log, one line per commit.
 
-def _publish(spark: SparkSession, root: str, name: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        _pointer(root, name))
+    Every commit adds a file of its own with one line, and nothing is ever replaced, so a job that stops at
+    any point leaves the log as it was.  ``base`` starts the table anew, ``add`` appends a folder to it."""
+    lines = spark.read.schema("value string").text(_log(root, name))
+    part = F.split("value", " ")
+    return lines.select(part[0].cast("long").alias("seq"), part[1].alias("kind"), part[2].alias("version"))
 
 
-def _manifest(root: str) -> str:
-    return f"{root.rstrip('/')}/raw/transactions/_MANIFEST"
+def _missing(err) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
 
 
-def _committed_loads(spark: SparkSession, root: str) -> DataFrame:
-    """Union of the committed load folders (one manifest line per load; a
-    folder written by a failed load is never listed)."""
+def _open_log(spark: SparkSession, root: str, name: str) -> int | None:
+    """The highest seq of the log, or None if the table was never written."""
     from pyspark.errors import AnalysisException
     try:
-        versions = [r[0] for r in spark.read.text(_manifest(root)).collect()]
-    except AnalysisException:
-        versions = []
+        seq = _entries(spark, root, name).agg(F.max("seq")).first()[0]
+    except AnalysisException as err:
+        if not _missing(err):
+            raise
+        seq = None
+    if seq is not None:
+        return seq
+    try:
+        spark.read.schema("x string").parquet(f"{root.rstrip('/')}/raw/{name}/v=*")
+    except AnalysisException as err:
+        if _missing(err):
+            return None
+        raise
+    raise UnpublishedDataError(f"{root}/raw/{name} holds data folders but no log of published versions")
+
+
+def _commit(spark: SparkSession, root: str, name: str, version: str, kind: str = "base") -> None:
+    seq = _open_log(spark, root, name)
+    line = f"{0 if seq is None else seq + 1} {kind} {version}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(_log(root, name))
+
+
+def _begin(spark: SparkSession, root: str, name: str) -> None:
+    """Open the log before the first data folder is written."""
+    if _open_log(spark, root, name) is None:
+        spark.createDataFrame([(f"0 base {EMPTY}",)], "value string").coalesce(1).write.mode("append").text(
+            _log(root, name))
+
+
+def _current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The published rows of a table: its newest base and the folders added since (a folder written by a
+    failed load is never listed).  The log is text written by Spark on the data's own shared storage."""
+    if _open_log(spark, root, name) is None:
+        return rawsrc.empty(spark, name)
+    log = _entries(spark, root, name)
+    since = log.where(F.col("seq") >= log.where("kind = 'base'").agg(F.max("seq")).scalar())
+    # bounded: compact_transactions starts a new base; other tables have only bases
+    versions = [r.version for r in since.select("version").distinct().collect() if r.version != EMPTY]
     if not versions:
-        return rawsrc.empty(spark, "transactions")
-    paths = [f"{root.rstrip('/')}/raw/transactions/v={v}" for v in sorted(versions)]
-    return spark.read.schema(schemas.TRANSACTIONS).parquet(*paths)
+        return rawsrc.empty(spark, name)
+    paths = [f"{root.rstrip('/')}/raw/{name}/v={v}" for v in sorted(versions)]
+    return spark.read.schema(schemas.RAW[name]).parquet(*paths)
 
 
-def _commit_load(spark: SparkSession, root: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(_manifest(root))
+def compact_transactions(spark: SparkSession, root: str) -> str:
+    """Write the committed loads as one new base, so that readers list one folder instead of one per load.
+    Run it every few hundred loads; old folders stay until the storage's own retention removes them."""
+    version = _new_version()
+    path = _write_version(_current(spark, root, "transactions"), root, "transactions", version)
+    _commit(spark, root, "transactions", version)
+    return path
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -203,45 +239,75 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def reset_raw(spark: SparkSession, root: str) -> None:
     """IO11: empty all raw tables and the load state."""
-    version = _new_version()
-    for name in ("users", "merchants", "watermark"):
-        _write_version(rawsrc.empty(spark, name), root, name, version)
-        _publish(spark, root, name, version)
-    spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(_manifest(root))
+    for name in ("transactions", "watermark", "users", "merchants"):
+        _commit(spark, root, name, EMPTY)
 
 
 def load_dimension(spark: SparkSession, batch: DataFrame, root: str, name: str, as_of=None) -> str:
     key = schemas.KEYS[name]
-    target = _current(spark, root, name)
-    merged = upsert(target, batch, key)
+    _begin(spark, root, name)
+    merged = upsert(_current(spark, root, name), batch, key)
     version = _new_version(as_of)
     path = _write_version(merged, root, name, version)
-    _publish(spark, root, name, version)
+    _commit(spark, root, name, version)
     return path
 
 
-def load_transactions(spark: SparkSession, batch: DataFrame, root: str, as_of: dt.datetime | None = None
-                      ) -> LoadReport:
-    """Incremental insert-if-absent guarded by the high-water mark."""
+def with_reject_reason(batch: DataFrame, users: DataFrame | None = None,
+                       merchants: DataFrame | None = None) -> DataFrame:
+    """``reject_reason``: which load rules a transaction breaks (NULL if none): required columns hold a value,
+    and user and merchant are stored, where those tables are given."""
+    checks = [F.when(F.col(f.name).isNull(), F.lit(f"{f.name} is null"))
+              for f in schemas.TRANSACTIONS if not f.nullable]
+    out = batch
+    for key, table in (("user_id", users), ("merchant_id", merchants)):
+        if table is not None:
+            known = broadcast_if_small(table.select(key, F.lit(True).alias(f"_known_{key}")))
+            out = out.join(known, key, "left")
+            checks.append(F.when(F.col(key).isNotNull() & F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}")))
+    reason = F.concat_ws(", ", *checks)
+    return out.select(*batch.columns, F.when(reason != "", reason).alias("reject_reason"))
+
+
+STORED_MARK = object()
+
+
+def load_transactions(spark: SparkSession, batch: DataFrame, root: str, as_of: dt.datetime | None = None,
+                      references: bool = False, mark=STORED_MARK) -> LoadReport:
+    """Incremental insert-if-absent guarded by the high-water mark.
+
+    Rows that break a load rule (``with_reject_reason``; ``references`` adds the stored users and merchants)
+    go to ``raw/rejected_transactions`` with the reason and are counted in the report.  ``mark`` replaces the
+    stored mark as the limit below which rows are late (None: no row is late); the stored mark never moves
+    back."""
     rawsrc.require_columns(batch, ["transaction_ts"], TRANSACTIONS_TABLE)
+    for name in ("watermark", "transactions"):
+        _begin(spark, root, name)
     state = _current(spark, root, "watermark")
-    mark = get_watermark(state)
-    fresh = filter_new(batch, mark)
-    counts = batch.agg(F.count(F.lit(1)).alias("n"),
-                       F.count(F.when(F.lit(mark).isNull() | (F.col("transaction_ts") > F.lit(mark)), 1)).alias("m")
-                       ).first()
-    n_in, n_new = counts["n"], counts["m"]
-    if n_new == 0:
-        return LoadReport(TRANSACTIONS_TABLE, n_in, 0, n_in, "")
+    stored = get_watermark(state)
+    mark = stored if mark is STORED_MARK else mark
+    checked = with_reject_reason(batch, *([_current(spark, root, n) for n in ("users", "merchants")]
+                                          if references else []))
+    good = F.col("reject_reason").isNull()
+    fresh = filter_new(checked.where(good), mark).drop("reject_reason")
+    late = good & (F.col("transaction_ts") <= F.lit(mark).cast("timestamp"))
+    n_in, n_bad, n_late = checked.agg(F.count(F.lit(1)), F.count_if(~good), F.count_if(late)).first()
     version = _new_version(as_of)
+    if n_bad:
+        _write_version(checked.where(~good), root, "rejected_transactions", version)
+    n_new = n_in - n_bad - n_late
+    if n_new == 0:
+        return LoadReport(TRANSACTIONS_TABLE, n_in, 0, n_late, "", n_bad)
     target = _current(spark, root, "transactions")
     # append-only: write just the rows this load adds, then commit the folder
     path = _write_version(new_rows(target, fresh, "transaction_id"), root, "transactions", version)
-    new_state = advance_watermark(state, fresh, TRANSACTIONS_TABLE, as_of)
-    _write_version(new_state, root, "watermark", version)
-    _commit_load(spark, root, version)
-    _publish(spark, root, "watermark", version)   # the mark moves last
-    return LoadReport(TRANSACTIONS_TABLE, n_in, n_new, n_in - n_new, path)
+    row = watermark_row(fresh, TRANSACTIONS_TABLE, as_of)
+    if stored is not None:
+        row = row.withColumn("last_loaded_ts", F.greatest("last_loaded_ts", F.lit(stored).cast("timestamp")))
+    _write_version(upsert(state, row, "table_name", check_duplicates=False), root, "watermark", version)
+    _commit(spark, root, "transactions", version, "add")
+    _commit(spark, root, "watermark", version)   # the mark moves last
+    return LoadReport(TRANSACTIONS_TABLE, n_in, n_new, n_late, path, n_bad)
 
 
 def ingest(spark: SparkSession, src: dict[str, str], root: str, as_of: dt.datetime | None = None) -> LoadReport:
@@ -253,4 +319,4 @@ def ingest(spark: SparkSession, src: dict[str, str], root: str, as_of: dt.dateti
         load_dimension(spark, df, root, name, as_of)
     tx = rawsrc.read_raw(spark, src["transactions"], "transactions")
     rawsrc.require_columns(tx, ["transaction_ts"], TRANSACTIONS_TABLE)
-    return load_transactions(spark, rawsrc.conform(tx, "transactions", as_of), root, as_of)
+    return load_transactions(spark, rawsrc.conform(tx, "transactions", as_of), root, as_of, references=True)

@@ -472,7 +472,7 @@ _reg("dq_status", f"select distinct status from transactions where status not in
 FIRST = "transactions where transaction_ts < timestamp '2024-07-01 00:00:00'"
 STATE_CTE = f"""
 st as (select 'raw.transactions' as table_name, max(transaction_ts) as last_loaded_ts,
-              cast(count(*) as integer) as rows_loaded, timestamp '2025-07-01 00:00:00' as updated_at
+              count(*) as rows_loaded, timestamp '2025-07-01 00:00:00' as updated_at
        from {FIRST})"""
 _reg("watermark_row", "select * from st", STATE_CTE)
 _reg("incremental_filter", "select * replace (cast(amount as double) as amount) from transactions "

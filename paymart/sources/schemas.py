@@ -42,7 +42,7 @@ TRANSACTIONS = T.StructType([
 WATERMARK = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("last_loaded_ts", T.TimestampType(), True),
-    T.StructField("rows_loaded", T.IntegerType(), True),
+    T.StructField("rows_loaded", T.LongType(), True),
     T.StructField("updated_at", T.TimestampType(), True),
 ])
 

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paymart.operators import ingest
 from paymart.sources import raw as rawsrc
@@ -88,3 +89,78 @@ def test_full_ingest_twice_and_watermark(spark, tmp_root):
     assert ingest.read_current(spark, root, "watermark").first().rows_loaded == 2
     ingest.reset_raw(spark, root)
     assert ingest.read_current(spark, root, "transactions").count() == 0
+
+
+def _tx_frame(spark, rows):
+    loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in schemas.TRANSACTIONS])
+    return spark.createDataFrame(rows, loose)
+
+
+def _users(spark, *ids):
+    return spark.createDataFrame([(i, "18-25", "savings", dt.date(2024, 1, 1), "Pune", "MH") for i in ids], schemas.USERS)
+
+
+def test_lost_log_is_an_error_and_not_an_empty_table(spark, tmp_root):
+    ingest._write_version(_users(spark, "U1", "U2"), tmp_root, "users", "1")
+    with pytest.raises(ingest.UnpublishedDataError):
+        ingest.read_current(spark, tmp_root, "users")
+    with pytest.raises(ingest.UnpublishedDataError):
+        ingest.load_dimension(spark, _users(spark, "U3"), tmp_root, "users")
+
+
+@pytest.mark.parametrize("stop_at", range(4))
+def test_a_load_that_stops_before_any_commit_loses_nothing(spark, tmp_root, monkeypatch, stop_at):
+    first = _tx_frame(spark, [tx("A", MARK), tx("B", MARK + dt.timedelta(hours=1))])
+    second = _tx_frame(spark, [tx("B", MARK + dt.timedelta(hours=3)), tx("C", MARK + dt.timedelta(hours=2))])
+    ingest.load_transactions(spark, first, tmp_root)
+    steps = [0]
+
+    def stops(real):
+        def run(*args, **kw):
+            if steps[0] == stop_at:
+                raise KeyboardInterrupt
+            steps[0] += 1
+            return real(*args, **kw)
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_write_version", stops(ingest._write_version))
+        m.setattr(ingest, "_commit", stops(ingest._commit))
+        with pytest.raises(KeyboardInterrupt):
+            ingest.load_transactions(spark, second, tmp_root)
+    seen = {r.transaction_id for r in ingest.read_current(spark, tmp_root, "transactions").collect()}
+    assert seen in ({"A", "B"}, {"A", "B", "C"})
+    assert ingest.read_current(spark, tmp_root, "watermark").first().last_loaded_ts == MARK + dt.timedelta(hours=1)
+    ingest.load_transactions(spark, second, tmp_root)
+    got = sorted((r.transaction_id, r.transaction_ts) for r in ingest.read_current(spark, tmp_root, "transactions").collect())
+    assert got == [("A", MARK), ("B", MARK + dt.timedelta(hours=1)), ("C", MARK + dt.timedelta(hours=2))]
+    assert ingest.read_current(spark, tmp_root, "watermark").first().last_loaded_ts == MARK + dt.timedelta(hours=3)
+
+
+def test_compaction_keeps_rows_and_shortens_the_listing(spark, tmp_root):
+    for k in range(3):
+        ingest.load_transactions(spark, _tx_frame(spark, [tx(f"T{k}", MARK + dt.timedelta(hours=k))]), tmp_root)
+    before = sorted(map(tuple, ingest.read_current(spark, tmp_root, "transactions").collect()))
+    ingest.compact_transactions(spark, tmp_root)
+    table = ingest.read_current(spark, tmp_root, "transactions")
+    assert sorted(map(tuple, table.collect())) == before and len({f.rpartition("/")[0] for f in table.inputFiles()}) == 1
+    ingest.load_transactions(spark, _tx_frame(spark, [tx("T9", MARK + dt.timedelta(hours=9))]), tmp_root)
+    assert ingest.read_current(spark, tmp_root, "transactions").count() == 4
+
+
+def test_load_rules_reject_with_reason(spark, tmp_root):
+    ingest.load_dimension(spark, _users(spark, "USR_00000001"), tmp_root, "users")
+    merchant = spark.createDataFrame([("MER_000001", "Shop", "Retail", "Pune", "MH", dt.date(2023, 1, 1))], schemas.MERCHANTS)
+    ingest.load_dimension(spark, merchant, tmp_root, "merchants")
+    stranger = ("S", "USR_9", *tx("S", MARK)[2:])
+    batch = _tx_frame(spark, [tx("A", MARK), tx("N", None), tx(None, MARK), stranger])
+    rep = ingest.load_transactions(spark, batch, tmp_root, references=True)
+    assert (rep.rows_in_file, rep.rows_after_mark, rep.rows_skipped_late, rep.rows_rejected) == (4, 1, 0, 3)
+    assert [r.transaction_id for r in ingest.read_current(spark, tmp_root, "transactions").collect()] == ["A"]
+    rejected = spark.read.parquet(f"{tmp_root}/raw/rejected_transactions")
+    assert sorted(r.reject_reason for r in rejected.collect()) == [
+        "transaction_id is null", "transaction_ts is null", "unknown user_id"]
+
+
+def test_rows_loaded_holds_more_than_an_int(spark):
+    assert dict(ingest.watermark_row(_tx_frame(spark, [tx("A", MARK)])).dtypes)["rows_loaded"] == "bigint"
