@@ -326,7 +326,8 @@ def read_files(manifest: DataFrame) -> DataFrame:
                     cols = zip(*rows[k : k + 10_000])
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [f.split()[0] for f in DOCS.split(", ")])
 
-    return files.repartition(F.col("file")).mapInArrow(run, DOCS)
+    # a number given is kept as it is; left to itself, Spark joins these few short rows in one task, which would read every file
+    return files.repartitionByRange(max(1, manifest.count()), "file").mapInArrow(run, DOCS)
 
 
 def op4_range_coder(docs: DataFrame, path: str) -> DataFrame:
