@@ -223,6 +223,9 @@ def write_packages(marked: DataFrame, folder: str, package_bytes: int = 256 << 2
     return cut(marked.mapInArrow(run, MANIFEST))
 
 
+TASK_BYTES = 128 << 20  # of archives that a task reads, once every core has some
+
+
 def read_packages(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
     """The records of all packages (RECORDS); payload is null for revisits. Work is dealt out by spans of the archives."""
     workers_can_import(packages.sparkSession)
@@ -270,8 +273,11 @@ def read_packages(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [f.split()[0] for f in RECORDS.split(", ")])
 
-    spans = packages.mapInArrow(locate, SPANS)
-    return spans.repartition(F.col("package"), F.col("start")).mapInArrow(fetch, RECORDS)
+    spans = cut(packages.mapInArrow(locate, SPANS))
+    n, total = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    # a number given is kept as it is; left to itself, Spark joins these few short rows in one task, which would read every archive
+    tasks = max(1, min(n, max(spans.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)))
+    return spans.repartitionByRange(tasks, "package", "start").mapInArrow(fetch, RECORDS)
 
 
 def op3_warc_zip(pages: DataFrame, least: int = 1000) -> DataFrame:
