@@ -204,6 +204,12 @@ def test_cotraining_odd(odd, empty, spark):
     assert keep_good(empty, labels).count() == 0
 
 
+def test_signatures_of_many_texts_equal_those_of_one():
+    texts = [t or "" for _, t in ODD] + ["a", "a b c d e", "x " * 300, " ".join(f"v{i % 90}" for i in range(700))]
+    alone = [prob_minhash.signature(h, n.astype(float)) for h, n in map(prob_minhash.shingles, texts)]
+    assert (prob_minhash.signatures_of(texts) == np.array(alone)).all() and prob_minhash.signatures_of([]).shape == (0, 128)
+
+
 def test_prob_minhash_estimate_and_classes(spark, odd, empty):
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(1, 2**62, 300).astype(np.uint64))
