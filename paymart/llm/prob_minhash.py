@@ -4,15 +4,17 @@ A document is its five-word shingles, weighted by their counts (words are lower-
 is one shingle, an empty text the empty one). Each shingle runs a Poisson process whose rate is its weight, from a random
 stream that depends on the shingle alone; every arrival falls in a random slot of the signature, which keeps the shingle
 of its earliest arrival. A process stops once it is past the latest slot. Two signatures agree in a slot with the
-probability Jaccard similarity of their documents.
+probability Jaccard similarity of their documents; with all weights 1, with their plain Jaccard similarity.
 
-Equal texts are one text. Bands of the signature put texts in buckets. In rounds, every bucket that still holds texts of
+Equal texts are one text. Bands of both signatures, the weighted one and that of weights 1, put texts in buckets; they are
+one signature where no shingle repeats, and their bands share the buckets, so that a text without repeats meets the others
+by either. In rounds, every bucket that still holds texts of
 different classes compares its first texts (hubs) with all others; pairs are verified on whole texts, links join classes,
 and hubs that have met every member leave the bucket. It ends when no bucket holds two classes, so every pair that shares a
 bucket has been compared or is in one class already: no pair is lost, and a round's pairs grow with the bucket rows only.
 A pair is linked if its probability Jaccard or its plain Jaccard reaches `least`.
 
-With 32 bands of 4 slots a pair of similarity 0.8 shares no bucket with a probability of 5e-8.
+With 32 bands of 4 slots a pair of either similarity 0.8 shares no bucket with a probability of 5e-8.
 
 Null text counts as empty, so all such documents form one class. Repeated rows are in one class, as are different texts
 under one doc_id. A row without doc_id takes part under a negative number made from its text and has that as class if no
@@ -91,16 +93,19 @@ def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 def signatures_of(texts: list[str], slots: int = SLOTS_N) -> np.ndarray:
     """One ProbMinHash a row. Texts share their array operations, one arrival of every element a round; the
     elements of very short ones need hundreds of arrivals each and are worked out text by text."""
-    ends, hashes, weights = shingle_sets(texts)
+    return _signatures(*shingle_sets(texts), slots)
+
+
+def _signatures(ends: np.ndarray, hashes: np.ndarray, weights: np.ndarray, slots: int = SLOTS_N) -> np.ndarray:
     weights = weights.astype(np.float64)
     n = np.diff(ends, prepend=0)
-    kept, long = np.zeros((len(texts), slots), np.uint64), n >= slots // 16
+    kept, long = np.zeros((len(n), slots), np.uint64), n >= slots // 16
     for i in np.flatnonzero(~long).tolist():
         kept[i] = signature(hashes[ends[i] - n[i] : ends[i]], weights[ends[i] - n[i] : ends[i]], slots)
-    row = np.repeat(np.arange(len(texts)), n)
+    row = np.repeat(np.arange(len(n)), n)
     going = long[row]
     row, hashes, weights = row[going], hashes[going], weights[going]
-    first, flat, at, done = np.full(len(texts) * slots, np.inf), kept.ravel(), np.zeros(len(row)), 0
+    first, flat, at, done = np.full(len(n) * slots, np.inf), kept.ravel(), np.zeros(len(row)), 0
     while len(row):
         done += 1
         draw = mix(hashes + _GOLDEN * np.array(done, np.uint64))
@@ -158,13 +163,28 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def band_keys(sigs: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """The bucket of each band of each signature."""
-    rows = sigs.reshape(len(sigs), bands, -1)
+    rows = sigs.reshape(len(sigs), bands, sigs.shape[1] // bands)
     out = np.tile(np.arange(bands, dtype=np.uint64), (len(sigs), 1))
     for k in range(rows.shape[2]):
         out = mix(out * _GOLDEN + rows[:, :, k])
     return out.view(np.int64)
 
 
+def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, keys): the buckets of all texts, those of text i up to ends[i]; first the bands of the weighted signature,
+    then those that the signature of weights 1 has besides."""
+    ends, hashes, weights = shingle_sets(texts)
+    n = np.diff(ends, prepend=0)
+    keys = band_keys(_signatures(ends, hashes, weights))
+    row = np.repeat(np.arange(len(n)), n)
+    often = np.unique(row[weights > 1])  # of the others, both signatures are one
+    its = hashes[np.isin(row, often)]
+    plain = keys.copy()
+    plain[often] = band_keys(_signatures(np.cumsum(n[often]), its, np.ones(len(its))))
+    held = np.concatenate([np.ones(keys.shape, bool), plain != keys], 1)
+    return np.cumsum(held.sum(1)), np.concatenate([keys, plain], 1)[held]
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc, text_key, bands) of every row."""
     workers_can_import(docs.sparkSession)
@@ -174,8 +194,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "t", 1 << 19):
-            keys = band_keys(signatures_of(batch.column("t").to_pylist()))
-            bands = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, keys.ravel())
+            ends, keys = buckets_of(batch.column("t").to_pylist())
+            bands = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), keys)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text_key"), bands], ["doc", "text_key", "bands"])
 
     return rows.mapInArrow(run, "doc long, text_key string, bands array<long>")

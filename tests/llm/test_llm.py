@@ -243,6 +243,23 @@ def test_prob_minhash_estimate_and_classes(spark, odd, empty):
     assert prob_minhash.op6_prob_minhash(empty).count() == 0
 
 
+def test_equal_shingle_sets_of_unlike_counts_are_one_class(spark):
+    rows = []
+    for k in range(20):  # the second text repeats a passage of the first a hundred times
+        words = [f"p{k}w{i}" for i in range(300)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:14] * 99 + words))]
+    weighted, plain = prob_minhash.similarity(*(prob_minhash.shingles(t) for _, t in rows[:2]))
+    assert weighted < 0.25 and plain > 0.9
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in prob_minhash.op6_prob_minhash(docs).collect()} == {i: i - i % 2 for i, _ in rows}
+    texts = [t for _, t in rows] + ["", "a b", "x " * 300]
+    ends, keys = prob_minhash.buckets_of(texts)
+    for text, own in zip(texts, np.split(keys, ends[:-1])):
+        h, n = prob_minhash.shingles(text)
+        sigs = np.array([prob_minhash.signature(h, n.astype(float)), prob_minhash.signature(h, np.ones(len(h)))])
+        assert len(set(own.tolist())) == len(own) and set(own.tolist()) == set(prob_minhash.band_keys(sigs).ravel().tolist())
+
+
 def test_weighted_sampling(spark, odd, empty):
     rows = weighted_sampling.op8_weighted_sampling(odd).collect()
     assert len(rows) == len(ODD)
