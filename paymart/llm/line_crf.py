@@ -5,8 +5,10 @@ transitions from a 2 x 2 table; Viterbi decoding finds the best labelling, and t
 decides whether the document stays. Plain rules on the whole text (word count, repeated three-word windows) come first.
 
 The field is fitted by exact gradient (forward-backward) on the lines of labelled documents: lines of good documents count
-as content, of bad ones as boilerplate. The sample is bounded: `sample` documents of each class, those with the smallest
-hash of their id, and TRAIN_LINES lines of each in the fit. Without labels of both classes the prior weights are used.
+as content, of bad ones as boilerplate. Labels of whole documents show no switch between lines, so the transitions stay
+those of the prior and the emission weights are fitted under them. The sample is bounded: `sample` documents of each class,
+those with the smallest hash of their id, with all their lines; the driver's memory and the fit grow with these. Without
+labels of both classes the prior weights are used.
 
 Null text counts as empty: no words, so the base rule fails. Repeated rows give repeated results; equal texts always get
 equal verdicts. Texts of any length are judged whole, in memory proportional to the text. An empty table gives an empty
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from paymart.llm.common import runs, workers_can_import
 
-TRAIN_LINES = 32
+CHAIN = 1024  # lines; longer documents are fitted as several chains
 BLANKS = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("bias", "upper", "symbols", "bars", "bangs", "adjacent", "variety", "word_length", "short_words", "long_line", "repeated", "digits")
@@ -117,44 +119,43 @@ def _either(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit(chains: list[tuple[np.ndarray, int]], rounds: int = 60, rate: float = 0.3, l2: float = 0.05) -> LineField:
     """Maximum likelihood of (lines x features, label) chains by Adam on the exact gradient; classes weigh the same."""
-    labels = {y for _, y in chains}
-    if labels != {0, 1}:
+    if {y for _, y in chains} != {0, 1}:
         return LineField()
-    length = max(len(x) for x, _ in chains)
-    X = np.zeros((len(chains), length, len(FEATURES)))
-    on = np.zeros((len(chains), length), bool)
-    y = np.array([label for _, label in chains])
+    share = np.mean([y for _, y in chains])
+    n_docs = len(chains)
+    chains = [(x[k : k + CHAIN], y) for x, y in chains for k in range(0, len(x), CHAIN)]
+    chains.sort(key=lambda c: -len(c[0]))
+    # all first lines, then all second ones, and so on: those of chain i at line t are at start[t] + i
+    size = np.array([len(x) for x, _ in chains])
+    going = np.array([np.count_nonzero(size > t) for t in range(size[0])])
+    start = np.cumsum(going) - going
+    chain_of = np.concatenate([np.arange(n) for n in going])
+    X = np.zeros((size.sum(), len(FEATURES)))
     for i, (x, _) in enumerate(chains):
-        X[i, : len(x)], on[i, : len(x)] = x, True
-    share = y.mean()
+        X[start[: len(x)] + i] = x
+    y = np.array([label for _, label in chains])[chain_of]
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
+    last = start[size - 1] + np.arange(len(chains))
     prior = LineField()
-    theta = np.concatenate([prior.emission, prior.transition.ravel()])
-    start, m, v = theta.copy(), np.zeros_like(theta), np.zeros_like(theta)
-    nf = len(FEATURES)
-    total = (on.sum(1) * weight).sum()
+    T, theta = prior.transition, prior.emission.copy()
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        e, T = X @ theta[:nf], theta[nf:].reshape(2, 2)
+        e = X @ theta
         score = np.stack([np.zeros_like(e), e], -1)
-        alpha = np.zeros((len(chains), length, 2))
-        alpha[:, 0] = score[:, 0]
-        for t in range(1, length):
-            alpha[:, t] = np.where(on[:, t, None], score[:, t] + _either(alpha[:, t - 1, 0, None] + T[0], alpha[:, t - 1, 1, None] + T[1]), alpha[:, t - 1])
-        beta = np.zeros_like(alpha)
-        grad_T = np.zeros((2, 2))
-        logz = _either(alpha[:, -1, 0], alpha[:, -1, 1])
-        for t in range(length - 1, 0, -1):
-            ahead = (score[:, t] + beta[:, t])[:, None, :] + T
-            pair = np.exp(alpha[:, t - 1, :, None] + ahead - logz[:, None, None]) * (on[:, t] * weight)[:, None, None]
-            grad_T -= pair.sum(0)
-            np.add.at(grad_T, (y, y), on[:, t] * weight)
-            beta[:, t - 1] = np.where(on[:, t, None], _either(ahead[:, :, 0], ahead[:, :, 1]), beta[:, t])
-        p = np.exp(alpha + beta - logz[:, None, None])[:, :, 1]
-        grad = np.concatenate([(((y[:, None] - p) * on * weight[:, None])[:, :, None] * X).sum((0, 1)), grad_T.ravel()]) / total
-        grad -= l2 * (theta - start) / len(chains)
+        alpha, beta = score.copy(), np.zeros_like(score)
+        for t in range(1, len(going)):
+            now, before = slice(start[t], start[t] + going[t]), alpha[start[t - 1] : start[t - 1] + going[t]]
+            alpha[now] += _either(before[:, 0, None] + T[0], before[:, 1, None] + T[1])
+        for t in range(len(going) - 1, 0, -1):
+            now = slice(start[t], start[t] + going[t])
+            ahead = (score[now] + beta[now])[:, None, :] + T
+            beta[start[t - 1] : start[t - 1] + going[t]] = _either(ahead[:, :, 0], ahead[:, :, 1])
+        logz = _either(alpha[last, 0], alpha[last, 1])[chain_of]
+        p = np.exp(alpha[:, 1] + beta[:, 1] - logz)
+        grad = ((y - p) * weight) @ X / weight.sum() - l2 * (theta - prior.emission) / n_docs
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return LineField(theta[:nf], theta[nf:].reshape(2, 2))
+    return LineField(theta, T)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 200) -> LineField:
@@ -170,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 200) -> LineField:
         for batch in batches:
             out = []
             for text in batch.column("t").to_pylist():
-                lines = text_lines(text or "")[:TRAIN_LINES]
+                lines = text_lines(text or "")
                 out.append(np.array([line_features(w, seen) for w, _, seen in lines], "<f8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(out, pa.binary())], ["i", "y", "x"])
 

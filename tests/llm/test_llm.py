@@ -189,6 +189,42 @@ def test_viterbi_is_the_best_path():
         assert tuple(model.viterbi(scores)) == best
 
 
+def line_field_documents():
+    """Labelled documents whose bad ones turn to number rows after 40 clean lines, and a document of both."""
+    clean = [" ".join(f"{w}{k}a" for w in ("river", "stone", "over", "the", "long", "walk", "home")) for k in range(120)]
+    rows = [" ".join(str(10_000 + 97 * k + j) for j in range(7)) for k in range(40)]
+    docs = [(i, "\n".join(x.replace("river", f"river{i}") for x in clean), 1) for i in range(20)]
+    docs += [(100 + i, "\n".join(clean[:40] + [f"{x} {i}" for x in rows]), 0) for i in range(20)]
+    return docs, "\n".join(clean[:6] + rows[:6] + clean[6:12] + rows[6:12]), [1] * 6 + [0] * 6 + [1] * 6 + [0] * 6
+
+
+def test_line_field_sees_lines_after_the_first_ones_and_switches_inside(spark):
+    docs, mixed, want = line_field_documents()
+    rows = spark.createDataFrame([(i, t) for i, t, _ in docs], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in docs], "doc_id long, quality int")
+    model = line_crf.train(rows, labels)
+    got = line_crf.label_lines(spark.createDataFrame([(7, mixed)], "doc_id long, text string"), model).first()
+    assert list(got.labels) == want
+    assert (model.transition == line_crf.LineField().transition).all()
+
+
+def test_line_field_switches_are_not_unlearnt():
+    # chains of one label each, short ones as well: the labels of a mixed document still change inside it
+    rng = np.random.default_rng(5)
+    line = lambda x: np.array([1.0, *[0.0] * 10, x])
+    chains = [(np.array([line(max(0.0, (0.3 if y else 0.7) + rng.normal() * 0.25)) for _ in range(4)]), y) for y in (0, 1) for _ in range(100)]
+    model = line_crf.fit(chains)
+    scores = (np.array([line(x) for x in (0.1, 0.1, 0.9, 0.9, 0.1, 0.1, 0.1)]) @ model.emission).tolist()
+    assert model.viterbi(scores) == [1, 1, 0, 0, 1, 1, 1]
+
+
+def test_line_field_gradient_of_long_and_short_chains():
+    # documents over CHAIN lines are fitted whole: with all lines of one document alike, its length changes no label
+    good, bad = np.array([[1.0] + [0.0] * 11]), np.array([[1.0] + [0.0] * 10 + [1.0]])
+    model = line_crf.fit([(np.repeat(good, 2500, 0), 1), (good, 1), (np.repeat(bad, 3, 0), 0), (np.repeat(bad, 1500, 0), 0)])
+    assert (good @ model.emission)[0] > 0 > (bad @ model.emission)[0]
+
+
 @pytest.mark.parametrize("judge", [lambda d, l: line_crf.op5_line_crf(d, l), lambda d, l: op10_cotraining(d, l)])
 def test_judges_keep_good_and_reject_bad(spark, judge):
     d = "/root/testdata/sf0.01"
