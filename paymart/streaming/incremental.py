@@ -12,6 +12,10 @@ The mark is the one stored when the stream starts, so what is kept does not
 depend on how the files of a run fall into micro-batches.  ``keep_late``
 compares with no mark at all: then it does not depend on restarts either.
 
+The load rules include the references, as in the batch loader: a row whose user or merchant is not stored is
+rejected.  Only a root that holds no dimension rows at all has nothing to compare with; there, unless
+``references=True``, rows are stored without this rule.
+
 ``trigger(availableNow=True)`` processes everything that has landed and
 stops, which is how a scheduled load runs; a continuous trigger gives a
 long-running loader with the same semantics.  The checkpoint lives under
@@ -33,15 +37,19 @@ from paymart.sources import schemas
 
 
 def _apply_batch(spark: SparkSession, root: str, as_of: dt.datetime | None, reports: deque,
-                 mark: dt.datetime | None):
+                 mark: dt.datetime | None, references: bool | None):
     def run(batch: DataFrame, epoch_id: int) -> None:
+        check = references
+        if check is None:
+            check = any(not ingest.read_current(spark, root, n).isEmpty() for n in ("users", "merchants"))
         conformed = rawsrc.conform(batch, "transactions", as_of or dt.datetime.now())
-        reports.append(ingest.load_transactions(spark, conformed, root, as_of, mark=mark))
+        reports.append(ingest.load_transactions(spark, conformed, root, as_of, references=check, mark=mark))
     return run
 
 
 def stream_transactions(spark: SparkSession, landing_dir: str, root: str, as_of: dt.datetime | None = None,
-                        checkpoint: str | None = None, available_now: bool = True, keep_late: bool = False):
+                        checkpoint: str | None = None, available_now: bool = True, keep_late: bool = False,
+                        references: bool | None = None):
     """Start the loader; returns (StreamingQuery, the newest 1,000 per-batch LoadReports)."""
     declared = [f for f in schemas.TRANSACTIONS if f.name != "created_at"]
     from pyspark.sql import types as T
@@ -51,7 +59,7 @@ def stream_transactions(spark: SparkSession, landing_dir: str, root: str, as_of:
     checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/paymart/stream-transactions"
     reports: deque = deque(maxlen=1000)
     mark = None if keep_late else ingest.get_watermark(ingest.read_current(spark, root, "watermark"))
-    writer = (stream.writeStream.foreachBatch(_apply_batch(spark, root, as_of, reports, mark))
+    writer = (stream.writeStream.foreachBatch(_apply_batch(spark, root, as_of, reports, mark, references))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(), reports

@@ -162,5 +162,19 @@ def test_load_rules_reject_with_reason(spark, tmp_root):
         "transaction_id is null", "transaction_ts is null", "unknown user_id"]
 
 
+def test_streamed_rows_keep_the_reference_rule(spark, tmp_root):
+    from paymart.streaming.incremental import stream_transactions
+    ingest.load_dimension(spark, _users(spark, "USR_00000001"), tmp_root, "users")
+    merchant = spark.createDataFrame([("MER_000001", "Shop", "Retail", "Pune", "MH", dt.date(2023, 1, 1))], schemas.MERCHANTS)
+    ingest.load_dimension(spark, merchant, tmp_root, "merchants")
+    rows = _tx_frame(spark, [tx("A", MARK), ("S", "USR_9", *tx("S", MARK)[2:])]).drop("created_at")
+    rows.coalesce(1).write.csv(f"{tmp_root}/landing", header=True, timestampFormat="yyyy-MM-dd HH:mm:ss")
+    query, reports = stream_transactions(spark, f"{tmp_root}/landing", tmp_root, dt.datetime(2025, 7, 1), f"{tmp_root}/ckpt")
+    query.awaitTermination(120)
+    assert [r.transaction_id for r in ingest.read_current(spark, tmp_root, "transactions").collect()] == ["A"]
+    assert sum(r.rows_rejected for r in reports) == 1
+    assert [r.reject_reason for r in spark.read.parquet(f"{tmp_root}/raw/rejected_transactions").collect()] == ["unknown user_id"]
+
+
 def test_rows_loaded_holds_more_than_an_int(spark):
     assert dict(ingest.watermark_row(_tx_frame(spark, [tx("A", MARK)])).dtypes)["rows_loaded"] == "bigint"
