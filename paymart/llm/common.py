@@ -54,6 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def one_each(rows: DataFrame, features: list[str]) -> DataFrame:
+    """One row of each (i, y): the one whose features have the smallest hash, so that a repeated id stays one row.
+
+    Combined in every task before the shuffle, which therefore deals a row of each id and task at most."""
+    first = F.min(F.struct(F.xxhash64(*features).alias("h"), *features)).alias("f")
+    return rows.groupBy("i", "y").agg(first).select("i", "y", *(f"f.{c}" for c in features))
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -7,7 +7,8 @@ proportion of the labels, to the other as training examples. Held-out labels the
 log odds, less the prior's, add up to the score of every document.
 
 The fit uses a bounded sample: at most `sample` labelled documents of each class and `pool` unlabelled ones, those with
-the smallest hash of their id. The driver gets their features only, TEXT_DIMS + 10 numbers at most each. Scoring reads
+the smallest hash of their id; of the rows of a repeated doc_id, the one whose features have the smallest hash. The driver
+gets their features only, TEXT_DIMS + 10 numbers at most each. Scoring reads
 every document whole and needs memory in proportion to one text.
 
 Null text counts as empty, null language, source or length as a value of its own; empty texts are scored like any other.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import runs, workers_can_import
+from paymart.llm.common import one_each, runs, workers_can_import
 
 TEXT_DIMS, META_DIMS, STYLE = 1024, 64, 8
 SCHEMA = "doc_id long, content_score double, meta_score double, score double"
@@ -169,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 500, pool: int = 100
     picked = [usable.where(F.col("y") == q).orderBy(*by_hash).limit(sample) for q in (0, 1)]
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
     rest = ids.join(usable.select("doc_id"), "doc_id", "left_anti").orderBy(*by_hash).limit(pool).withColumn("y", F.lit(-1))
-    wanted = picked[0].unionByName(picked[1]).unionByName(rest)  # at most 2 * sample + pool rows
+    wanted = picked[0].unionByName(picked[1]).unionByName(rest)  # at most 2 * sample + pool ids
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(wanted), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 500, pool: int = 100
                 out.append((i, y, *(p.astype("<f4").tobytes() for p in parts)))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), pa.int32()] + [pa.binary()] * 4)], ["i", "y", "a", "b", "c", "d"])
 
-    got = rows.mapInArrow(run, "i long, y int, a binary, b binary, c binary, d binary").collect()
+    got = one_each(rows.mapInArrow(run, "i long, y int, a binary, b binary, c binary, d binary"), ["a", "b", "c", "d"]).collect()
     read = lambda raw: np.frombuffer(raw, "<f4")
     # the labels' own rates, so that the calibrated score means what it says
     rows = []

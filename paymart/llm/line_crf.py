@@ -7,8 +7,9 @@ decides whether the document stays. Plain rules on the whole text (word count, r
 The field is fitted by exact gradient (forward-backward) on the lines of labelled documents: lines of good documents count
 as content, of bad ones as boilerplate. Labels of whole documents show no switch between lines, so the transitions stay
 those of the prior and the emission weights are fitted under them. The sample is bounded: `sample` documents of each class,
-those with the smallest hash of their id, with all their lines; the driver's memory and the fit grow with these. Without
-labels of both classes the prior weights are used.
+those with the smallest hash of their id, with all their lines; the driver's memory and the fit grow with these. Of the
+rows of a repeated doc_id one is used, the one whose measures have the smallest hash. Without labels of both classes the
+prior weights are used.
 
 Null text counts as empty: no words, so the base rule fails. Repeated rows give repeated results; equal texts always get
 equal verdicts. Texts of any length are judged whole, in memory proportional to the text. An empty table gives an empty
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import runs, workers_can_import
+from paymart.llm.common import one_each, runs, workers_can_import
 
 CHAIN = 1024  # lines; longer documents are fitted as several chains
 BLANKS = " \t\n\v\f\r"
@@ -175,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 200) -> LineField:
                 out.append(np.array([line_features(w, seen) for w, _, seen in lines], "<f8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(out, pa.binary())], ["i", "y", "x"])
 
-    got = rows.select("doc_id", "y", "t").mapInArrow(run, "i long, y int, x binary").collect()
+    got = one_each(rows.select("doc_id", "y", "t").mapInArrow(run, "i long, y int, x binary"), ["x"]).collect()
     chains = [(np.frombuffer(r.x, "<f8").reshape(-1, len(FEATURES)), r.y) for r in sorted(got, key=lambda r: (r.i, r.y, r.x)) if r.x]
     return fit(chains)
 

@@ -234,6 +234,20 @@ def test_judges_keep_good_and_reject_bad(spark, judge):
     assert kept[1] > 0.93 and kept[0] < 0.1
 
 
+def test_training_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    import paymart.llm.cotraining as cotraining
+    docs = [(i, f"text number {i} of a few words", "en", "s", 9) for i in range(12)]
+    docs += [(i, f"copy {k} of one id\nand a line", "en", "s", 9) for i in (0, 11) for k in range(300)] + [(1, None, None, None, None)] * 300
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)] + [(0, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = {}
+    monkeypatch.setattr(cotraining, "cotrain", lambda rows: seen.setdefault("op10", len(rows)) and None)
+    monkeypatch.setattr(line_crf, "fit", lambda chains: seen.setdefault("op5", len(chains)) and None)
+    cotraining.train(docs, labels)
+    line_crf.train(docs, labels)
+    assert seen["op10"] == 13 and seen["op5"] in (10, 11)  # ids and contradicting labels count; an empty text has no lines
+
+
 def test_cotraining_odd(odd, empty, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert op10_cotraining(odd, labels).where("kept").count() == len(ODD)
