@@ -12,6 +12,7 @@ from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
 from paymart.llm.cotraining import op10_cotraining
 from paymart.llm.line_crf import op5_line_crf
+from paymart.llm.merkle import OP13_SQL, op13_merkle_versions
 from paymart.llm.packing import op9_best_two_fit
 from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
@@ -34,6 +35,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_weighted_sampling": lambda spark, d: op8_weighted_sampling(table(spark, d, "documents")),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
+        "op13_merkle_versions": lambda spark, d: op13_merkle_versions(table(spark, d, "documents")),
         "pipeline": run,
     }
 
@@ -42,4 +44,5 @@ def load_oracle_sql() -> dict[str, str]:
     return {
         "op1_tool_calls": OP1_SQL,
         "op3_warc_zip": OP3_SQL,
+        "op13_merkle_versions": OP13_SQL,
     }

@@ -18,4 +18,4 @@ def test_twin(spark, name):
 def test_every_operator_is_registered():
     names = load_queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
