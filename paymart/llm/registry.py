@@ -16,6 +16,7 @@ from paymart.llm.merkle import OP13_SQL, op13_merkle_versions
 from paymart.llm.packing import op9_best_two_fit
 from paymart.llm.prob_minhash import op6_prob_minhash
 from paymart.llm.range_coder import op4_range_coder
+from paymart.llm.rotated_kmeans import OP11_SQL, op11_rotated_kmeans
 from paymart.llm.suffix_dedup import op2_suffix_dedup
 from paymart.llm.token_cache import default_tokenizer
 from paymart.llm.tool_calls import OP1_SQL, op1_tool_calls
@@ -35,6 +36,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_weighted_sampling": lambda spark, d: op8_weighted_sampling(table(spark, d, "documents")),
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
+        "op11_rotated_kmeans": lambda spark, d: op11_rotated_kmeans(table(spark, d, "embeddings")),
         "op13_merkle_versions": lambda spark, d: op13_merkle_versions(table(spark, d, "documents")),
         "pipeline": run,
     }
@@ -44,5 +46,6 @@ def load_oracle_sql() -> dict[str, str]:
     return {
         "op1_tool_calls": OP1_SQL,
         "op3_warc_zip": OP3_SQL,
+        "op11_rotated_kmeans": OP11_SQL,
         "op13_merkle_versions": OP13_SQL,
     }
