@@ -11,6 +11,7 @@ from corpus_pipeline import run
 from paymart.llm.bpe import op7_bpe
 from paymart.llm.common import table
 from paymart.llm.cotraining import op10_cotraining
+from paymart.llm.count_min_windows import OP12_SQL, op12_count_min_windows
 from paymart.llm.line_crf import op5_line_crf
 from paymart.llm.merkle import OP13_SQL, op13_merkle_versions
 from paymart.llm.packing import op9_best_two_fit
@@ -37,6 +38,7 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_two_fit": lambda spark, d: op9_best_two_fit(table(spark, d, "documents"), default_tokenizer()),
         "op10_cotraining": lambda spark, d: op10_cotraining(table(spark, d, "documents"), table(spark, d, "labels")),
         "op11_rotated_kmeans": lambda spark, d: op11_rotated_kmeans(table(spark, d, "embeddings")),
+        "op12_count_min_windows": lambda spark, d: op12_count_min_windows(table(spark, d, "documents")),
         "op13_merkle_versions": lambda spark, d: op13_merkle_versions(table(spark, d, "documents")),
         "pipeline": run,
     }
@@ -47,5 +49,6 @@ def load_oracle_sql() -> dict[str, str]:
         "op1_tool_calls": OP1_SQL,
         "op3_warc_zip": OP3_SQL,
         "op11_rotated_kmeans": OP11_SQL,
+        "op12_count_min_windows": OP12_SQL,
         "op13_merkle_versions": OP13_SQL,
     }
