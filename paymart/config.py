@@ -101,8 +101,8 @@ class RiskConfig:
     # velocity windows (microseconds)
     window_1h_us: int = 3_600_000_000
     window_24h_us: int = 86_400_000_000
-    # above this many rows in one (user, day) bucket the velocity counts switch
-    # from the bucketed windows to the tiered (time-bounded) plan
+    # users with more rows than this in one bucket (a week) are counted by the
+    # tiered windows, whose partitions are bounded by time
     window_bucket_row_limit: int = 2_000_000
 
     @property

@@ -13,17 +13,15 @@ from paymart.operators.staging import stage_transactions
 from paymart.operators.velocity_windows import velocity_counts
 
 
-def enrich_transactions(stg: DataFrame, cfg: RiskConfig = DEFAULT, as_of: dt.datetime | None = None,
-                        strategy: str = "auto") -> DataFrame:
+def enrich_transactions(stg: DataFrame, cfg: RiskConfig = DEFAULT, as_of: dt.datetime | None = None) -> DataFrame:
     """``int_transactions_enriched``: one row per staged transaction.
 
     The velocity counts are added in place (no self-join on transaction_id,
-    which would give the same rows while transaction_id is unique); the
-    window plan is chosen by ``velocity_counts`` (bucketed, or tiered when
-    one user-day is very hot).  ``as_of`` adds the wall-clock
+    which would give the same rows while transaction_id is unique), by the
+    one plan of ``velocity_counts``.  ``as_of`` adds the wall-clock
     ``dbt_updated_at`` column when given.
     """
-    v = velocity_counts(stg, cfg, strategy)
+    v = velocity_counts(stg, cfg)
     v = v.withColumns({
         "is_velocity_spike_1h": F.col("tx_count_1h") >= cfg.fraud_velocity_threshold_1h,
         "is_velocity_spike_24h": F.col("tx_count_24h") >= cfg.fraud_velocity_threshold_24h,

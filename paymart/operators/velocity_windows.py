@@ -5,23 +5,21 @@ Semantics: ``count(*) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
 peers with the same timestamp and the row exactly ``w`` earlier.  Time is
 ordered in microseconds (``unix_micros``), never seconds.
 
-Plan at scale.  A plain ``PARTITION BY user_id`` window sends all rows of a
-user to one task, so a user holding a third of the data would be one task.
-Instead the rows are split by (user, day): a row at time t in day-bucket b
-only looks back to t - 24 h, which lies in bucket b or b - 1.  Each row is
-therefore emitted twice from one scan (``explode``) - once as itself in
-bucket b and once as a narrow *context* row (key columns and timestamp;
-other columns NULL) in bucket b + 1 - and the
-windows run over ``PARTITION BY user_id, bucket``.  Counting every row in the
-frame and then keeping only the non-context rows gives exactly the unsplit
-result.  All three windows share one hash exchange on (user_id, bucket): the
-per-category window partitions by a superset of those keys.  A user's load
-is spread over the days it is active; the frame buffer of a task holds at
-most one user-day of rows.
-
-When a single user-day (or a single timestamp) is itself very large,
-``velocity_counts`` switches to the *tiered* plan below, whose window
-partitions are bounded by time units instead of row counts.
+One plan for all data (``velocity_counts``):
+
+* A user's rows are dealt by (user, bucket), a bucket being seven of the
+  longest window (a week).  Only a row within that window of its bucket's end
+  is needed in the next bucket; it is generated a second time as a narrow
+  *context* row (keys and time, other columns NULL), so about 1.14 rows are
+  dealt a row.  All windows share that one exchange.
+* A count is the difference of two running counts, ``N(<= t) - N(< t - w)``.
+  Both frames start at the partition's first row and only grow, so a bucket of
+  n rows costs n steps; a sliding frame is worked out anew for every row.
+* Users with more than ``RiskConfig.window_bucket_row_limit`` rows in one
+  bucket are counted by the *tiered* windows below, whose partitions are
+  bounded by time units and not by rows.  There are at most rows / limit such
+  users: their list is found by a narrow aggregate inside the plan and
+  broadcast.  With none, adaptive execution drops the tiered branch.
 """
 
 from __future__ import annotations
@@ -33,36 +31,51 @@ from paymart.config import DEFAULT, RiskConfig
 from paymart.functions.rounding import idiv
 
 _US = "_ts_us"
-_BUCKET = "_day_bucket"
+_BUCKET = "_bucket"
 _CTX = "_is_context"
+WINDOWS_A_BUCKET = 7
 
 
-def add_velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
-                        user: str = "user_id", category: str = "merchant_category") -> DataFrame:
-    w_long = max(cfg.window_1h_us, cfg.window_24h_us)
-    bucket_us = w_long  # a frame never reaches further back than one bucket
-    us = F.unix_micros(F.col(ts))
-    keys = {user, category}
-    # one scan: every row is generated twice (itself, and a context copy in
-    # the next bucket whose non-key columns are NULL, so it shuffles narrow)
-    # a row without a time has no next bucket: its peers are the rows of its
-    # user without one, which its own bucket holds already
-    rows = (stg.withColumn(_US, us)
-               .withColumn(_CTX, F.explode(F.when(F.col(_US).isNull(), F.array(F.lit(False)))
-                                            .otherwise(F.array(F.lit(False), F.lit(True))))))
+def _bucket_start(us: F.Column, width: int) -> F.Column:
+    return us - F.pmod(us, F.lit(width))
+
+
+def with_context(stg: DataFrame, reach: int, width: int, ts: str, keys: set[str]) -> DataFrame:
+    """Every row in its bucket and, if later rows of the next bucket can look
+    back at it, once more there as a context row without its other columns.
+
+    One scan: ``explode`` makes the second row.  A row without a time has no
+    next bucket; its peers are the rows of its user without one."""
+    us = F.col(_US)
+    late = F.pmod(us, F.lit(width)) >= width - reach          # NULL: not late
+    rows = stg.withColumn(_US, F.unix_micros(F.col(ts))).withColumn(
+        _CTX, F.explode(F.when(late, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     ctx = F.col(_CTX)
-    rows = rows.select(
-        *[F.col(c) if c in keys else F.when(~ctx, F.col(c)).alias(c) for c in stg.columns],
-        F.col(_US), ctx,
-        (idiv(F.col(_US), F.lit(bucket_us)) + F.when(ctx, 1).otherwise(0)).alias(_BUCKET))
+    return rows.select(
+        *[F.col(c) if c in keys else F.when(~ctx, F.col(c)).alias(c) for c in stg.columns], _US, ctx,
+        (_bucket_start(us, width) + F.when(ctx, width).otherwise(0)).alias(_BUCKET))
+
+
+def _trailing(keys: list[str], w: int) -> F.Column:
+    """Rows of the partition in [t - w, t], from two growing frames."""
+    by = Window.partitionBy(*keys).orderBy(_US)
+    one = F.lit(1)
+    to_here = F.count(one).over(by.rangeBetween(Window.unboundedPreceding, 0))
+    before = F.count(one).over(by.rangeBetween(Window.unboundedPreceding, -(w + 1)))
+    return F.when(F.col(_US).isNull(), to_here).otherwise(to_here - before)
 
-    by_user = Window.partitionBy(user, _BUCKET).orderBy(_US)
-    by_user_cat = Window.partitionBy(user, _BUCKET, category).orderBy(_US)
+
+def add_velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
+                        user: str = "user_id", category: str = "merchant_category") -> DataFrame:
+    """Counts from (user, bucket) windows; right for any data, with a task
+    for each bucket."""
+    reach = max(cfg.window_1h_us, cfg.window_24h_us)
+    rows = with_context(stg, reach, reach * WINDOWS_A_BUCKET, ts, {user, category})
     counted = rows.select(
         "*",
-        F.count(F.lit(1)).over(by_user.rangeBetween(-cfg.window_1h_us, 0)).alias("tx_count_1h"),
-        F.count(F.lit(1)).over(by_user.rangeBetween(-cfg.window_24h_us, 0)).alias("tx_count_24h"),
-        F.count(F.lit(1)).over(by_user_cat.rangeBetween(-cfg.window_24h_us, 0)).alias("tx_same_category_24h"),
+        _trailing([user, _BUCKET], cfg.window_1h_us).alias("tx_count_1h"),
+        _trailing([user, _BUCKET], cfg.window_24h_us).alias("tx_count_24h"),
+        _trailing([user, _BUCKET, category], cfg.window_24h_us).alias("tx_same_category_24h"),
     )
     return counted.where(~F.col(_CTX)).drop(_US, _BUCKET, _CTX)
 
@@ -187,24 +200,22 @@ def add_velocity_counts_tiered(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: st
                       F.col("c.tx_same_category_24h").cast("long").alias("tx_same_category_24h"))
 
 
-def hottest_bucket_rows(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
-                        user: str = "user_id") -> int:
-    """Rows in the busiest (user, day-bucket): one aggregate with map-side
-    combine, one number back to the driver."""
-    bucket = idiv(F.unix_micros(F.col(ts)), F.lit(max(cfg.window_1h_us, cfg.window_24h_us)))
-    row = stg.groupBy(user, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
-
-
-def velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, strategy: str = "auto") -> DataFrame:
-    """Pick the plan: ``bucketed`` (one exchange) unless the busiest
-    (user, day) bucket exceeds ``cfg.window_bucket_row_limit``, then
-    ``tiered`` (every window partition bounded by time units)."""
-    if strategy == "auto":
-        strategy = "tiered" if hottest_bucket_rows(stg, cfg) > cfg.window_bucket_row_limit else "bucketed"
-    if strategy == "tiered":
-        return add_velocity_counts_tiered(stg, cfg)
-    if strategy == "bucketed":
-        return add_velocity_counts(stg, cfg)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
+def hot_users(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
+              user: str = "user_id") -> DataFrame:
+    """Users with more than the limit's rows in one bucket (with a bucket of
+    rows without a time): at most rows / limit of them."""
+    width = max(cfg.window_1h_us, cfg.window_24h_us) * WINDOWS_A_BUCKET
+    bucket = _bucket_start(F.unix_micros(F.col(ts)), width)
+    busy = stg.groupBy(F.col(user).alias("_hot"), bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    return busy.where(F.col("_n") > cfg.window_bucket_row_limit).select("_hot").distinct()
+
+
+def velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
+                    user: str = "user_id", category: str = "merchant_category") -> DataFrame:
+    """W1-W3 in one plan: bucketed windows, tiered ones for the users whose
+    buckets are too large for a task."""
+    hot = F.broadcast(hot_users(stg, cfg, ts, user))
+    is_hot = F.col(user).eqNullSafe(F.col("_hot"))
+    usual = add_velocity_counts(stg.join(hot, is_hot, "left_anti"), cfg, ts, user, category)
+    busy = add_velocity_counts_tiered(stg.join(hot, is_hot, "left_semi"), cfg, ts, user, category)
+    return usual.unionByName(busy)

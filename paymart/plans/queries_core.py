@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paymart.functions import scoring
 from paymart.operators import marts
-from paymart.operators.velocity_windows import add_velocity_counts, add_velocity_counts_tiered
+from paymart.operators import velocity_windows
 from paymart.plans.catalog import query
 from paymart.plans.warehouse import Warehouse
 
@@ -36,7 +36,7 @@ def stg_transactions(wh: Warehouse):
 @query("velocity_counts")
 def velocity_counts(wh: Warehouse):
     """Trailing 1 h / 24 h counts per user and 24 h per user x category."""
-    return add_velocity_counts(wh.stg, wh.cfg).select(
+    return velocity_windows.velocity_counts(wh.stg, wh.cfg).select(
         "transaction_id", "user_id", "merchant_category", "transaction_ts",
         "tx_count_1h", "tx_count_24h", "tx_same_category_24h")
 
@@ -45,7 +45,7 @@ def velocity_counts(wh: Warehouse):
 def velocity_counts_tiered(wh: Warehouse):
     """W1-W3 under the skew-proof plan (two-level prefix sums over distinct
     timestamps); same result as ``velocity_counts``."""
-    return add_velocity_counts_tiered(wh.stg, wh.cfg).select(
+    return velocity_windows.add_velocity_counts_tiered(wh.stg, wh.cfg).select(
         "transaction_id", "user_id", "merchant_category", "transaction_ts",
         "tx_count_1h", "tx_count_24h", "tx_same_category_24h")
 

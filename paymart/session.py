@@ -10,7 +10,7 @@ point.  It only touches runtime SQL confs that change results or plan shape:
   a large share of the rows.
 
 The checkpoint folder is read from ``spark.checkpoint.dir`` (the shared folder
-a cluster names); a local default is set only when the session has none.
+a cluster names); a local master without one gets a folder of this machine.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Taken from the session (``spark.checkpoint.dir``); only when unset - as in
-    local tests - a folder under the system temp dir is created and registered.
+    Taken from the session (``spark.checkpoint.dir``).  Only a local master, as
+    in tests, may fall back to a folder of this machine when it is unset: on a
+    cluster the executors and the driver would not see each other's files.
     """
     try:
         sc = spark.sparkContext
@@ -49,13 +50,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:  # unset, as in local tests: a private folder for this process
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="paymart-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # core conf; the context below still records it
-            pass
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root

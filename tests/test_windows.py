@@ -53,17 +53,17 @@ def test_split_windows_equal_brute_force(spark, items):
     assert counts(add_velocity_counts_unsplit(df)) == expected
 
 
-def test_one_exchange_for_three_windows(spark, wh_small):
+def test_one_exchange_for_three_windows(wh_small):
     plan = add_velocity_counts(wh_small.stg)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_hot_user_spreads_over_tasks(spark):
-    """One user with most of the rows: the (user, day) split spreads that
+    """One user with most of the rows: the (user, bucket) split spreads that
     user over many window tasks instead of one."""
     from pyspark.sql import functions as F
     base = dt.datetime(2024, 5, 1)
-    hot = [(f"h{i}", "hot", "X", base + dt.timedelta(minutes=37 * i)) for i in range(1200)]   # ~31 days
+    hot = [(f"h{i}", "hot", "X", base + dt.timedelta(minutes=259 * i)) for i in range(1200)]   # ~7 months
     cold = [(f"c{i}", f"u{i % 5}", "Y", base + dt.timedelta(hours=5 * i)) for i in range(100)]
     df = spark.createDataFrame(hot + cold, SCHEMA)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
@@ -100,20 +100,22 @@ def test_tiered_edges(spark):
     assert got == {"a": (1, 1, 1), "b": (2, 2, 1), "c": (2, 4, 3), "d": (2, 4, 3)}
 
 
-def test_strategy_switch(spark):
+def test_busy_users_are_counted_by_bounded_windows(spark):
     from dataclasses import replace
     from paymart.config import DEFAULT
-    from paymart.operators.velocity_windows import hottest_bucket_rows, velocity_counts
+    from paymart.operators.velocity_windows import hot_users, velocity_counts
     rows = [(str(i), "hot", "X", T0 + dt.timedelta(seconds=i)) for i in range(50)]
+    rows += [(f"n{i}", None, "X", T0 + dt.timedelta(seconds=i)) for i in range(30)]
+    rows += [(f"c{i}", f"u{i % 9}", "XY"[i % 2], T0 + dt.timedelta(hours=i)) for i in range(60)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert hottest_bucket_rows(df) == 50
-    low = replace(DEFAULT, window_bucket_row_limit=10)
-    assert counts(velocity_counts(df, low)) == counts(velocity_counts(df, DEFAULT)) == brute(rows)
+    low = replace(DEFAULT, window_bucket_row_limit=25)
+    assert {r[0] for r in hot_users(df, low).collect()} == {"hot", None}
+    assert hot_users(df).isEmpty()
+    assert counts(velocity_counts(df, low)) == counts(velocity_counts(df)) == counts(add_velocity_counts_unsplit(df))
 
 
-def test_hot_user_day_tiered_equals_unsplit(spark):
-    """A third of the rows on one user inside one day: the auto plan switches
-    to the tiered counts and matches the unsplit formulation."""
+def test_hot_user_day_equals_unsplit(spark):
+    """A third of the rows on one user inside one day, 200 of them at one time."""
     from dataclasses import replace
     from paymart.config import DEFAULT
     from paymart.operators.velocity_windows import velocity_counts
@@ -123,7 +125,37 @@ def test_hot_user_day_tiered_equals_unsplit(spark):
     rest = [(f"r{i}", f"u{i % 40}", "Y", day + dt.timedelta(minutes=11 * i)) for i in range(6000)]
     df = spark.createDataFrame(hot + ties + rest, SCHEMA)
     cfg = replace(DEFAULT, window_bucket_row_limit=1000)
-    assert counts(velocity_counts(df, cfg)) == counts(add_velocity_counts_unsplit(df))
+    assert counts(velocity_counts(df, cfg)) == counts(velocity_counts(df)) == counts(add_velocity_counts_unsplit(df))
+
+
+def test_few_context_rows_and_no_sliding_frames(spark, wh_small):
+    from paymart.operators.velocity_windows import with_context
+    day = 86_400_000_000
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.001"):
+        from paymart.sources.driver_tables import load_raw
+        tx = load_raw(spark, sf)["transactions"]
+        dealt = with_context(tx, day, 7 * day, "transaction_ts", {"user_id", "merchant_category"}).count()
+        assert tx.count() < dealt < 1.2 * tx.count()
+    plan = add_velocity_counts(wh_small.stg)._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, unboundedpreceding$()" in plan
+    assert "specifiedwindowframe(RangeFrame, -" not in plan
+
+
+def test_idle_branch_does_not_run(spark, wh_small):
+    """Without busy users, adaptive execution replaces the tiered windows by an empty relation."""
+    from paymart.operators.velocity_windows import velocity_counts
+    df = velocity_counts(wh_small.stg)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window [") <= 3 and "_minute" not in final
+
+
+def test_buckets_before_1970_and_far_ahead(spark):
+    rows = [(str(i), "u", "X", t) for i, t in enumerate(
+        dt.datetime(1969, 12, 31, 20) + dt.timedelta(hours=k) for k in (0, 1, 3, 4, 5, 24, 25, 27, 28, 29, 52))]
+    rows += [(f"f{k}", "u", "X", dt.datetime(9000, 1, 1) + dt.timedelta(hours=13 * k)) for k in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert counts(add_velocity_counts(df)) == brute(rows)
 
 
 def test_null_time_and_user_in_every_plan(spark):
