@@ -14,17 +14,19 @@ insert-if-absent guarded by a high-water mark on ``transaction_ts``.
 * The mark advances only after a non-empty load: max timestamp of the
   filtered batch and its row count.
 
-Storage: the transactions table is append-only - each load writes only the
-rows it adds into a new folder; dimensions and the state table are small and
-written as whole new versions.  A folder counts once the table's log names
-it, and the log only ever grows by one small file per commit.  Data is
-written first and the mark last, so a job that stops anywhere leaves the
-previous tables and mark in place, and the next load repeats its rows.
+Storage (``table_log``): the transactions table is append-only - each load
+writes only the rows it adds into a new folder, sorted by key and with the key
+range of every file, so that the next load opens only files that can hold one
+of its keys; dimensions and the state table are small and written as whole new
+versions.  A folder counts once the table's log names it.  Data is written
+first and the mark last, so a job that stops anywhere leaves the previous
+tables and mark in place, and the next load repeats its rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 
 from paymart.config import TRANSACTIONS_TABLE
 from paymart.operators.joins import broadcast_if_small
+from paymart.operators.table_log import EMPTY, TableLog, UnpublishedDataError, key_ranges, new_version  # noqa: F401
+from paymart.session import scratch_path
 from paymart.sources import raw as rawsrc
 from paymart.sources import schemas
 
@@ -84,23 +88,26 @@ def assert_unique_keys(batch: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"key {key}={dup[0][key]!r} appears {dup[0]['n']} times in one batch")
 
 
+def filled(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The batch with all columns of the target: columns absent from it hold the stored value of its key."""
+    missing = [c for c in target.columns if c not in batch.columns]
+    if not missing:
+        return batch.select(*target.columns)
+    # the batch keys (bounded by the batch) are broadcast behind a measured
+    # bound, so the stored table is filtered in place instead of shuffled
+    stored = target.join(broadcast_if_small(batch.select(key)), key, "left_semi").select(
+        key, *[F.col(c).alias(f"_old_{c}") for c in missing])
+    return batch.join(stored, key, "left").select(
+        *[F.col(f"_old_{c}").alias(c) if c in missing else F.col(c) for c in target.columns])
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str, check_duplicates: bool = True) -> DataFrame:
     """IO6 (``ON CONFLICT DO UPDATE``): incoming rows replace stored rows;
     columns absent from the batch keep the stored value."""
     if check_duplicates:
         assert_unique_keys(batch, key)
-    missing = [c for c in target.columns if c not in batch.columns]
-    # the batch keys (bounded by the batch) are broadcast behind a measured
-    # bound, so the stored table is filtered in place instead of shuffled
-    batch_keys = broadcast_if_small(batch.select(key))
-    incoming = batch
-    if missing:
-        stored = target.join(batch_keys, key, "left_semi").select(
-            key, *[F.col(c).alias(f"_old_{c}") for c in missing])
-        incoming = batch.join(stored, key, "left").select(
-            *[F.col(c) for c in batch.columns], *[F.col(f"_old_{c}").alias(c) for c in missing])
-    kept = target.join(batch_keys, key, "left_anti")
-    return kept.unionByName(incoming.select(*target.columns))
+    kept = target.join(broadcast_if_small(batch.select(key)), key, "left_anti")
+    return kept.unionByName(filled(target, batch, key))
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -139,9 +146,11 @@ class LoadReport:
     rows_rejected: int = 0
 
 
-def _new_version(as_of=None) -> str:
-    import uuid
-    return (as_of or dt.datetime.now()).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+MERGE_FANOUT = 32      # so many folders of about one size become one
+
+
+def raw_table(spark: SparkSession, root: str, name: str) -> TableLog:
+    return TableLog(spark, f"{root.rstrip('/')}/raw/{name}")
 
 
 def _write_version(df: DataFrame, root: str, name: str, version: str) -> str:
@@ -150,106 +159,83 @@ def _write_version(df: DataFrame, root: str, name: str, version: str) -> str:
     return path
 
 
-EMPTY = "-"  # the version of a table that has no rows yet
-
-
-class UnpublishedDataError(RuntimeError):
-    """Data folders without the log that names the published ones: never taken for an empty table."""
-
-
-def _log(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/raw/{name}/_LOG"
-
-
-def _entries(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """(seq, kind, version) of a table's log, one line per commit.
-
-    Every commit adds a file of its own with one line, and nothing is ever replaced, so a job that stops at
-    any point leaves the log as it was.  ``base`` starts the table anew, ``add`` appends a folder to it."""
-    lines = spark.read.schema("value string").text(_log(root, name))
-    part = F.split("value", " ")
-    return lines.select(part[0].cast("long").alias("seq"), part[1].alias("kind"), part[2].alias("version"))
-
+def _current(table: TableLog, name: str) -> DataFrame:
+    rows = table.read(schemas.RAW[name])
+    return rawsrc.empty(table.spark, name) if rows is None else rows
 
-def _missing(err) -> bool:
-    return err.getCondition() == "PATH_NOT_FOUND"
 
-
-def _open_log(spark: SparkSession, root: str, name: str) -> int | None:
-    """The highest seq of the log, or None if the table was never written."""
-    from pyspark.errors import AnalysisException
-    try:
-        seq = _entries(spark, root, name).agg(F.max("seq")).first()[0]
-    except AnalysisException as err:
-        if not _missing(err):
-            raise
-        seq = None
-    if seq is not None:
-        return seq
-    try:
-        spark.read.schema("x string").parquet(f"{root.rstrip('/')}/raw/{name}/v=*")
-    except AnalysisException as err:
-        if _missing(err):
-            return None
-        raise
-    raise UnpublishedDataError(f"{root}/raw/{name} holds data folders but no log of published versions")
-
-
-def _commit(spark: SparkSession, root: str, name: str, version: str, kind: str = "base") -> None:
-    seq = _open_log(spark, root, name)
-    line = f"{0 if seq is None else seq + 1} {kind} {version}"
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(_log(root, name))
-
-
-def _begin(spark: SparkSession, root: str, name: str) -> None:
-    """Open the log before the first data folder is written."""
-    if _open_log(spark, root, name) is None:
-        spark.createDataFrame([(f"0 base {EMPTY}",)], "value string").coalesce(1).write.mode("append").text(
-            _log(root, name))
+def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """IO13 for the raw layer: the published rows of a table."""
+    return _current(raw_table(spark, root, name), name)
 
 
-def _current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The published rows of a table: its newest base and the folders added since (a folder written by a
-    failed load is never listed).  The log is text written by Spark on the data's own shared storage."""
-    if _open_log(spark, root, name) is None:
-        return rawsrc.empty(spark, name)
-    log = _entries(spark, root, name)
-    since = log.where(F.col("seq") >= log.where("kind = 'base'").agg(F.max("seq")).scalar())
-    # bounded: compact_transactions starts a new base; other tables have only bases
-    versions = [r.version for r in since.select("version").distinct().collect() if r.version != EMPTY]
-    if not versions:
-        return rawsrc.empty(spark, name)
-    paths = [f"{root.rstrip('/')}/raw/{name}/v={v}" for v in sorted(versions)]
-    return spark.read.schema(schemas.RAW[name]).parquet(*paths)
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """Compute once: written to the session's scratch folder and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def compact_transactions(spark: SparkSession, root: str) -> str:
-    """Write the committed loads as one new base, so that readers list one folder instead of one per load.
-    Run it every few hundred loads; old folders stay until the storage's own retention removes them."""
-    version = _new_version()
-    path = _write_version(_current(spark, root, "transactions"), root, "transactions", version)
-    _commit(spark, root, "transactions", version)
-    return path
-
-
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """IO13 for the raw layer: the latest published version of a table."""
-    return _current(spark, root, name)
+    """Write all committed loads as one new folder."""
+    table, version = raw_table(spark, root, "transactions"), new_version()
+    rows = table.write_sorted(_current(table, "transactions"), version, schemas.KEYS["transactions"])
+    if table.live():
+        table.merge(table.live(), version, rows)
+    return f"{table.path}/v={version}"
+
+
+def merge_small_folders(table: TableLog, name: str, fanout: int = MERGE_FANOUT) -> int:
+    """Merge ``fanout`` or more folders of about one size (one power of ``fanout`` in rows) into one, smallest first.
+
+    Every row is written anew about log(rows) times in its life, and a table has some ``fanout`` folders for each
+    size, so that neither readers' listings nor the log grow with the number of loads.  Returns the merges made."""
+    merges = 0
+    while True:
+        sizes: dict[int, list] = {}
+        for e in table.live():
+            sizes.setdefault(math.floor(math.log(max(e.rows, 1), fanout)), []).append(e)
+        due = min((k for k, v in sizes.items() if len(v) >= fanout), default=None)
+        if due is None:
+            return merges
+        version = new_version()
+        rows = table.spark.read.schema(schemas.RAW[name]).parquet(*[table.folder(e) for e in sizes[due]])
+        table.merge(sizes[due], version, table.write_sorted(rows, version, schemas.KEYS[name]))
+        merges += 1
 
 
 def reset_raw(spark: SparkSession, root: str) -> None:
     """IO11: empty all raw tables and the load state."""
     for name in ("transactions", "watermark", "users", "merchants"):
-        _commit(spark, root, name, EMPTY)
+        raw_table(spark, root, name).commit(EMPTY)
+
+
+def _required(name: str, present) -> list[F.Column]:
+    """Reasons for the required columns of a table that hold no value."""
+    return [F.when(F.col(f.name).isNull(), F.lit(f"{f.name} is null"))
+            for f in schemas.RAW[name] if not f.nullable and f.name in present]
+
+
+def _reason(checks: list[F.Column]) -> F.Column:
+    reason = F.concat_ws(", ", *checks)
+    return F.when(reason != "", reason).alias("reject_reason")
 
 
 def load_dimension(spark: SparkSession, batch: DataFrame, root: str, name: str, as_of=None) -> str:
-    key = schemas.KEYS[name]
-    _begin(spark, root, name)
-    merged = upsert(_current(spark, root, name), batch, key)
-    version = _new_version(as_of)
-    path = _write_version(merged, root, name, version)
-    _commit(spark, root, name, version)
+    """Upsert users or merchants.  A row that, with its stored values filled in, has no value in a required column
+    goes to ``raw/rejected_<name>`` with the reason, and the stored row stays."""
+    key, table, version = schemas.KEYS[name], raw_table(spark, root, name), new_version(as_of)
+    table.begin()
+    assert_unique_keys(batch.where(F.col(key).isNotNull()), key)
+    stored = _current(table, name)
+    checked = _keep(filled(stored, batch, key).withColumn("reject_reason", _reason(_required(name, stored.columns))),
+                    f"checked_{name}")
+    bad = checked.where(F.col("reject_reason").isNotNull())
+    if not bad.isEmpty():
+        _write_version(bad, root, f"rejected_{name}", version)
+    good = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    path = _write_version(upsert(stored, good, key, check_duplicates=False), root, name, version)
+    table.commit(version)
     return path
 
 
@@ -257,21 +243,30 @@ def with_reject_reason(batch: DataFrame, users: DataFrame | None = None,
                        merchants: DataFrame | None = None) -> DataFrame:
     """``reject_reason``: which load rules a transaction breaks (NULL if none): required columns hold a value,
     and user and merchant are stored, where those tables are given."""
-    checks = [F.when(F.col(f.name).isNull(), F.lit(f"{f.name} is null"))
-              for f in schemas.TRANSACTIONS if not f.nullable]
+    checks = _required("transactions", batch.columns)
     out = batch
     for key, table in (("user_id", users), ("merchant_id", merchants)):
         if table is not None:
             known = broadcast_if_small(table.select(key, F.lit(True).alias(f"_known_{key}")))
             out = out.join(known, key, "left")
             checks.append(F.when(F.col(key).isNotNull() & F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}")))
-    reason = F.concat_ws(", ", *checks)
-    return out.select(*batch.columns, F.when(reason != "", reason).alias("reject_reason"))
+    return out.select(*batch.columns, _reason(checks))
 
 
 STORED_MARK = object()
 
 
+def _insert(table: TableLog, fresh: DataFrame, version: str, key: str) -> tuple[str, int]:
+    """Write the rows of a batch that the table doesn't have, opening only files whose key range meets the batch's."""
+    picked = _keep(first_per_key(fresh, key), "picked")
+    files = table.files_with(key_ranges(picked, key))
+    if files:
+        held = table.spark.read.schema(fresh.schema).parquet(*files)
+        clashes = held.select(key).join(broadcast_if_small(picked.select(key)), key, "left_semi")
+        picked = picked.join(clashes, key, "left_anti").select(*fresh.columns)
+    return f"{table.path}/v={version}", table.write_sorted(picked, version, key)
+
+
 def load_transactions(spark: SparkSession, batch: DataFrame, root: str, as_of: dt.datetime | None = None,
                       references: bool = False, mark=STORED_MARK) -> LoadReport:
     """Incremental insert-if-absent guarded by the high-water mark.
@@ -279,34 +274,35 @@ def load_transactions(spark: SparkSession, batch: DataFrame, root: str, as_of: d
     Rows that break a load rule (``with_reject_reason``; ``references`` adds the stored users and merchants)
     go to ``raw/rejected_transactions`` with the reason and are counted in the report.  ``mark`` replaces the
     stored mark as the limit below which rows are late (None: no row is late); the stored mark never moves
-    back."""
+    back.  The batch is computed once, into the session's scratch folder; each log is read once."""
     rawsrc.require_columns(batch, ["transaction_ts"], TRANSACTIONS_TABLE)
-    for name in ("watermark", "transactions"):
-        _begin(spark, root, name)
-    state = _current(spark, root, "watermark")
+    table, marks = (raw_table(spark, root, n) for n in ("transactions", "watermark"))
+    for log in (marks, table):
+        log.begin()
+    state = _current(marks, "watermark")
     stored = get_watermark(state)
     mark = stored if mark is STORED_MARK else mark
-    checked = with_reject_reason(batch, *([_current(spark, root, n) for n in ("users", "merchants")]
-                                          if references else []))
+    checked = _keep(with_reject_reason(batch, *([read_current(spark, root, n) for n in ("users", "merchants")]
+                                                if references else [])), "checked_transactions")
     good = F.col("reject_reason").isNull()
     fresh = filter_new(checked.where(good), mark).drop("reject_reason")
     late = good & (F.col("transaction_ts") <= F.lit(mark).cast("timestamp"))
     n_in, n_bad, n_late = checked.agg(F.count(F.lit(1)), F.count_if(~good), F.count_if(late)).first()
-    version = _new_version(as_of)
+    version = new_version(as_of)
     if n_bad:
         _write_version(checked.where(~good), root, "rejected_transactions", version)
     n_new = n_in - n_bad - n_late
     if n_new == 0:
         return LoadReport(TRANSACTIONS_TABLE, n_in, 0, n_late, "", n_bad)
-    target = _current(spark, root, "transactions")
     # append-only: write just the rows this load adds, then commit the folder
-    path = _write_version(new_rows(target, fresh, "transaction_id"), root, "transactions", version)
+    path, n_added = _insert(table, fresh, version, schemas.KEYS["transactions"])
     row = watermark_row(fresh, TRANSACTIONS_TABLE, as_of)
     if stored is not None:
         row = row.withColumn("last_loaded_ts", F.greatest("last_loaded_ts", F.lit(stored).cast("timestamp")))
     _write_version(upsert(state, row, "table_name", check_duplicates=False), root, "watermark", version)
-    _commit(spark, root, "transactions", version, "add")
-    _commit(spark, root, "watermark", version)   # the mark moves last
+    table.commit(version, "add", rows=n_added)
+    marks.commit(version)   # the mark moves last
+    merge_small_folders(table, "transactions")
     return LoadReport(TRANSACTIONS_TABLE, n_in, n_new, n_late, path, n_bad)
 
 

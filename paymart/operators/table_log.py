@@ -3,27 +3,31 @@
 Layout of a table at ``path``::
 
     v=<version>/...            data folders, never changed once committed
-    _LOG/epoch=<e>/<files>     the log, text lines ``seq kind version part rows low high``
+    _LOG/epoch=<e>/<files>     the log, text lines ``seq kind version part rows``
+    _KEYS/v=...                key ranges of a folder's files
 
 A commit adds one small file with one or more lines; nothing is replaced, so a
 job that stops anywhere leaves the log as it was, and a folder that no line
 names is never read.  ``base`` starts the table anew, ``add`` appends a folder,
 ``part`` makes a folder the only one of its partition (``part`` column).
 
-After ``EPOCH_LINES`` lines the next commit opens a new epoch, whose first file
-repeats the folders that count.  A reader needs the newest epoch only, so the
-log it lists stays short however many loads a year brings.
+Once ``EPOCH_LINES`` lines no longer count, the next commit opens a new epoch,
+whose first file repeats the folders that do; ``merge`` does so at once.  A
+reader needs the newest epoch only, so the log it lists stays short however
+many loads a year brings.
 
-``low`` and ``high`` bound the table's key in the folder, and ``_KEYS`` under
-the folder holds the same for each of its files: readers that look for given
-keys open only files that can hold one (``files_with``).
+``_KEYS/v=...`` holds the key range of every file of a folder, written before
+the folder is committed: readers that look for given keys open only files that
+can hold one (``files_with``).
+
+One writer at a time owns a table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
@@ -132,21 +136,39 @@ class TableLog:
         return reader.parquet(*paths)
 
     # writing ----------------------------------------------------------------
+    def _next(self) -> int:
+        return max((e.seq for e in self.lines() or []), default=-1) + 1
+
+    def _snapshot(self, live: list[Entry]) -> list[Entry]:
+        first = Entry(min((e.seq for e in live), default=0) - 1, "base", EMPTY)
+        return [first] + [replace(e, kind="part" if e.part is not None else "add") for e in live]
+
     def commit(self, version: str, kind: str = "base", parts: dict[str, int] | None = None, rows: int = -1) -> None:
-        """Publish a folder, or (``part``) its partitions, in one step.  An
-        unchanged log is not written: one loader at a time owns a table."""
-        lines = self.lines() or []
-        seq = lines[-1].seq + 1 if lines else 0
-        fresh = [Entry(seq, kind, version, p, n) for p, n in sorted((parts or {None: rows}).items(), key=str)]
-        epoch, keep = self._epoch or 0, lines
-        if len(lines) >= self.epoch_lines:
-            live = self.live()
-            keep = [Entry(seq - 1, "base", EMPTY)] + [Entry(seq - 1, "part" if e.part is not None else "add", e.version, e.part, e.rows) for e in live]
-            epoch += 1
-            self._write(epoch, keep + fresh)       # one file: the epoch is there as a whole or not at all
+        """Publish a folder or, for ``part``, some partitions of it (rows of each; a partition without rows is
+        emptied), in one step."""
+        lines, seq = self.lines() or [], self._next()
+        if kind == "part":
+            fresh = [Entry(seq, kind, version if n else EMPTY, p, n) for p, n in sorted((parts or {}).items())]
         else:
-            self._write(epoch, fresh)
-        self._epoch, self._lines = epoch, keep + fresh
+            fresh = [Entry(seq, kind, version, None, rows)]
+        live = self.live()
+        if len(lines) >= self.epoch_lines + len(live):      # so many lines no longer count
+            self._open_epoch(self._snapshot(live) + fresh)
+        else:
+            self._write(self._epoch or 0, fresh)
+            self._epoch, self._lines = self._epoch or 0, lines + fresh
+
+    def merge(self, old: list[Entry], version: str, rows: int) -> None:
+        """One folder in place of some; the others stay as they are, and so does the order of commits."""
+        gone = {e.version for e in old}
+        kept = [e for e in self.live() if e.version not in gone]
+        new = Entry(max(e.seq for e in old), "add", version, None, rows)
+        self._open_epoch(self._snapshot(sorted([*kept, new], key=lambda e: e.seq)))
+
+    def _open_epoch(self, entries: list[Entry]) -> None:
+        epoch = (self._epoch or 0) + 1
+        self._write(epoch, entries)              # one file: the epoch is there as a whole or not at all
+        self._epoch, self._lines = epoch, entries
 
     def begin(self) -> None:
         """Open the log before the first data folder is written."""
@@ -162,32 +184,27 @@ class TableLog:
     # keys -------------------------------------------------------------------
     def write_sorted(self, df: DataFrame, version: str, key: str) -> int:
         """Write a folder whose files hold neighbouring keys, and the key range of each file.  Returns its rows."""
-        folder = f"{self.path}/v={version}"
+        folder, index = f"{self.path}/v={version}", f"{self.path}/_KEYS/v={version}"
         df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(df.schema).parquet(folder)
-        ranges = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-            F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
-        # beside the data folder, which is read as a whole
-        ranges.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_KEYS/v={version}")
-        return self.spark.read.schema(FILE_KEYS).parquet(f"{self.path}/_KEYS/v={version}").agg(F.sum("n")).first()[0] or 0
+        written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
+        ).coalesce(1).write.mode("overwrite").parquet(index)
+        return self.spark.read.schema(FILE_KEYS).parquet(index).agg(F.sum("n")).first()[0] or 0
 
     def files_with(self, ranges: list[tuple[str, str]]) -> list[str]:
-        """Files of the published folders whose key range meets one of ``ranges``; folders without ranges count whole."""
+        """Files of the published folders whose key range meets one of ``ranges``."""
         folders = {e.version: self.folder(e) for e in self.live()}
         if not folders or not ranges:
             return []
-        out, known = [], []
-        for version, folder in folders.items():
-            known.append(f"{self.path}/_KEYS/v={version}")
         meets = F.lit(False)
         for low, high in ranges:
             meets = meets | ((F.col("low") <= high) & (F.col("high") >= low))
-        index = self.spark.read.schema(FILE_KEYS).option("ignoreMissingFiles", "true").parquet(*known)
+        index = self.spark.read.schema(FILE_KEYS).parquet(*[f"{self.path}/_KEYS/v={v}" for v in folders])
         version = F.regexp_extract(F.col("_metadata.file_path"), r"/_KEYS/v=([^/]+)/", 1)
         # bounded by the files that the batch's keys can be in
-        for r in index.where(meets).select(version.alias("version"), "file").collect():
-            out.append(f"{folders[r.version]}/{r.file}")
-        return sorted(out)
+        return sorted(f"{folders[r.version]}/{r.file}"
+                      for r in index.where(meets).select(version.alias("version"), "file").collect())
 
 
 def key_ranges(keys: DataFrame, key: str, ranges: int = 64) -> list[tuple[str, str]]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paymart.operators import ingest
+from paymart.operators.table_log import EMPTY, Entry, TableLog, key_ranges
 from paymart.sources import raw as rawsrc
 from paymart.sources import schemas
 
@@ -125,7 +126,8 @@ def test_a_load_that_stops_before_any_commit_loses_nothing(spark, tmp_root, monk
 
     with monkeypatch.context() as m:
         m.setattr(ingest, "_write_version", stops(ingest._write_version))
-        m.setattr(ingest, "_commit", stops(ingest._commit))
+        m.setattr(TableLog, "write_sorted", stops(TableLog.write_sorted))
+        m.setattr(TableLog, "_write", stops(TableLog._write))
         with pytest.raises(KeyboardInterrupt):
             ingest.load_transactions(spark, second, tmp_root)
     seen = {r.transaction_id for r in ingest.read_current(spark, tmp_root, "transactions").collect()}
@@ -178,3 +180,106 @@ def test_streamed_rows_keep_the_reference_rule(spark, tmp_root):
 
 def test_rows_loaded_holds_more_than_an_int(spark):
     assert dict(ingest.watermark_row(_tx_frame(spark, [tx("A", MARK)])).dtypes)["rows_loaded"] == "bigint"
+
+
+def test_only_folders_that_can_hold_a_key_are_opened(spark, tmp_root):
+    """Loads of neighbouring keys: a delivery that overlaps one of them reads that one's files only, and its own batch once."""
+    for k in range(4):
+        rows = [tx(f"T{k}{i:03d}", MARK + dt.timedelta(hours=24 * k, minutes=i)) for i in range(50)]
+        ingest.load_transactions(spark, _tx_frame(spark, rows), tmp_root, references=False)
+    table = ingest.raw_table(spark, tmp_root, "transactions")
+    again = [tx(f"T3{i:03d}", MARK + dt.timedelta(days=30, minutes=i), status="failed") for i in range(40, 60)]
+    batch = _tx_frame(spark, again)
+    files = table.files_with(key_ranges(batch, "transaction_id"))
+    newest = table.live()[-1].version
+    assert files and all(f"/v={newest}/" in f for f in files)
+    assert len(files) < len(ingest.read_current(spark, tmp_root, "transactions").inputFiles())
+    # files of the other loads are unreadable now: the load must not open them
+    import glob
+    import os
+    for f in glob.glob(f"{tmp_root}/raw/transactions/v=*/part-*"):
+        if newest not in f:
+            os.truncate(f, 1)
+    for crc in glob.glob(f"{tmp_root}/raw/transactions/v=*/.part-*.crc"):
+        os.unlink(crc)
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            evaluated.add(b.num_rows)
+            yield b
+
+    counted = batch.mapInArrow(seen, batch.schema)
+    rep = ingest.load_transactions(spark, counted, tmp_root)
+    assert rep.rows_after_mark == 20 and evaluated.value == 20
+    live = ingest.raw_table(spark, tmp_root, "transactions").live()
+    assert [e.rows for e in live] == [50, 50, 50, 50, 10]
+
+
+def test_log_epochs_and_merged_folders(spark, tmp_root):
+    state = TableLog(spark, f"{tmp_root}/s", epoch_lines=3)
+    for k in range(12):
+        state.commit(f"v{k}")
+        assert [e.version for e in TableLog(spark, f"{tmp_root}/s", epoch_lines=3).live()] == [f"v{k}"]
+    assert state._epoch > 2 and len(state.lines()) < 6
+    path = f"{tmp_root}/t"
+    log = TableLog(spark, path)
+    log.begin()
+    for k in range(6):
+        spark.range(k, k + 1).write.parquet(f"{path}/v=v{k}")
+        log.commit(f"v{k}", "add", rows=1)
+    spark.range(4).write.parquet(f"{path}/v=m")
+    log.merge([e for e in log.live() if e.version in {f"v{j}" for j in range(4)}], "m", 4)
+    again = TableLog(spark, path)
+    assert [(e.version, e.seq) for e in again.live()] == [("m", 4), ("v4", 5), ("v5", 6)]
+    assert sorted(r.id for r in again.read().collect()) == list(range(6))
+    again.commit("v5b", "add")
+    assert TableLog(spark, path).live()[-1].seq == 7
+    again.commit(EMPTY)
+    assert TableLog(spark, path).live() == []
+    entry = Entry(3, "part", "v", "2024-05 x/y", 7)
+    assert Entry.read(entry.line()) == entry
+
+
+def test_partitions_are_replaced_alone(spark, tmp_root):
+    path = f"{tmp_root}/p"
+    log = TableLog(spark, path)
+    log.begin()
+    for version, months in (("a", {"2024-01": 1, "2024-02": 1}), ("b", {"2024-02": 2}), ("c", {"2024-01": 0})):
+        if any(months.values()):
+            rows = [(m, i) for m, n in months.items() for i in range(n)]
+            spark.createDataFrame(rows, "part string, x int").write.partitionBy("part").parquet(f"{path}/v={version}")
+        log.commit(version, "part", months)
+    live = TableLog(spark, path)
+    assert [(e.part, e.version) for e in live.live()] == [("2024-02", "b")]
+    assert live.read().count() == 2 and live.read(parts={"2024-01"}) is None
+
+
+def test_many_loads_stay_few_folders(spark, tmp_root):
+    table = ingest.raw_table(spark, tmp_root, "transactions")
+    table.begin()
+    for k in range(7):
+        version = f"x{k}"
+        n = table.write_sorted(_tx_frame(spark, [tx(f"T{k}", MARK + dt.timedelta(hours=k))]), version, "transaction_id")
+        table.commit(version, "add", rows=n)
+        ingest.merge_small_folders(table, "transactions", fanout=3)
+    live = ingest.raw_table(spark, tmp_root, "transactions").live()
+    assert sorted(e.rows for e in live) == [1, 3, 3]
+    assert sorted(r.transaction_id for r in ingest.read_current(spark, tmp_root, "transactions").collect()) == [f"T{k}" for k in range(7)]
+
+
+def test_dimension_rules(spark, tmp_root):
+    loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in schemas.USERS])
+    good = ("U1", "18-25", "savings", dt.date(2024, 1, 1), "Pune", "MH")
+    ingest.load_dimension(spark, spark.createDataFrame([good], loose), tmp_root, "users")
+    bad = [("U1", None, "current", dt.date(2024, 1, 1), "Goa", "GA"), (None, "18-25", "savings", None, None, None),
+           ("U2", "26-35", "savings", dt.date(2024, 1, 1), None, None)]
+    ingest.load_dimension(spark, spark.createDataFrame(bad, loose), tmp_root, "users")
+    got = {r.user_id: r.city for r in ingest.read_current(spark, tmp_root, "users").collect()}
+    assert got == {"U1": "Pune", "U2": None}
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{tmp_root}/raw/rejected_users").collect())
+    assert len(reasons) == 2 and reasons[0].startswith("age_group is null")
+    # a batch without a required column: known keys keep their value, new ones have none
+    part = spark.createDataFrame([("U1", "Delhi"), ("U3", "Agra")], "user_id string, city string")
+    ingest.load_dimension(spark, part, tmp_root, "users")
+    assert {r.user_id: r.city for r in ingest.read_current(spark, tmp_root, "users").collect()} == {"U1": "Delhi", "U2": None}
