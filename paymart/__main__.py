@@ -1,9 +1,13 @@
 """Command line: ``python -m paymart <command> ...``.
 
-  build   --sf-dir DIR | --raw-root DIR   --out ROOT   build every layer and mart as Parquet
   ingest  --users CSV --merchants CSV --transactions CSV --root ROOT   incremental raw load
-  export  --sf-dir DIR | --raw-root DIR   --out DIR    write the eight report sets as CSV
-  views   --sf-dir DIR | --raw-root DIR                publish and verify the reporting views
+  build   --raw-root ROOT [--full]        bring the published layers and marts of ROOT up to date
+  build   --sf-dir DIR --out ROOT         publish everything from a folder of driver tables
+  views   --root ROOT                     enter the reporting views in the catalog and open them
+  export  --root ROOT --out DIR           write the eight report sets as CSV from the published tables
+
+``--as-of`` (ISO time, default now) is the run's time: tenure is counted to it
+and the updated-at columns hold it.  ``export`` ends with 1 if a set failed.
 
 The session comes from ``SparkSession.builder.getOrCreate()`` so that
 ``spark-submit`` settings (master, memory, checkpoint folder) apply.
@@ -20,51 +24,61 @@ from pyspark.sql import SparkSession
 from paymart.session import prepare
 
 
-def _warehouse(spark, args):
-    from paymart.plans.warehouse import Warehouse
-    if args.raw_root:
-        return Warehouse.from_raw_root(spark, args.raw_root, materialize=True)
-    return Warehouse.from_driver_tables(spark, args.sf_dir, materialize=True)
-
-
-def main(argv=None) -> int:
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="paymart")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("build", "export", "views"):
-        s = sub.add_parser(name)
-        g = s.add_mutually_exclusive_group(required=True)
-        g.add_argument("--sf-dir")
-        g.add_argument("--raw-root")
-        if name != "views":
-            s.add_argument("--out", required=True)
     s = sub.add_parser("ingest")
     for t in ("users", "merchants", "transactions", "root"):
         s.add_argument(f"--{t}", required=True)
-    args = p.parse_args(argv)
+    s = sub.add_parser("build")
+    source = s.add_mutually_exclusive_group(required=True)
+    source.add_argument("--raw-root")
+    source.add_argument("--sf-dir")
+    s.add_argument("--out")
+    s.add_argument("--full", action="store_true")
+    s = sub.add_parser("views")
+    s.add_argument("--root", required=True)
+    s = sub.add_parser("export")
+    s.add_argument("--root", required=True)
+    s.add_argument("--out", required=True)
+    for s in sub.choices.values():
+        s.add_argument("--as-of", type=dt.datetime.fromisoformat, default=None)
+    return p
 
+
+def main(argv=None) -> int:
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.cmd == "build" and args.sf_dir and not args.out:
+        parser.error("--sf-dir needs --out")
+    run_at = args.as_of or dt.datetime.now()
     spark = prepare(SparkSession.builder.appName(f"paymart-{args.cmd}").getOrCreate())
     if args.cmd == "ingest":
         from paymart.operators import ingest
         rep = ingest.ingest(spark, {"users": args.users, "merchants": args.merchants,
-                                    "transactions": args.transactions}, args.root, as_of=dt.datetime.now())
+                                    "transactions": args.transactions}, args.root, as_of=run_at)
         print(json.dumps(rep.__dict__))
         return 0
-    wh = _warehouse(spark, args)
+    from paymart.plans.published import Published
     if args.cmd == "build":
-        print(json.dumps(wh.build(args.out)))
+        if args.raw_root:
+            done = Published(spark, args.raw_root).update(run_at, full=args.full)
+        else:
+            from paymart.sources import driver_tables
+            done = Published(spark, args.out).update_from(driver_tables.load_raw(spark, args.sf_dir), run_at)
+        print(json.dumps(done))
         return 0
-    from paymart.operators import export, reporting
-    marts = {"hourly_fraud_trends": wh.hourly_fraud_trends(), "merchant_risk_profiling": wh.merchant_risk_profiling(),
-             "fraud_customer_segments": wh.fraud_customer_segments(), "cohort_analysis": wh.cohort_analysis(),
-             "velocity_anomaly_detection": wh.velocity_anomaly_detection()}
+    published = Published(spark, args.root)
     if args.cmd == "views":
-        print(json.dumps(reporting.deploy_views(spark, marts, as_of=dt.datetime.now())))
+        print(json.dumps(published.deploy_views(run_at)))
         return 0
-    rep = {name: fn(marts[mart]) for name, (mart, fn) in reporting.VIEWS.items()}
-    sets = export.export_sets({"daily_overview_kpis": wh.daily_overview_kpis(), "dim_users": wh.dim_users,
-                               "fraud_analysis_mart": wh.fraud_analysis_mart()}, rep)
-    print(json.dumps(export.export_reports(sets, args.out)))
-    return 0
+    from paymart.operators import export, reporting
+    rep = {name: fn(published.table(mart)) for name, (mart, fn) in reporting.VIEWS.items()}
+    sets = export.export_sets({n: published.table(n) for n in ("daily_overview_kpis", "dim_users",
+                                                               "fraud_analysis_mart")}, rep)
+    written = export.export_reports(sets, args.out)
+    print(json.dumps(written))
+    return 0 if set(written) == set(sets) else 1
 
 
 if __name__ == "__main__":

@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paymart.operators.marts import for_sink
+
 log = logging.getLogger(__name__)
 
 
@@ -37,11 +39,10 @@ def export_sets(marts: dict[str, DataFrame], reporting: dict[str, DataFrame]) ->
         "Segments_Data": lambda: reporting["fraud_customer_segments"],
         "Hourly_Data": lambda: reporting["hourly_fraud_trends"],
         "Merchant_Data": lambda: reporting["merchant_risk_profiling"],
-        "Velocity_Data": lambda: reporting["velocity_anomaly_detection"],
+        "Velocity_Data": lambda: for_sink("velocity_anomaly_detection", reporting["velocity_anomaly_detection"]),
         "Daily_KPIs": lambda: marts["daily_overview_kpis"].orderBy(F.col("day").desc()),
         "Dim_Users": lambda: marts["dim_users"],
-        "Fraud_Mart": lambda: marts["fraud_analysis_mart"].orderBy(F.col("fraud_risk_score").desc(),
-                                                                  F.col("transaction_ts").desc()),
+        "Fraud_Mart": lambda: for_sink("fraud_analysis_mart", marts["fraud_analysis_mart"]),
     }
 
 

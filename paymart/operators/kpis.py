@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from paymart.config import DEFAULT, FRAUD_SEGMENTS, MONETARY_SEGMENTS, RISK_LEVELS, RiskConfig
 from paymart.functions.rounding import money, safe_ratio
 from paymart.functions.scoring import count_if, flag_true
+from paymart.operators.distincts import with_distinct_counts
 
 
 def _success() -> F.Column:
@@ -119,10 +120,10 @@ def kpi_hourly_rate(hourly: DataFrame) -> DataFrame:
 
 def kpi_activity(fct: DataFrame) -> DataFrame:
     """K31-K33."""
-    a = fct.agg(F.count(F.lit(1)).alias("_n"), F.countDistinct("user_sk").alias("active_users"),
-                F.countDistinct("merchant_sk").alias("active_merchants"))
+    a = with_distinct_counts(fct, [], {"active_users": "user_sk", "active_merchants": "merchant_sk"},
+                             partial={"_c": F.count(F.lit(1))}, final={"_n": F.sum("_c")})
     return a.select("active_users", "active_merchants",
-                    safe_ratio(F.col("_n"), F.col("active_users")).alias("transactions_per_user"))
+                    safe_ratio(F.coalesce(F.col("_n"), F.lit(0)), F.col("active_users")).alias("transactions_per_user"))
 
 
 def kpi_customers(segments: DataFrame, du: DataFrame) -> DataFrame:

@@ -21,7 +21,9 @@ from paymart.config import DEFAULT, RISK_LEVELS, RiskConfig
 from paymart.functions import rounding as R
 from paymart.functions import scoring, segments, velocity
 from paymart.functions.scoring import count_if
+from paymart.operators.distincts import with_distinct_counts
 from paymart.operators.joins import broadcast_if_small
+from paymart.operators.ordering import with_rank
 
 DAY_US = 86_400_000_000
 
@@ -40,22 +42,20 @@ def _high_or_critical() -> F.Column:
 
 # --------------------------------------------------------------------------- A1
 def user_metrics(enr: DataFrame, as_of=None) -> DataFrame:
-    agg = enr.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("amount").alias("total_spend"),
-        F.count("amount").alias("_n_amount"),
-        count_if(_is_fraud()).alias("fraud_count"),
-        F.min("transaction_ts").alias("first_transaction_date"),
-        F.max("transaction_ts").alias("last_transaction_date"),
-        F.countDistinct("merchant_category").alias("unique_categories_used"),
-        F.countDistinct("merchant_id").alias("unique_merchants_used"),
-        count_if(F.col("is_odd_hour")).alias("odd_hour_tx_count"),
-        F.max("fraud_risk_score").alias("max_fraud_risk_score"),
-    )
+    agg = with_distinct_counts(
+        enr, ["user_id"], {"unique_merchants_used": "merchant_id", "unique_categories_used": "merchant_category"},
+        partial={"_n": F.count(F.lit(1)), "_spend": F.sum("amount"), "_na": F.count("amount"),
+                 "_fraud": count_if(_is_fraud()), "_first": F.min("transaction_ts"), "_last": F.max("transaction_ts"),
+                 "_odd": count_if(F.col("is_odd_hour")), "_score": F.max("fraud_risk_score")},
+        final={"total_transactions": F.sum("_n"), "total_spend": F.sum("_spend"), "_n_amount": F.sum("_na"),
+               "fraud_count": F.sum("_fraud"), "first_transaction_date": F.min("_first"),
+               "last_transaction_date": F.max("_last"), "odd_hour_tx_count": F.sum("_odd"),
+               "max_fraud_risk_score": F.max("_score")})
+    spend = F.col("total_spend").cast("decimal(22,2)")
     out = agg.select(
         scoring.surrogate_key("user_id").alias("user_sk"), "user_id", "total_transactions",
-        R.round_avg_money(F.col("total_spend"), F.col("_n_amount")).alias("avg_transaction_amount"),
-        "total_spend", "fraud_count", "first_transaction_date", "last_transaction_date",
+        R.round_avg_money(spend, F.col("_n_amount")).alias("avg_transaction_amount"),
+        spend.alias("total_spend"), "fraud_count", "first_transaction_date", "last_transaction_date",
         "unique_categories_used", "unique_merchants_used", "odd_hour_tx_count", "max_fraud_risk_score")
     return _stamp(out, as_of, "updated_at")
 
@@ -63,17 +63,17 @@ def user_metrics(enr: DataFrame, as_of=None) -> DataFrame:
 # --------------------------------------------------------------------------- A2
 def daily_overview_kpis(fct: DataFrame) -> DataFrame:
     amount = F.col("amount")
-    agg = fct.groupBy(F.to_date("transaction_ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.countDistinct("user_sk").alias("active_users"),
-        F.countDistinct("merchant_sk").alias("active_merchants"),
-        F.sum(amount).alias("total_revenue"),
-        F.count(amount).alias("_n_amount"),
-        count_if(_is_fraud()).alias("fraud_count"),
-        F.sum(F.when(_is_fraud(), amount).otherwise(F.lit(0))).alias("fraud_loss_amount"),
-        count_if(F.col("status") == "failed").alias("failed_transactions"),
-    )
-    return agg.select(
+    loss = F.when(_is_fraud(), amount).otherwise(F.lit(0))
+    agg = with_distinct_counts(
+        fct.withColumn("day", F.to_date("transaction_ts")), ["day"],
+        {"active_users": "user_sk", "active_merchants": "merchant_sk"},
+        partial={"_n": F.count(F.lit(1)), "_revenue": F.sum(amount), "_na": F.count(amount),
+                 "_fraud": count_if(_is_fraud()), "_loss": F.sum(loss), "_failed": count_if(F.col("status") == "failed")},
+        final={"total_transactions": F.sum("_n"), "total_revenue": F.sum("_revenue"), "_n_amount": F.sum("_na"),
+               "fraud_count": F.sum("_fraud"), "fraud_loss_amount": F.sum("_loss"),
+               "failed_transactions": F.sum("_failed")})
+    money = {c: F.col(c).cast("decimal(22,2)") for c in ("total_revenue", "fraud_loss_amount")}
+    return agg.withColumns(money).select(
         "day", "total_transactions", "active_users", "active_merchants", "total_revenue",
         (F.col("total_revenue").cast("double") / F.nullif(F.col("_n_amount"), F.lit(0))).alias("avg_transaction_value"),
         "fraud_count", "fraud_loss_amount", "failed_transactions")
@@ -166,15 +166,13 @@ def merchant_risk_profiling(dm: DataFrame, fct: DataFrame, cfg: RiskConfig = DEF
     return _stamp(out, as_of)
 
 
-def _newest_joined_ts(fct: DataFrame, du: DataFrame) -> F.Column:
-    """Newest transaction of any user that joins the dimension, as a scalar
-    subquery.  It reads only (user_sk, transaction_ts) - Catalyst prunes the
-    score and window columns of the fact's lineage - and takes the newest
-    timestamp per user (map-side combine) before the semi join, so one row
-    per user meets the dimension."""
-    newest = fct.where(F.col("user_sk").isNotNull()).groupBy("user_sk").agg(F.max("transaction_ts").alias("_ts"))
-    joined = newest.join(du.select("user_sk"), "user_sk", "left_semi")     # one row per user meets the dim
-    return joined.agg(F.max("_ts")).scalar()
+def _newest(rows: DataFrame, ts: str) -> F.Column:
+    """The newest ``ts`` of ``rows`` as a scalar subquery that runs on the same
+    exchange as ``rows`` themselves.  A plain ``max(ts)`` would have its other
+    columns pruned and so read the fact a second time; the maximum of a struct
+    of all columns, ``ts`` first, keeps the two plans alike."""
+    rest = [c for c in rows.columns if c != ts]
+    return rows.agg(F.max(F.struct(ts, *rest))).scalar()[ts]
 
 
 # --------------------------------------------------------------------------- A6
@@ -184,8 +182,8 @@ def fraud_customer_segments(fct: DataFrame, du: DataFrame, cfg: RiskConfig = DEF
     The fact is aggregated per ``user_sk`` first; the inner join with the
     dimension then drops orphan facts and maps the key back to ``user_id``.
     ``recency_days`` counts whole 24-hour periods between the user's last
-    transaction and the newest transaction of any joined user (scalar
-    subquery, evaluated once)."""
+    transaction and the newest transaction of any joined user, a scalar
+    subquery over the same per-user aggregate."""
     per_user = fct.where(F.col("user_sk").isNotNull()).groupBy("user_sk").agg(
         F.max("transaction_ts").alias("last_transaction_ts"),
         F.count(F.lit(1)).alias("frequency"),
@@ -194,7 +192,7 @@ def fraud_customer_segments(fct: DataFrame, du: DataFrame, cfg: RiskConfig = DEF
         F.countDistinct("merchant_category").alias("category_diversity"),
     )
     rfm = per_user.join(du.select("user_sk", "user_id"), "user_sk", "inner")
-    anchor = _newest_joined_ts(fct, du)
+    anchor = _newest(rfm, "last_transaction_ts")
     rec = R.idiv(F.unix_micros(anchor) - F.unix_micros(F.col("last_transaction_ts")), F.lit(DAY_US))
     out = rfm.select(
         "user_id", rec.alias("recency_days"), "frequency", "monetary_value", "fraud_count", "category_diversity",
@@ -219,6 +217,7 @@ def _monthly_by_user_sk(fct: DataFrame) -> DataFrame:
         F.avg(F.col("fraud_risk_score").cast("double")).alias("avg_risk_score"),
         count_if(_high_or_critical()).alias("high_risk_transactions"),
         count_if(F.col("status") == "success").alias("successful_tx_count"),
+        F.max("transaction_ts").alias("newest_ts"),
     )
 
 
@@ -245,7 +244,7 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     """
     # user-months of users present in the dimension (semi join on aggregated rows)
     uma = _monthly_by_user_sk(fct).join(du.select("user_sk"), "user_sk", "left_semi")
-    anchor_month = F.date_trunc("month", _newest_joined_ts(fct, du))
+    anchor_month = F.date_trunc("month", _newest(uma, "newest_ts"))
     first_success = F.min(F.when(F.col("successful_tx_count") > 0, F.col("activity_month"))) \
         .over(Window.partitionBy("user_sk"))
     ca = (uma.withColumn("cohort_month", first_success)
@@ -324,14 +323,15 @@ def velocity_anomaly_detection(enr: DataFrame, cfg: RiskConfig = DEFAULT, as_of=
     return _stamp(out, as_of)
 
 
-# --------------------------------------------------------------------------- S1, S2
-# Row order the published tables are read in.  Applied only where rows leave
-# the warehouse (exports, reports); a stored table has no order.
+# --------------------------------------------------------------------------- S1, S2, S6
+# Row order the published tables are read in, with a key last so that it is a
+# total one.  A stored table has no order: rows are sorted where they leave
+# the warehouse (``for_sink``), or carry their place (``ranked``).
 SINK_ORDER = {
-    "daily_overview_kpis": (("day", True),),
-    "daily_merchant_kpis": (("day", True), ("total_revenue", False)),
-    "fraud_analysis_mart": (("fraud_risk_score", False), ("transaction_ts", False)),
-    "velocity_anomaly_detection": (("velocity_score", False), ("transaction_ts", False)),
+    "daily_overview_kpis": [("day", True)],
+    "daily_merchant_kpis": [("day", True), ("total_revenue", False), ("merchant_sk", True)],
+    "fraud_analysis_mart": [("fraud_risk_score", False), ("transaction_ts", False), ("transaction_id", True)],
+    "velocity_anomaly_detection": [("velocity_score", False), ("transaction_ts", False), ("transaction_id", True)],
 }
 
 
@@ -340,4 +340,9 @@ def for_sink(name: str, df: DataFrame) -> DataFrame:
     order = SINK_ORDER.get(name)
     if not order:
         return df
-    return df.orderBy(*[F.col(c).asc() if asc else F.col(c).desc() for c, asc in order])
+    return df.orderBy(*[F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order])
+
+
+def ranked(name: str, df: DataFrame) -> DataFrame:
+    """A mart with the place of each row in its published order as ``rank``."""
+    return with_rank(df, SINK_ORDER[name])

@@ -6,8 +6,8 @@ from paymart.config import (CURRENCIES, DEFAULT as C, DEVICE_TYPES, MERCHANT_CAT
                             PAYMENT_METHODS, RISK_LEVELS, STATUSES, USER_ID_PATTERN)
 from paymart.oracle.base import (count_if, in_list, pct, q, round_avg_int, round_avg_money, round_double, safe_ratio,
                                  sk, with_layers)
-from paymart.oracle.queries_core import (COHORT_CTE, FRAUD_MART_CTE, MERCHANT_METRICS_CTE, SEGMENTS_CTE,
-                                         VELOCITY_CTE)
+from paymart.oracle.queries_core import (COHORT_CTE, FRAUD_MART_CTE, MERCHANT_METRICS_CTE, PER_MERCHANT,
+                                         SEGMENTS_CTE, VELOCITY_CTE)
 
 SQL: dict[str, str] = {}
 
@@ -205,15 +205,11 @@ _reg("top_velocity_users", f"""
 select user_id, max(velocity_score) as max_velocity_score, count(*) as queue_rows,
        {count_if('action_required')} as action_rows
 from vad group by user_id order by max_velocity_score desc, queue_rows desc, user_id limit 20""", VELOCITY_CTE)
-_reg("top_merchants_by_fraud_loss", f"""
-select merchant_name, merchant_category, cast(fraud_loss_inr as double) as fraud_loss_inr from (
-  select m.merchant_name, m.merchant_category,
-         sum(case when f.is_fraud then f.amount else 0 end) as fraud_loss_inr
-  from dim_merchants m join fct f on m.merchant_sk = f.merchant_sk
-  group by m.merchant_name, m.merchant_category
-  having count(f.transaction_id) >= {C.merchant_risk_min_transactions}
-     and sum(case when f.is_fraud then 1 else 0 end) > 0
-  order by fraud_loss_inr desc, merchant_name, merchant_category limit 10)""")
+_reg("top_merchants_by_fraud_loss", """
+select merchant_name, merchant_category, cast(loss_of_name as double) as fraud_loss_inr
+from (select merchant_name, merchant_category, sum(n) as trades, sum(fraud) as frauds, sum(loss) as loss_of_name
+      from per_merchant join dim_merchants using (merchant_sk) group by all)
+where trades >= 50 and frauds > 0 order by loss_of_name desc, merchant_name, merchant_category limit 10""", PER_MERCHANT)
 
 # --------------------------------------------------------------- EDA
 EDA_CTE = """
@@ -352,16 +348,12 @@ from (select case when fraud_risk_score between 0 and 30 then 'Low' when fraud_r
              count(*) as txns, {count_if('is_fraud')} as f
       from enriched where fraud_risk_score between 0 and 100 group by 1, 2) b""")
 _reg("merchant_scatter", f"""
-select m.merchant_id, cast(coalesce(sum(f.amount), 0) as double) as total_volume,
-       count(f.transaction_id) as total_transactions,
-       {pct(count_if('f.is_fraud'), 'count(f.transaction_id)')} as fraud_rate_pct,
-       case when {count_if('f.is_fraud')} * 100 >= {C.merchant_risk_high_fraud_rate_pct} * count(f.transaction_id)
-                 or avg(f.fraud_risk_score) >= {C.merchant_risk_high_avg_score} then 'High Risk'
-            when {count_if('f.is_fraud')} * 100 >= {C.merchant_risk_medium_fraud_rate_pct} * count(f.transaction_id)
-                 or avg(f.fraud_risk_score) >= {C.merchant_risk_medium_avg_score} then 'Medium Risk'
-            else 'Low Risk' end as merchant_risk_category
-from dim_merchants m join fct f on m.merchant_sk = f.merchant_sk
-group by m.merchant_id having count(f.transaction_id) >= {C.merchant_risk_min_transactions}""")
+select merchant_id, cast(coalesce(volume, 0) as double) as total_volume, n as total_transactions,
+       {pct('fraud', 'n')} as fraud_rate_pct,
+       ['High Risk', 'Medium Risk', 'Low Risk'][list_position(
+         [fraud * 100 >= 5 * n or score >= 60 * n_score, fraud * 100 >= 2 * n or score >= 40 * n_score, true], true)]
+         as merchant_risk_category
+from per_merchant join dim_merchants using (merchant_sk) where n >= 50""", PER_MERCHANT)
 _FLAG = f"(tx_count_1h >= {C.fraud_velocity_threshold_1h} or tx_count_24h >= {C.fraud_velocity_threshold_24h})"
 _reg("velocity_uplift", f"""
 select base as baseline_fraud_pct, vel as flagged_fraud_pct, vn as flagged_rows,

@@ -133,5 +133,23 @@ def velocity_anomaly_detection(wh: Warehouse):
 
 @query("velocity_worklist")
 def velocity_worklist(wh: Warehouse):
-    """Rows needing action, highest score first (order applied at the sink)."""
+    """Rows needing action; ``velocity_worklist_ranked`` has their order."""
     return marts.velocity_anomaly_detection(wh.enriched, wh.cfg).where(F.col("action_required"))
+
+
+@query("daily_merchant_kpis_ranked")
+def daily_merchant_kpis_ranked(wh: Warehouse):
+    """The mart with each row's place in its published order."""
+    return marts.ranked("daily_merchant_kpis", wh.daily_merchant_kpis())
+
+
+@query("fraud_analysis_mart_ranked")
+def fraud_analysis_mart_ranked(wh: Warehouse):
+    """S1."""
+    return marts.ranked("fraud_analysis_mart", wh.fraud_analysis_mart())
+
+
+@query("velocity_worklist_ranked")
+def velocity_worklist_ranked(wh: Warehouse):
+    """Rows needing action with their place in the list, highest score first."""
+    return marts.ranked("velocity_anomaly_detection", velocity_worklist(wh))

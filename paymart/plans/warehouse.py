@@ -116,21 +116,7 @@ class Warehouse:
         return eda.prepare_transactions(base)
 
     # whole build ------------------------------------------------------------
-    MARTS = ("user_metrics", "hourly_fraud_trends", "daily_overview_kpis", "daily_merchant_kpis",
-             "merchant_risk_profiling", "fraud_customer_segments", "cohort_analysis", "fraud_analysis_mart",
-             "velocity_anomaly_detection")
-
-    def build(self, root: str) -> dict[str, str]:
-        """Materialise every layer and mart as Parquet under ``root``."""
-        from paymart.sources.tables import write_table
-        out = {}
-        for layer, name, df in [("intermediate", "int_transactions_enriched", self.enriched),
-                                ("marts", "dim_users", self.dim_users),
-                                ("marts", "dim_merchants", self.dim_merchants),
-                                ("marts", "fct_transactions", self.fct)]:
-            out[name] = write_table(df, root, layer, name)
-        for name in self.MARTS:
-            layer = "intermediate" if name == "user_metrics" else "marts"
-            table = "int_user_metrics" if name == "user_metrics" else name
-            out[table] = write_table(getattr(self, name)(), root, layer, table)
-        return out
+    def build(self, root: str, run_at: dt.datetime | None = None) -> dict[str, list[str]]:
+        """Publish every layer and mart under ``root`` from this warehouse's raw tables (see ``plans.published``)."""
+        from paymart.plans.published import Published
+        return Published(self.spark, root, self.cfg).update_from(self.raw, run_at)

@@ -1,27 +1,25 @@
-"""Warehouse table source and sink (Parquet layers under one root)."""
+"""Warehouse tables as sources, and lazy views.
+
+The sink - versioned folders, a log, months - is ``paymart.plans.published``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paymart.operators.table_log import TableLog
+
 
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Read a materialised table; column pruning and filters reach the scan."""
-    return spark.read.parquet(table_path(root, layer, name))
-
-
-def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Materialise a layer (``overwrite``); staging stays a view (see ``publish_view``)."""
-    path = table_path(root, layer, name)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+    """Read a published table; column pruning and filters reach the scan."""
+    rows = TableLog(spark, table_path(root, layer, name)).read()
+    if rows is None:
+        raise LookupError(f"{layer}/{name} is not published under {root}")
+    return rows
 
 
 def publish_view(df: DataFrame, name: str) -> str:
