@@ -243,7 +243,10 @@ def cohort_analysis(fct: DataFrame, du: DataFrame, as_of=None) -> DataFrame:
     newest transaction; immature retention is NULL, not 0.
     """
     # user-months of users present in the dimension (semi join on aggregated rows)
-    uma = _monthly_by_user_sk(fct).join(du.select("user_sk"), "user_sk", "left_semi")
+    # a month is known if its newest time is: said here of both, so that the
+    # anchor's plan and this one prune and filter alike
+    known = F.col("activity_month").isNotNull() & F.col("newest_ts").isNotNull()
+    uma = _monthly_by_user_sk(fct).where(known).join(du.select("user_sk"), "user_sk", "left_semi")
     anchor_month = F.date_trunc("month", _newest(uma, "newest_ts"))
     first_success = F.min(F.when(F.col("successful_tx_count") > 0, F.col("activity_month"))) \
         .over(Window.partitionBy("user_sk"))

@@ -153,7 +153,7 @@ class TableLog:
             fresh = [Entry(seq, kind, version, None, rows)]
         live = self.live()
         if len(lines) >= self.epoch_lines + len(live):      # so many lines no longer count
-            self._open_epoch(self._snapshot(live) + fresh)
+            self.start(self._snapshot(live) + fresh)
         else:
             self._write(self._epoch or 0, fresh)
             self._epoch, self._lines = self._epoch or 0, lines + fresh
@@ -163,9 +163,10 @@ class TableLog:
         gone = {e.version for e in old}
         kept = [e for e in self.live() if e.version not in gone]
         new = Entry(max(e.seq for e in old), "add", version, None, rows)
-        self._open_epoch(self._snapshot(sorted([*kept, new], key=lambda e: e.seq)))
+        self.start(self._snapshot(sorted([*kept, new], key=lambda e: e.seq)))
 
-    def _open_epoch(self, entries: list[Entry]) -> None:
+    def start(self, entries: list[Entry]) -> None:
+        """Open an epoch with these entries alone."""
         epoch = (self._epoch or 0) + 1
         self._write(epoch, entries)              # one file: the epoch is there as a whole or not at all
         self._epoch, self._lines = epoch, entries

@@ -520,3 +520,86 @@ from fct group by cast(transaction_ts as date)""")
 _reg("export_dim_users", "select * from dim_users")
 _reg("export_fraud_mart", "select * replace (strftime(transaction_ts, '%Y-%m-%d %H:%M:%S') as transaction_ts) from fam",
      FRAUD_MART_CTE)
+
+# --------------------------------------------------------------- replayed deliveries
+REPLAY_CTE = """
+numbered as (select *, cast(substr(transaction_id, 5, 10) as bigint) as number from transactions),
+delivered as (
+  select 1 as delivery, * replace (transaction_ts as transaction_ts) from numbered where transaction_ts < timestamp '2024-05-01'
+  union all
+  select 2, * replace (case when number % 97 <> 0 then merchant_id end as merchant_id,
+                       case when number % 89 = 0 then 'USR_99999999' else user_id end as user_id)
+  from numbered where transaction_ts >= timestamp '2024-04-01' and transaction_ts < timestamp '2024-09-01'
+  union all
+  select 3, * from numbered where transaction_ts >= timestamp '2024-09-01'
+  union all
+  select 3, * replace ('disputed' as status, transaction_ts + interval 1 year as transaction_ts)
+  from numbered where transaction_ts >= timestamp '2024-05-01' and transaction_ts < timestamp '2024-09-01' and number % 53 = 0
+),
+checked as (
+  select *, nullif(concat_ws(', ', case when merchant_id is null then 'merchant_id is null' end,
+                             case when user_id = 'USR_99999999' then 'unknown user_id' end), '') as reject_reason
+  from delivered
+),
+marks as (
+  select d.delivery, (select max(c.transaction_ts) from checked c
+                      where c.delivery < d.delivery and c.reject_reason is null) as mark
+  from (values (1), (2), (3)) d(delivery)
+),
+fresh as (
+  select c.* from checked c join marks using (delivery)
+  where reject_reason is null and (mark is null or transaction_ts > mark)
+),
+stored as (
+  select * exclude (place) from (
+    select *, row_number() over (partition by transaction_id order by delivery, transaction_ts) as place from fresh)
+  where place = 1
+),
+report as (
+  select delivery, count(*) as rows_in_file, count(*) filter (where reject_reason is null and (mark is null or transaction_ts > mark)) as rows_after_mark,
+         count(*) filter (where reject_reason is null and transaction_ts <= mark) as rows_skipped_late,
+         count(*) filter (where reject_reason is not null) as rows_rejected
+  from checked join marks using (delivery) group by delivery
+)"""
+_reg("replay_loads", "select * from report", REPLAY_CTE)
+_reg("replay_rejected", "select reject_reason, count(*) as rows from checked where reject_reason is not null group by reject_reason", REPLAY_CTE)
+_reg("replay_transactions", "select * exclude (delivery, number, reject_reason) replace (cast(amount as double) as amount) from stored", REPLAY_CTE)
+_reg("dq_row_counts_replay", """
+select 'users' as table_name, (select count(*) from users) as row_count, true as matches_expected
+union all select 'merchants', (select count(*) from merchants), true
+union all select 'transactions', (select count(*) from stored), (select count(*) from stored) = (select count(*) from transactions)""", REPLAY_CTE)
+_reg("dq_watermark_replay", """
+select true as row_exists, mark as last_loaded_ts, last_rows as rows_loaded, newest as max_transaction_ts, n as table_rows,
+       last_rows = n as rows_match, mark = newest as mark_matches_max
+from (select (select max(transaction_ts) from stored) as newest, (select max(transaction_ts) from fresh) as mark, (select count(*) from stored) as n,
+             (select rows_after_mark from report where delivery = 3) as last_rows)""", REPLAY_CTE)
+
+# --------------------------------------------------------------- text source
+TEXT_CTE = """
+spoilt as (
+  select transaction_id, cast(substr(transaction_id, 5, 10) as bigint) as number, cast(amount as varchar) as amount,
+         cast(is_fraud as varchar) as is_fraud, transaction_ts from transactions
+),
+texts as (
+  select transaction_id, number % 109 = 0 as bad_time, number % 113 = 0 as bad_flag,
+         ' ' || case when number % 107 = 0 then ' ' when number % 103 = 0 then '12,50' when number % 101 = 0 then 'n/a' else amount end as amount,
+         case when number % 113 = 0 then 'maybe' else is_fraud end as is_fraud,
+         case when number % 109 <> 0 then transaction_ts end as transaction_ts
+  from spoilt
+),
+parsed as (
+  select transaction_id, try_cast(trim(amount) as decimal(12, 2)) as amount, amount as amount_text, try_cast(is_fraud as boolean) as is_fraud,
+         transaction_ts, trim(amount) <> '' and try_cast(trim(amount) as decimal(12, 2)) is null as bad_amount, bad_time, bad_flag
+  from texts
+)"""
+_reg("text_amounts", """
+select transaction_id, cast(amount as double) as amount, is_fraud, transaction_ts,
+       concat_ws('; ', case when bad_amount then 'amount=' || amount_text end, case when bad_flag then 'is_fraud=maybe' end,
+                 case when bad_time then 'transaction_ts=yesterday' end) as rejected
+from parsed""", TEXT_CTE)
+_reg("text_rejected_counts", """
+select 'amount' as "column", count(*) as rejected, min(amount_text) as example from parsed where bad_amount having count(*) > 0
+union all select 'is_fraud', count(*), 'maybe' from parsed where bad_flag having count(*) > 0
+union all select 'transaction_ts', count(*), 'yesterday' from parsed where bad_time having count(*) > 0""", TEXT_CTE)
+_reg("text_amount_coercion", """
+select count(*) as rows, count(*) filter (where amount is null) as coerced_to_null, cast(0 as bigint) as null_amounts from parsed""", TEXT_CTE)

@@ -31,7 +31,7 @@ from paymart.operators import dimensions, enrich, facts, marts, reporting, stagi
 from paymart.operators.ingest import raw_table, read_current
 from paymart.operators.joins import broadcast_if_small
 from paymart.operators.table_log import Entry, TableLog, new_version
-from paymart.session import prepare, scratch_path
+from paymart.session import prepare
 
 LAYERS = {"int_transactions_enriched": "intermediate", "int_user_metrics": "intermediate"}    # others: marts
 MONTHLY = {"int_transactions_enriched": "transaction_ts", "fct_transactions": "transaction_ts",
@@ -67,11 +67,12 @@ class Published:
             raise NotPublishedError(f"{name} is not published under {self.root}")
         return rows
 
-    def _write_whole(self, name: str, df: DataFrame) -> None:
+    def _write_whole(self, name: str, df: DataFrame) -> str:
         log, version = self.log(name), new_version()
         log.begin()
         df.write.parquet(f"{log.path}/v={version}")
         log.commit(version)
+        return version
 
     def _write_months(self, name: str, df: DataFrame, months: set[str]) -> DataFrame:
         """Replace the given months; the rows just written."""
@@ -86,15 +87,18 @@ class Published:
         return written.drop("part")
 
     # what a build has to look at --------------------------------------------
-    def _marks(self) -> dict[str, int]:
-        """Raw table -> the highest commit that the last build has seen."""
-        return {e.part: e.rows for e in TableLog(self.spark, f"{self.root}/marts/_BUILT").live()}
+    def _marks(self) -> dict[str, Entry]:
+        """What the last finished build has seen: the newest commit (``rows``) of each raw table, and the version of
+        each dimension."""
+        return {e.part: e for e in TableLog(self.spark, f"{self.root}/marts/_BUILT").live()}
 
-    def _new_commits(self, name: str, seen: int) -> tuple[list[str], int]:
+    def _new_commits(self, name: str, seen: int) -> tuple[list[str], int, bool]:
+        """(folders since the commit ``seen``, newest commit, was the table started anew since then)."""
         table = raw_table(self.spark, self.root, name)
-        live = table.live()
-        newest = max((e.seq for e in table.lines() or []), default=-1)
-        return [table.folder(e) for e in live if e.seq > seen], newest
+        lines = table.lines() or []
+        newest = max((e.seq for e in lines), default=-1)
+        return ([table.folder(e) for e in table.live() if e.seq > seen], newest,
+                any(e.kind == "base" and e.seq > seen for e in lines))
 
     def _months(self, tx: DataFrame) -> set[str]:
         """Months of transactions and of the windows that can see them."""
@@ -102,10 +106,11 @@ class Published:
         both = tx.select(F.explode(F.array("transaction_ts", later)).alias("t")).select(month_of("t").alias("m"))
         return {r.m for r in both.distinct().collect()}                       # bounded by the calendar
 
-    def _months_of_changed(self, name: str, fresh: DataFrame) -> set[str]:
-        """Months with transactions of users that are new, or of merchants that are new or changed."""
+    def _months_of_changed(self, name: str, fresh: DataFrame, version: str) -> set[str]:
+        """Months with transactions of users that are new, or of merchants that are new or changed, since the
+        dimension's given version (a build that stopped may have left a newer one)."""
         key = "user_id" if name == "users" else "merchant_id"
-        before = self.table(f"dim_{name}")
+        before = self.spark.read.parquet(f"{self.log(f'dim_{name}').path}/v={version}")
         columns = [key] if name == "users" else [c for c in fresh.columns]
         changed = fresh.select(*columns).join(before.select(*columns), [fresh[c].eqNullSafe(before[c]) for c in columns], "left_anti").select(key)
         rows = self.table("int_transactions_enriched").select(key, "transaction_ts")
@@ -130,18 +135,17 @@ class Published:
         run_at = run_at or dt.datetime.now()
         raw = {n: read_current(self.spark, self.root, n) for n in RAW_TABLES}
         seen = {} if full else self._marks()
-        newest: dict[str, int] = {}
+        new = {n: self._new_commits(n, seen[n].rows if seen else -1) for n in RAW_TABLES}
         months: set[str] = set()
-        for name in RAW_TABLES:
-            folders, newest[name] = self._new_commits(name, seen.get(name, -1))
-            if not seen:
-                continue
-            if folders and name == "transactions":
-                months |= self._months(self.spark.read.schema(raw[name].schema).parquet(*folders))
-            elif folders:
-                months |= self._months_of_changed(name, raw[name])
-        if not seen:
+        if not seen or new["transactions"][2]:
             months = self._months(raw["transactions"]) | self._published_months()
+        else:
+            if new["transactions"][0]:
+                months |= self._months(self.spark.read.schema(raw["transactions"].schema).parquet(*new["transactions"][0]))
+            for name in ("users", "merchants"):
+                if new[name][1] > seen[name].rows:
+                    months |= self._months_of_changed(name, raw[name], seen[f"dim_{name}"].version)
+        newest = {n: found[1] for n, found in new.items()}
         return self._build(raw, months, newest, run_at)
 
     def update_from(self, raw: dict[str, DataFrame], run_at: dt.datetime | None = None) -> dict[str, list[str]]:
@@ -155,8 +159,9 @@ class Published:
     def _build(self, raw: dict[str, DataFrame], months: set[str], newest: dict[str, int],
                run_at: dt.datetime) -> dict[str, list[str]]:
         cfg, done = self.cfg, sorted(months)
-        self._write_whole("dim_users", dimensions.dim_users(raw["users"], run_at.date()))
-        self._write_whole("dim_merchants", dimensions.dim_merchants(raw["merchants"], run_at.date(), cfg))
+        dims = {"dim_users": self._write_whole("dim_users", dimensions.dim_users(raw["users"], run_at.date())),
+                "dim_merchants": self._write_whole("dim_merchants",
+                                                   dimensions.dim_merchants(raw["merchants"], run_at.date(), cfg))}
         du, dm = self.table("dim_users"), self.table("dim_merchants")
         if months:
             part = enrich.enrich_raw(self._slice(raw["transactions"], months), cfg, run_at)
@@ -177,8 +182,8 @@ class Published:
             self._write_whole(name, df)
         built = TableLog(self.spark, f"{self.root}/marts/_BUILT")
         built.begin()
-        entries = {n: s for n, s in newest.items()}
-        built._open_epoch([Entry(k, "part", "mark", n, s) for k, (n, s) in enumerate(sorted(entries.items()))])
+        built.start([Entry(k, "part", "mark", n, seq) for k, (n, seq) in enumerate(newest.items())]
+                    + [Entry(len(newest), "part", v, n, 0) for n, v in dims.items()])
         return {name: done for name in MONTHLY} | {name: [] for name in ("dim_users", "dim_merchants", *WHOLE)}
 
     def _all(self, name: str, raw: dict[str, DataFrame]) -> DataFrame:

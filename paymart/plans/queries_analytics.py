@@ -14,8 +14,11 @@ from paymart.operators import kpis as K
 from paymart.operators import quality as Q
 from paymart.operators import reporting as R
 from paymart.plans.catalog import query
+from paymart.plans.replay import replay_of
 from paymart.plans.warehouse import Warehouse
+from paymart.session import scratch_path
 from paymart.sources import raw as rawsrc
+from paymart.sources import text as text_source
 
 # --------------------------------------------------------------- reporting
 query("rpt_hourly_fraud_trends")(lambda wh: R.rpt_hourly_fraud_trends(wh.hourly_fraud_trends()))
@@ -153,6 +156,53 @@ def dq_watermark(wh: Warehouse):
     return Q.dq_watermark(first_state(wh), first_load(wh))
 
 
+# --------------------------------------------------------------- replayed deliveries
+query("replay_loads")(lambda wh: replay_of(wh).loads())
+query("replay_rejected")(lambda wh: replay_of(wh).rejected())
+query("replay_transactions")(lambda wh: replay_of(wh).table("transactions"))
+query("dq_row_counts_replay")(lambda wh: replay_of(wh).row_counts())
+query("dq_watermark_replay")(lambda wh: replay_of(wh).watermark())
+
+
+# --------------------------------------------------------------- text source
+# What is planted in the text columns, by the number in transaction_id.
+BAD_AMOUNTS = {101: "n/a", 103: "12,50", 107: " "}
+BAD_TIME, BAD_FLAG = (109, "yesterday"), (113, "maybe")
+
+
+def text_folder(wh: Warehouse) -> str:
+    """The raw transactions written as text files, some values spoilt."""
+    n = F.substring("transaction_id", 5, 10).cast("bigint")
+    tx = wh.raw["transactions"]
+    text = {c: F.col(c).cast("string") for c in tx.columns}
+    for every, value in BAD_AMOUNTS.items():
+        text["amount"] = F.when(n % every == 0, F.lit(value)).otherwise(text["amount"])
+    text["amount"] = F.concat(F.lit(" "), text["amount"])
+    for column, (every, value) in (("transaction_ts", BAD_TIME), ("is_fraud", BAD_FLAG)):
+        text[column] = F.when(n % every == 0, F.lit(value)).otherwise(text[column])
+    path = scratch_path(wh.spark, "text")
+    tx.select(*[c.alias(name) for name, c in text.items()]).write.option("header", True).option("quoteAll", True).option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+def text_rows(wh: Warehouse):
+    return text_source.typed(text_source.read_text(wh.spark, text_folder(wh)), "transactions")
+
+
+@query("text_amounts")
+def text_amounts(wh: Warehouse):
+    """P30, IO1: what became NULL, row by row."""
+    rows = text_rows(wh)
+    return rows.select("transaction_id", "amount", "is_fraud", "transaction_ts",
+                       F.concat_ws("; ", F.transform(text_source.REJECTED, lambda v: F.concat_ws("=", v["column"], v["text"])))
+                       .alias("rejected"))
+
+
+query("text_rejected_counts")(lambda wh: text_source.rejected_counts(text_rows(wh)))
+query("text_amount_coercion")(lambda wh: E.amount_coercion_report(text_source.read_text(wh.spark, text_folder(wh))))
+
+
 # --------------------------------------------------------------- export
 query("export_velocity")(lambda wh: X.shape_for_export(R.rpt_velocity_anomaly_detection(
     wh.velocity_anomaly_detection())))

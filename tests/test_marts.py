@@ -1,6 +1,8 @@
 """Marts on hand-built fixtures and invariants on the smoke data."""
 
 import datetime as dt
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -134,10 +136,31 @@ def test_build_writes_every_table(spark, tmp_root):
     assert len(out) == 13
     fct = tables.read_table(spark, f"{tmp_root}/wh", "marts", "fct_transactions")
     assert fct.count() == wh.enriched.count()
+    with pytest.raises(LookupError):
+        tables.read_table(spark, f"{tmp_root}/wh", "marts", "nothing")
     ordered = marts.for_sink("daily_overview_kpis", wh.daily_overview_kpis()).collect()
     assert [r.day for r in ordered] == sorted(r.day for r in ordered)
 
 
+def test_rank_is_the_place_in_the_whole_order(spark):
+    from paymart.operators.ordering import with_rank
+    rows = [(i, (i * 37) % 10 if i % 7 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(9)
+    got = {r.k: r.rank for r in with_rank(df, [("v", False), ("k", True)]).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert got == {k: n for n, (k, _) in enumerate(want, 1)}
+    assert with_rank(df.limit(0), [("k", True)]).isEmpty()
+
+
+def test_distinct_counts_with_nulls(spark):
+    from paymart.operators.distincts import with_distinct_counts
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", None, "y"), (None, 2, None), (None, None, None), ("b", None, None)]
+    df = spark.createDataFrame(rows, "g string, i int, j string")
+    out = with_distinct_counts(df, ["g"], {"n_i": "i", "n_j": "j"}, {"_n": F.count(F.lit(1))}, {"n": F.sum("_n")})
+    assert {r.g: (r.n, r.n_i, r.n_j) for r in out.collect()} == {"a": (3, 1, 2), None: (2, 1, 0), "b": (1, 0, 0)}
+    assert with_distinct_counts(df.limit(0), [], {"n_i": "i", "n_j": "j"}, {"_n": F.count(F.lit(1))}, {"n": F.sum("_n")}).first().n_i == 0
+
+
 def test_broadcast_only_below_bound(spark):
     from paymart.operators.joins import broadcast_if_small
     big = spark.range(1000).withColumnRenamed("id", "k")

@@ -77,16 +77,6 @@ def test_deploy_views(spark, wh_small):
         reporting.deploy_views(spark, {k: v for k, v in marts.items() if k != "cohort_analysis"})
 
 
-def test_cli_build_and_views(spark, tmp_root, capsys):
-    import json
-    from paymart.__main__ import main
-    assert main(["build", "--sf-dir", "/root/testdata/sf0.001", "--out", f"{tmp_root}/wh"]) == 0
-    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert set(out) >= {"fct_transactions", "cohort_analysis", "int_user_metrics"}
-    assert main(["views", "--sf-dir", "/root/testdata/sf0.001"]) == 0
-    assert spark.catalog.tableExists("reporting_velocity_anomaly_detection")
-
-
 def test_late_rows_are_visible(spark):
     from paymart.streaming.incremental import late_rows
     state = spark.createDataFrame([("raw.transactions", dt.datetime(2024, 3, 2, 10), 2, None)], schemas.WATERMARK)
