@@ -13,7 +13,7 @@ A call repeated under its id counts once, as its first by (turn, name, arguments
 content) is used and all are counted. Results without a call are returned as orphans. References to unknown calls, and
 repeated ones, are counted and left out of the order; a reference to itself is a cycle. Rows without a conversation, id or
 turn can't be linked and are returned as such. Arguments that are null or not JSON are errors and stand in the record as
-null or as a string. Empty tables give an empty one. Texts of any length are whole, and memory is one row's. Other columns,
+null or as a string. A schema with a rule that isn't checked here ends the job. Empty tables give an empty one. Texts of any length are whole, and memory is one row's. Other columns,
 whatever their names, aren't read."""
 
 from __future__ import annotations
@@ -73,6 +73,32 @@ KINDS = {
 }
 
 
+#: Rules that `violations` checks, and words of a schema that set no rule.
+RULES = {
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern",
+    "minItems", "maxItems", "items", "required", "properties", "additionalProperties",
+}
+NOTES = {"$schema", "$id", "$comment", "title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "format"}
+
+
+def check_schema(schema: dict, at: str = "$") -> None:
+    """Raise on a rule that `violations` doesn't know, wherever it stands: arguments that break it must not pass as valid."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema is an object, not {schema!r}")
+    unknown = sorted(schema.keys() - RULES - NOTES)
+    if unknown:
+        raise ValueError(f"{at}: unknown schema rules {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    if odd := [k for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in KINDS]:
+        raise ValueError(f"{at}: unknown types {', '.join(map(str, odd))}")
+    for name, rule in schema.get("properties", {}).items():
+        check_schema(rule, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        check_schema(schema["additionalProperties"], f"{at}.*")
+
+
 def violations(value, schema: dict, at: str = "$") -> list[str]:
     """`place rule` of every rule of a JSON schema that the value breaks, in the order of the schema."""
     out = []
@@ -191,6 +217,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     turn, content."""
     spark = calls.sparkSession
     workers_can_import(spark)
+    for schema in schemas.values():
+        check_schema(schema)
     key = ["conv_id", "call_id"]
     calls = calls.select(F.col("conv_id").cast("long"), "call_id", F.col("turn").cast("long"), "name", "arguments", F.array_distinct("refs").alias("refs"))
     results = results.select(F.col("conv_id").cast("long"), "call_id", F.col("turn").cast("long"), "content")

@@ -371,3 +371,16 @@ def test_pipeline(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert {r.doc_id for r in rows} <= docs.keys() and len(rows) > 50
     assert all(r.offset + r.length <= 2048 for r in rows)
+
+
+@pytest.mark.parametrize("schema", [
+    {"anyOf": [{"type": "string"}]}, {"type": "object", "properties": {"a": {"multipleOf": 2}}}, {"items": {"uniqueItems": True}},
+    {"additionalProperties": {"$ref": "#/x"}}, {"type": "date"}, {"type": ["string", "any"]}, {"items": True}])
+def test_unknown_schema_rules_raise(spark, schema):
+    with pytest.raises(ValueError):
+        tool_calls.check_schema(schema)
+    calls = spark.createDataFrame([], "conv_id long, call_id string, turn long, name string, arguments string, refs array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, turn long, content string")
+    with pytest.raises(ValueError):
+        tool_calls.link_tool_calls(calls, results, {"f": schema})
+    tool_calls.check_schema({"type": "object", "title": "t", "properties": {"a": {"type": ["integer", "null"], "description": "d"}}})
