@@ -156,12 +156,6 @@ def top_reliable_merchants(profile: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.col("fraud_rate_pct").desc(), F.col("merchant_id").asc()).limit(n))
 
 
-def velocity_worklist(queue: DataFrame) -> DataFrame:
-    """Action-required rows, highest velocity score first."""
-    return queue.where(F.col("action_required")).orderBy(F.col("velocity_score").desc(),
-                                                         F.col("transaction_ts").desc(), "transaction_id")
-
-
 def top_velocity_users(queue: DataFrame, n: int = 20) -> DataFrame:
     """Users ranked by their highest velocity score, then by how many
     queue rows they have."""

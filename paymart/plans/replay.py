@@ -9,9 +9,9 @@ system would send them:
 3. the rest, with some of the second delivery's transactions sent again under
    their ids with another status and a later time (the stored ones win).
 
-``loads`` is what the loader reported; ``verdicts`` are the quality checks
-against the delivery's targets - they show the planted faults, as tables that
-were loaded from faulty deliveries can't have the delivered number of rows.
+``loads`` is what the loader reported, ``rejected`` why rows were left out;
+``row_counts`` and ``watermark`` are the quality checks on the loaded tables,
+and show the planted faults.
 """
 
 from __future__ import annotations

@@ -34,3 +34,28 @@ def test_checks_find_planted_defects(spark):
     assert kf == {"raw.users": 1, "raw.merchants": 0}
     assert [r.status for r in Q.dq_status(tx).collect()] == [None]                   # NULL is a failure here
     assert Q.dq_null_keys(tx).first().null_key_rows == 0
+
+
+def test_replayed_deliveries_show_their_faults(spark, wh_small):
+    from paymart.plans.replay import replay_of
+    replay = replay_of(wh_small)
+    first, second, third = replay.reports
+    assert first.rows_rejected == first.rows_skipped_late == 0
+    assert second.rows_rejected > 0 and second.rows_skipped_late > 0 and third.rows_rejected == 0
+    counts = {r.table_name: r.matches_expected for r in replay.row_counts().collect()}
+    assert counts == {"users": True, "merchants": True, "transactions": False}
+    mark = replay.watermark().first()
+    assert mark.row_exists and not mark.rows_match and not mark.mark_matches_max
+    assert {r.reject_reason for r in replay.rejected().collect()} >= {"merchant_id is null", "unknown user_id"}
+
+
+def test_text_values_that_do_not_parse_are_kept_beside_the_row(spark):
+    from paymart.sources import text
+    rows = spark.createDataFrame([("T1", "n/a", "2024-01-01 00:00:00"), ("T2", " 12.50 ", None), ("T3", "", "soon"), ("T4", None, "x")],
+                                 "transaction_id string, amount string, transaction_ts string")
+    got = {r.transaction_id: (r.amount, [tuple(v) for v in r.rejected_values]) for r in text.typed(rows, "transactions").collect()}
+    from decimal import Decimal
+    assert got == {"T1": (None, [("amount", "n/a")]), "T2": (Decimal("12.50"), []), "T3": (None, [("transaction_ts", "soon")]),
+                   "T4": (None, [("transaction_ts", "x")])}
+    counts = {r.column: (r.rejected, r.example) for r in text.rejected_counts(text.typed(rows, "transactions")).collect()}
+    assert counts == {"amount": (1, "n/a"), "transaction_ts": (2, "soon")}
