@@ -17,8 +17,8 @@ def enrich_transactions(stg: DataFrame, cfg: RiskConfig = DEFAULT, as_of: dt.dat
     """``int_transactions_enriched``: one row per staged transaction.
 
     The velocity counts are added in place (no self-join on transaction_id,
-    which would give the same rows while transaction_id is unique), by the
-    one plan of ``velocity_counts``.  ``as_of`` adds the wall-clock
+    which would give the same rows while transaction_id is unique), by
+    ``velocity_counts``.  ``as_of`` adds the wall-clock
     ``dbt_updated_at`` column when given.
     """
     v = velocity_counts(stg, cfg)

@@ -5,7 +5,7 @@ Semantics: ``count(*) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
 peers with the same timestamp and the row exactly ``w`` earlier.  Time is
 ordered in microseconds (``unix_micros``), never seconds.
 
-One plan for all data (``velocity_counts``):
+How ``velocity_counts`` spreads the work:
 
 * A user's rows are dealt by (user, bucket), a bucket being seven of the
   longest window (a week).  Only a row within that window of its bucket's end
@@ -18,8 +18,8 @@ One plan for all data (``velocity_counts``):
 * Users with more than ``RiskConfig.window_bucket_row_limit`` rows in one
   bucket are counted by the *tiered* windows below, whose partitions are
   bounded by time units and not by rows.  There are at most rows / limit such
-  users: their list is found by a narrow aggregate inside the plan and
-  broadcast.  With none, adaptive execution drops the tiered branch.
+  users: a narrow aggregate lists them, and the list is broadcast.  Every row
+  takes the way of its user; without such users all take the bucketed one.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from paymart.config import DEFAULT, RiskConfig
 from paymart.functions.rounding import idiv
+from paymart.session import scratch_path
 
 _US = "_ts_us"
 _BUCKET = "_bucket"
@@ -212,10 +213,17 @@ def hot_users(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_
 
 def velocity_counts(stg: DataFrame, cfg: RiskConfig = DEFAULT, ts: str = "transaction_ts",
                     user: str = "user_id", category: str = "merchant_category") -> DataFrame:
-    """W1-W3 in one plan: bucketed windows, tiered ones for the users whose
-    buckets are too large for a task."""
-    hot = F.broadcast(hot_users(stg, cfg, ts, user))
+    """Bucketed windows, and tiered ones for the users whose buckets are
+    too large for a task.  The list of those users is written first, as every
+    branch reads it; if it is empty, there are no rows for the tiered windows
+    and they are left out of the plan."""
+    path = scratch_path(stg.sparkSession, "busy_users")
+    hot_users(stg, cfg, ts, user).write.parquet(path)
+    hot = stg.sparkSession.read.parquet(path)
+    if hot.isEmpty():
+        return add_velocity_counts(stg, cfg, ts, user, category)
     is_hot = F.col(user).eqNullSafe(F.col("_hot"))
+    hot = F.broadcast(hot)                                    # at most rows / limit of them
     usual = add_velocity_counts(stg.join(hot, is_hot, "left_anti"), cfg, ts, user, category)
     busy = add_velocity_counts_tiered(stg.join(hot, is_hot, "left_semi"), cfg, ts, user, category)
     return usual.unionByName(busy)

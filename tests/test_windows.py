@@ -141,13 +141,11 @@ def test_few_context_rows_and_no_sliding_frames(spark, wh_small):
     assert "specifiedwindowframe(RangeFrame, -" not in plan
 
 
-def test_idle_branch_does_not_run(spark, wh_small):
-    """Without busy users, adaptive execution replaces the tiered windows by an empty relation."""
+def test_no_tiered_windows_without_busy_users(wh_small):
     from paymart.operators.velocity_windows import velocity_counts
     df = velocity_counts(wh_small.stg)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("Window [") <= 3 and "_minute" not in final
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and "_minute" not in plan
 
 
 def test_buckets_before_1970_and_far_ahead(spark):
