@@ -24,9 +24,9 @@ HEAVY = ["enriched", "velocity_counts_tiered", "fct", "hourly_fraud_trends", "ve
 
 
 NOTES = {
-    "enriched": "one scan of events; `Generate` emits each row plus its narrow context copy; the three "
-                "velocity windows share the single hash exchange on (user_id, day bucket).",
-    "velocity_counts_tiered": "the skew-proof plan (used when one user-day is hot), shown over the "
+    "enriched": "one scan of events; `Generate` emits a narrow context copy of the rows of a bucket's last day; "
+                "all velocity windows share the single hash exchange on (user_id, bucket).",
+    "velocity_counts_tiered": "the windows of busy users, shown over the "
                               "materialised rows: every window partitions by (key set, user, category, minute) "
                               "or (key set, user, category) over aggregated timestamps; the rows meet the counts "
                               "in one join. The initial plan lists every exchange of every reference; at sf0.1 "
@@ -42,11 +42,12 @@ NOTES = {
     "merchant_risk_profiling": "fact aggregated per merchant (distinct customers via (merchant, user) "
                                "partials) before the join; the aggregate is broadcast to the dimension.",
     "fraud_customer_segments": "per-user aggregate joined to the dimension; the recency anchor is a scalar "
-                               "subquery reading two columns (SinglePartition = the one-row max).",
+                               "subquery over the same aggregate, whose exchange it reuses when it runs "
+                               "(SinglePartition = the one-row max).",
     "cohort_analysis": "user-month aggregate, a window over user-months, then (cohort, user) and cohort "
                        "aggregates; the (cohort, user) step reuses the window's partitioning.",
-    "daily_overview_kpis": "two distinct counts: one Expand on a 6-column projection with map-side partials.",
-    "user_metrics": "two distinct counts (merchants, categories): Expand with map-side partials.",
+    "daily_overview_kpis": "two distinct counts: a branch for each id, combined map-side by (day, id); no Expand.",
+    "user_metrics": "two distinct counts (merchants, categories): a branch for each, combined map-side by (user, id); no Expand.",
 }
 
 
