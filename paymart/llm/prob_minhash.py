@@ -8,13 +8,23 @@ probability Jaccard similarity of their documents; with all weights 1, with thei
 
 Equal texts are one text. Bands of both signatures, the weighted one and that of weights 1, put texts in buckets; they are
 one signature where no shingle repeats, and their bands share the buckets, so that a text without repeats meets the others
-by either. In rounds, every bucket that still holds texts of
-different classes compares its first texts (hubs) with all others; pairs are verified on whole texts, links join classes,
-and hubs that have met every member leave the bucket. It ends when no bucket holds two classes, so every pair that shares a
-bucket has been compared or is in one class already: no pair is lost, and a round's pairs grow with the bucket rows only.
-A pair is linked if its probability Jaccard or its plain Jaccard reaches `least`.
+by either. A text is the more popular the more texts its buckets hold; the centre of a group of near copies shares most.
 
-With 32 bands of 4 slots a pair of either similarity 0.8 shares no bucket with a probability of 5e-8.
+* First every text meets the most popular text of all its buckets, one pair a text; links join classes.
+* Then every bucket that still holds two classes compares its most popular text with all others, and a bucket of at most
+  SMALL texts all its pairs across classes.
+* Texts of larger buckets that still hold two classes are dealt again by more slots of the same signatures (LEVELS), into
+  smaller buckets, which are compared the same way. A level's pairs grow with its rows only.
+* Buckets of the last level that are still large compare more and more hubs with all others, until no bucket holds two
+  classes: nothing is capped.
+
+A pair never meets twice. Pairs whose signatures agree in fewer than AGREE slots go before any text moves; the others are
+verified on whole texts and linked if their probability Jaccard or their plain Jaccard reaches `least`. Only texts that
+share a bucket are carried along for it, written once.
+
+With 32 bands of 4 slots a pair of either similarity 0.8 shares no bucket with a probability of 5e-8, and agrees in fewer than
+84 of 128 slots with one of 3e-5. In a group so dense that its buckets are dealt again, a level misses such a pair with one of
+0.0002, 0.002 and 0.006 by itself; links through third texts make up for most of these.
 
 Null text counts as empty, so all such documents form one class. Repeated rows are in one class, as are different texts
 under one doc_id. A row without doc_id takes part under a negative number made from its text and has that as class if no
@@ -32,11 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import cut, runs, workers_can_import
+from paymart.llm.common import cut, runs, shared_folder, workers_can_import
 from paymart.llm.graph import components
 
 WORDS, SLOTS_N, BANDS = 5, 128, 32
-HUBS = 16  # of a bucket in the second round; four times as many in each round after
+AGREE = 84  # slots of 128: a pair of similarity 0.8 agrees in 102 of them on average, with a deviation of 4.5
+SMALL = 8  # texts of a bucket that may all meet
+LEVELS = ((8, 48), (12, 96), (16, 192))  # slots of a key, keys of a signature
+HUBS = 16  # of a large bucket of the last level; four times as many in each round after
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -170,23 +183,50 @@ def band_keys(sigs: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out.view(np.int64)
 
 
-def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, keys): the buckets of all texts, those of text i up to ends[i]; first the bands of the weighted signature,
-    then those that the signature of weights 1 has besides."""
+def both_signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of all texts: weighted by the counts, and of weights 1."""
     ends, hashes, weights = shingle_sets(texts)
     n = np.diff(ends, prepend=0)
-    keys = band_keys(_signatures(ends, hashes, weights))
+    weighted = _signatures(ends, hashes, weights)
     row = np.repeat(np.arange(len(n)), n)
     often = np.unique(row[weights > 1])  # of the others, both signatures are one
     its = hashes[np.isin(row, often)]
-    plain = keys.copy()
-    plain[often] = band_keys(_signatures(np.cumsum(n[often]), its, np.ones(len(its))))
+    plain = weighted.copy()
+    plain[often] = _signatures(np.cumsum(n[often]), its, np.ones(len(its)))
+    return weighted, plain
+
+
+def union_of(keys: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, keys): those of text i up to ends[i]; first all of the weighted signature, then those that the other has besides."""
     held = np.concatenate([np.ones(keys.shape, bool), plain != keys], 1)
     return np.cumsum(held.sum(1)), np.concatenate([keys, plain], 1)[held]
 
 
+def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, keys): the buckets of all texts by the bands of both signatures."""
+    return union_of(*map(band_keys, both_signatures(texts)))
+
+
+def level_keys(sketch: np.ndarray, slots: int, keys: int) -> np.ndarray:
+    """The keys of each sketch: each over `slots` slots, the same for all texts."""
+    chosen = np.argsort(np.random.default_rng(slots).random((keys, sketch.shape[1])), 1)[:, :slots]
+    out = np.tile(np.arange(keys, dtype=np.uint64) + np.uint64(slots << 32), (len(sketch), 1))
+    for k in range(slots):
+        out = mix(out * _GOLDEN + sketch[:, chosen[:, k]])
+    return out.view(np.int64)
+
+
+def sketches_of(column: pa.Array) -> np.ndarray:
+    """(text, signature, slot): the lowest byte of every slot."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2, SLOTS_N)
+
+
+def lists(ends: np.ndarray, keys: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), keys)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc, text_key, bands) of every row."""
+    """(doc, text_key, bands, sketch) of every row."""
     workers_can_import(docs.sparkSession)
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     rows = docs.select("doc_id", "text").withColumn("text_key", key).withColumn("text", F.coalesce("text", F.lit("")))
@@ -194,22 +234,60 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "t", 1 << 19):
-            ends, keys = buckets_of(batch.column("t").to_pylist())
-            bands = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), keys)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text_key"), bands], ["doc", "text_key", "bands"])
+            two = both_signatures(batch.column("t").to_pylist())
+            sketch = np.stack(two, 1).astype(np.uint8)  # the lowest byte
+            columns = [batch.column("doc"), batch.column("text_key"), lists(*union_of(*map(band_keys, two)))]
+            columns.append(pa.array([x.tobytes() for x in sketch], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "text_key", "bands", "sketch"])
 
-    return rows.mapInArrow(run, "doc long, text_key string, bands array<long>")
+    return rows.mapInArrow(run, "doc long, text_key string, bands array<long>, sketch binary")
 
 
 def doc_name(doc_id: str, text_key: str):
     return F.coalesce(F.col(doc_id).cast("long"), -F.abs(F.xxhash64(text_key) % (1 << 62)) - 1)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Those (u, v) of `pairs` whose texts are similar enough."""
+def deal_again(sketches: DataFrame, slots: int, keys: int) -> DataFrame:
+    """(rep, bucket): the keys of a level for every (rep, sketch)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, "sketch", 1 << 17):
+            two = sketches_of(batch.column("sketch"))
+            found = lists(*union_of(level_keys(two[:, 0], slots, keys), level_keys(two[:, 1], slots, keys)))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), found], ["rep", "buckets"])
+
+    return sketches.mapInArrow(run, "rep long, buckets array<long>").select("rep", F.explode("buckets").alias("bucket"))
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Those (u, v) of `pairs` with a signature that agrees in enough slots."""
+    enough = AGREE if least >= 0.8 else 0
+    rows = pairs.join(sketches.withColumnsRenamed({"rep": "v", "sketch": "b"}), "v").join(sketches.withColumnsRenamed({"rep": "u", "sketch": "a"}), "u")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            agree = (sketches_of(batch.column("a")) == sketches_of(batch.column("b"))).sum(2).max(1)
+            yield batch.select(["u", "v"]).filter(pa.array(agree >= enough, pa.bool_()))
+
+    return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long").distinct()
+
+
+def candidate_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(doc, text) of the documents in `reps`, one row of each document and text, written once."""
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
-    texts = texts.select(doc_name("doc_id", "k").alias("doc"), "text")
+    texts = texts.select(doc_name("doc_id", "k").alias("doc"), "text", "k").join(reps.select(F.col("rep").alias("doc")), "doc")
+    folder = shared_folder(docs.sparkSession, "near-texts")
+    texts.write.parquet(folder)
+    kept = docs.sparkSession.read.parquet(folder)
+    often = cut(kept.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
+    if not often.isEmpty():
+        kept = kept.join(often, "doc", "left_anti").unionByName(kept.join(often, "doc").dropDuplicates(["doc", "k"]))
+    return kept.select("doc", "text")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Those (u, v) of `pairs` whose texts are similar enough."""
     rows = pairs.join(texts.withColumnsRenamed({"doc": "v", "text": "b"}), "v").join(texts.withColumnsRenamed({"doc": "u", "text": "a"}), "u")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,36 +314,92 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def in_classes(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (bucket, rep, pop): (the rows of buckets that hold two classes, with class c and size n; each one's most popular text)."""
+    named = buckets.join(classes, buckets["rep"] == classes["node"], "left").select("bucket", "rep", "pop", F.coalesce("component", "rep").alias("c"))
+    named = cut(named)
+    top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
+    live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
+    live = cut(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")))
+    return named.join(live.select("bucket", "n"), "bucket"), live
+
+
+def met(named: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(u, v): the rows of each bucket with its hubs (bucket, hub, hub_c) of other classes."""
+    hubs = hubs.select(F.col("bucket").alias("at"), "hub", "hub_c")  # both may come from one table: names tell them apart
+    pairs = named.select("bucket", "rep", "c").join(hubs, (F.col("bucket") == F.col("at")) & (F.col("c") != F.col("hub_c")))
+    return pairs.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
+
+
+def bucket_pairs(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rows of large buckets): the most popular text of a bucket meets all others, those of a small one all."""
+    named, live = in_classes(buckets, classes)
+    small = named.where(F.col("n") <= SMALL)
+    hubs = live.where(F.col("n") > SMALL).select("bucket", "hub", "hub_c")
+    hubs = hubs.unionByName(small.select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
+    return met(named, hubs).distinct(), named.where(F.col("n") > SMALL).select("bucket", "rep", "pop")
+
+
+def most_popular(buckets: DataFrame) -> DataFrame:
+    """(u, v): each text and the most popular other one that leads a bucket of its."""
+    top = F.max(F.struct("pop", (-F.col("rep")).alias("by"))).alias("top")
+    pairs = buckets.select("bucket", "rep").join(buckets.groupBy("bucket").agg(top), "bucket").where("rep <> -top.by")
+    pairs = pairs.groupBy("rep").agg((-F.max("top")["by"]).alias("hub"))
+    return pairs.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc, text_key, class_id) of every row; class_id is the smallest doc of its class."""
     workers_can_import(docs.sparkSession)
     rows = cut(signatures(docs))
-    texts = cut(rows.groupBy("text_key").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands")))
+    texts = cut(rows.groupBy("text_key").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     dealt = texts.select("rep", F.explode("bands").alias("bucket"))
-    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = cut(dealt.join(shared, "bucket"))
+    popular = buckets.groupBy("rep").agg(F.sum("n").alias("pop"))
+    buckets = cut(buckets.join(popular, "rep").select("bucket", "rep", "pop"))
+    reps = cut(popular)
+    sketches = cut(texts.join(reps.select("rep"), "rep").select("rep", "sketch"))
+    held = candidate_texts(docs, reps)
     # texts under one doc_id, and the texts of the exact copies of a document, meet through their documents
     same = rows.join(texts.select("text_key", "rep"), "text_key").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
-    links = cut(same.join(rows.groupBy("doc").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select(F.col("doc").alias("u")), "u"))
-    classes, hubs_each = components(links), 1
-    while True:
-        named = buckets.join(classes, buckets["rep"] == classes["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("c"))
-        live = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket")
-        named = cut(named.join(live, "bucket").distinct())
-        if hubs_each == 1:
-            hubs = named.groupBy("bucket").agg(F.min(F.struct("rep", "c")).alias("h")).select("bucket", F.col("h.rep").alias("hub"), F.col("h.c").alias("hub_c"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("rep"))
-            hubs = named.withColumn("rank", rank).where(F.col("rank") <= hubs_each).select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))
-        hubs = cut(hubs)
-        pairs = named.join(hubs, "bucket").where("rep > hub and c <> hub_c").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
-        pairs = cut(pairs)
+    several = rows.groupBy("doc").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select(F.col("doc").alias("u"))
+    classes = components(cut(same.join(several, "u")))
+    seen = None
+
+    def compare(pairs: DataFrame) -> bool:
+        """Links those pairs that are alike and have not met before; False if none was left to compare."""
+        nonlocal classes, seen
+        pairs = cut(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs)
         if pairs.isEmpty():
+            return False
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        links = verified(likely(pairs, sketches, least), held, least)
+        classes = components(cut(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
+        return True
+
+    compare(most_popular(buckets))
+    pairs, large = bucket_pairs(buckets, classes)
+    compare(pairs)
+    for slots, keys in LEVELS:
+        large, _ = in_classes(large, classes)
+        again = cut(large.select("rep", "pop").distinct())
+        if again.isEmpty():
+            break
+        dealt = cut(deal_again(sketches.join(again.select("rep"), "rep"), slots, keys))
+        shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+        pairs, large = bucket_pairs(dealt.join(shared, "bucket").join(again, "rep").select("bucket", "rep", "pop"), classes)
+        compare(pairs)
+    hubs_each = HUBS
+    while True:
+        named, live = in_classes(large, classes)
+        if live.isEmpty():
             break
-        links = cut(links.unionByName(verified(pairs, docs, least)))
-        classes = components(links)
-        buckets = named.select("bucket", "rep").join(hubs.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti")
-        hubs_each = HUBS if hubs_each == 1 else 4 * hubs_each
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pop"), "rep"))
+        hubs = cut(named.withColumn("rank", rank).where(F.col("rank") <= hubs_each).select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
+        compare(met(named, hubs).distinct())
+        met_all = hubs.select("bucket", F.col("hub").alias("rep"))
+        large, hubs_each = cut(named.select("bucket", "rep", "pop").join(met_all, ["bucket", "rep"], "left_anti")), 4 * hubs_each
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))
