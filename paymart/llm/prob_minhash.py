@@ -24,7 +24,7 @@ share a bucket are carried along for it, written once.
 
 With 32 bands of 4 slots a pair of either similarity 0.8 shares no bucket with a probability of 5e-8, and agrees in fewer than
 84 of 128 slots with one of 3e-5. In a group so dense that its buckets are dealt again, a level misses such a pair with one of
-0.0002, 0.001, 0.005 and 0.05 by itself; links through third texts make up for most of these.
+0.0002, 0.001 and 0.05 by itself; links through third texts make up for most of these.
 
 Null text counts as empty, so all such documents form one class. Repeated rows are in one class, as are different texts
 under one doc_id. A row without doc_id takes part under a negative number made from its text and has that as class if no
@@ -48,7 +48,7 @@ from paymart.llm.graph import components
 WORDS, SLOTS_N, BANDS = 5, 128, 32
 AGREE = 84  # slots of 128: a pair of similarity 0.8 agrees in 102 of them on average, with a deviation of 4.5
 SMALL = 8  # texts of a bucket that may all meet
-LEVELS = ((8, 48), (12, 96), (16, 192), (20, 256))  # slots of a key, keys of a signature
+LEVELS = ((8, 48), (14, 160), (20, 256))  # slots of a key, keys of a signature
 HUBS = 16  # of a large bucket of the last level; four times as many in each round after
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -269,7 +269,7 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
             agree = (sketches_of(batch.column("a")) == sketches_of(batch.column("b"))).sum(2).max(1)
             yield batch.select(["u", "v"]).filter(pa.array(agree >= enough, pa.bool_()))
 
-    return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long").distinct()
+    return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
 def candidate_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -317,7 +317,6 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def in_classes(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of (bucket, rep, pop): (the rows of buckets that hold two classes, with class c and size n; each one's most popular text)."""
     named = buckets.join(classes, buckets["rep"] == classes["node"], "left").select("bucket", "rep", "pop", F.coalesce("component", "rep").alias("c"))
-    named = cut(named)
     top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
     live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
     live = cut(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")))
