@@ -50,6 +50,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As `cut`, but by a Parquet table of the shared folder: computed once, and without the constraints that a checkpoint
+    hands on, which Catalyst multiplies over many rounds of joins."""
+    folder = shared_folder(df.sparkSession, "written")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import cut
+from paymart.llm.common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round points nodes at the smallest neighbour known. Per-node minima are aggregated before the join, so a node
     with very many neighbours costs no task more than its share, and each round is cut off in the shared folder."""
-    stars = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    stars = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        stars = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        stars = written(small.select("e.u", "e.v").where("u <> v").distinct())
         now = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("u") % 1_000_003)).first()
         if now == before:
             break

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import cut, runs, shared_folder, workers_can_import
+from paymart.llm.common import runs, workers_can_import, written
 from paymart.llm.graph import components
 
 WORDS, SLOTS_N, BANDS = 5, 128, 32
@@ -277,10 +277,8 @@ def candidate_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
     texts = texts.select(doc_name("doc_id", "k").alias("doc"), "text", "k").join(reps.select(F.col("rep").alias("doc")), "doc")
-    folder = shared_folder(docs.sparkSession, "near-texts")
-    texts.write.parquet(folder)
-    kept = docs.sparkSession.read.parquet(folder)
-    often = cut(kept.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
+    kept = written(texts)
+    often = written(kept.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
     if not often.isEmpty():
         kept = kept.join(often, "doc", "left_anti").unionByName(kept.join(often, "doc").dropDuplicates(["doc", "k"]))
     return kept.select("doc", "text")
@@ -319,7 +317,7 @@ def in_classes(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataF
     named = buckets.join(classes, buckets["rep"] == classes["node"], "left").select("bucket", "rep", "pop", F.coalesce("component", "rep").alias("c"))
     top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
     live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
-    live = cut(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")))
+    live = written(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")))
     return named.join(live.select("bucket", "n"), "bucket"), live
 
 
@@ -350,31 +348,31 @@ def most_popular(buckets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc, text_key, class_id) of every row; class_id is the smallest doc of its class."""
     workers_can_import(docs.sparkSession)
-    rows = cut(signatures(docs))
-    texts = cut(rows.groupBy("text_key").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    rows = written(signatures(docs))
+    texts = written(rows.groupBy("text_key").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     dealt = texts.select("rep", F.explode("bands").alias("bucket"))
     shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = cut(dealt.join(shared, "bucket"))
+    buckets = written(dealt.join(shared, "bucket"))
     popular = buckets.groupBy("rep").agg(F.sum("n").alias("pop"))
-    buckets = cut(buckets.join(popular, "rep").select("bucket", "rep", "pop"))
-    reps = cut(popular)
-    sketches = cut(texts.join(reps.select("rep"), "rep").select("rep", "sketch"))
+    buckets = written(buckets.join(popular, "rep").select("bucket", "rep", "pop"))
+    reps = written(popular)
+    sketches = written(texts.join(reps.select("rep"), "rep").select("rep", "sketch"))
     held = candidate_texts(docs, reps)
     # texts under one doc_id, and the texts of the exact copies of a document, meet through their documents
     same = rows.join(texts.select("text_key", "rep"), "text_key").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     several = rows.groupBy("doc").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select(F.col("doc").alias("u"))
-    classes = components(cut(same.join(several, "u")))
+    classes = components(written(same.join(several, "u")))
     seen = None
 
     def compare(pairs: DataFrame) -> bool:
         """Links those pairs that are alike and have not met before; False if none was left to compare."""
         nonlocal classes, seen
-        pairs = cut(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs)
+        pairs = written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs)
         if pairs.isEmpty():
             return False
         seen = pairs if seen is None else seen.unionByName(pairs)
         links = verified(likely(pairs, sketches, least), held, least)
-        classes = components(cut(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
+        classes = components(written(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
         return True
 
     compare(most_popular(buckets))
@@ -382,10 +380,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     compare(pairs)
     for slots, keys in LEVELS:
         large, _ = in_classes(large, classes)
-        again = cut(large.select("rep", "pop").distinct())
+        again = written(large.select("rep", "pop").distinct())
         if again.isEmpty():
             break
-        dealt = cut(deal_again(sketches.join(again.select("rep"), "rep"), slots, keys))
+        dealt = written(deal_again(sketches.join(again.select("rep"), "rep"), slots, keys))
         shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
         pairs, large = bucket_pairs(dealt.join(shared, "bucket").join(again, "rep").select("bucket", "rep", "pop"), classes)
         compare(pairs)
@@ -395,10 +393,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
         if live.isEmpty():
             break
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pop"), "rep"))
-        hubs = cut(named.withColumn("rank", rank).where(F.col("rank") <= hubs_each).select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
+        hubs = written(named.withColumn("rank", rank).where(F.col("rank") <= hubs_each).select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
         compare(met(named, hubs).distinct())
         met_all = hubs.select("bucket", F.col("hub").alias("rep"))
-        large, hubs_each = cut(named.select("bucket", "rep", "pop").join(met_all, ["bucket", "rep"], "left_anti")), 4 * hubs_each
+        large, hubs_each = written(named.select("bucket", "rep", "pop").join(met_all, ["bucket", "rep"], "left_anti")), 4 * hubs_each
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))
@@ -411,7 +409,7 @@ def op6_prob_minhash(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
 def keep_representatives(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """One row of each class: that of its smallest document."""
-    found = cut(near_duplicates(docs, least).where("doc = class_id").groupBy("doc", "text_key").agg(F.count(F.lit(1)).alias("n")))
+    found = written(near_duplicates(docs, least).where("doc = class_id").groupBy("doc", "text_key").agg(F.count(F.lit(1)).alias("n")))
     one = found.groupBy("doc").agg(F.min("text_key").alias("text_key"), F.sum("n").alias("n"))
     key = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
     named = docs.withColumn("__key", key).withColumn("__doc", doc_name("doc_id", "__key"))
