@@ -15,8 +15,8 @@ by either. A text is the more popular the more texts its buckets hold; the centr
   SMALL texts all its pairs across classes.
 * Texts of larger buckets that still hold two classes are dealt again by more slots of the same signatures (LEVELS), into
   smaller buckets, which are compared the same way. A level's pairs grow with its rows only.
-* Buckets of the last level that are still large compare more and more hubs with all others, until no bucket holds two
-  classes: nothing is capped.
+* In buckets of the last level that are still large, every text outside the largest class meets all texts of other classes.
+  These are all the pairs that can still link, so one pass is exact and nothing is capped.
 
 A pair never meets twice. Pairs whose signatures agree in fewer than AGREE slots go before any text moves; the others are
 verified on whole texts and linked if their probability Jaccard or their plain Jaccard reaches `least`. Only texts that
@@ -39,7 +39,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm.common import runs, workers_can_import, written
@@ -49,7 +49,6 @@ WORDS, SLOTS_N, BANDS = 5, 128, 32
 AGREE = 84  # slots of 128: a pair of similarity 0.8 agrees in 102 of them on average, with a deviation of 4.5
 SMALL = 8  # texts of a bucket that may all meet
 LEVELS = ((8, 48), (14, 160), (20, 256))  # slots of a key, keys of a signature
-HUBS = 16  # of a large bucket of the last level; four times as many in each round after
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -337,6 +336,16 @@ def bucket_pairs(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
     return met(named, hubs).distinct(), named.where(F.col("n") > SMALL).select("bucket", "rep", "pop")
 
 
+def outside_largest_class(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): all pairs of a bucket across classes, met from the texts outside its largest class."""
+    named, _ = in_classes(buckets, classes)
+    named = written(named.select("bucket", "rep", "c"))
+    sizes = named.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("of_c"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top")).select("bucket", (-F.col("top.by")).alias("most"))
+    hubs = named.join(largest, "bucket").where("c <> most").select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))
+    return met(named, written(hubs)).distinct()
+
+
 def most_popular(buckets: DataFrame) -> DataFrame:
     """(u, v): each text and the most popular other one that leads a bucket of its."""
     top = F.max(F.struct("pop", (-F.col("rep")).alias("by"))).alias("top")
@@ -387,16 +396,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
         shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
         pairs, large = bucket_pairs(dealt.join(shared, "bucket").join(again, "rep").select("bucket", "rep", "pop"), classes)
         compare(pairs)
-    hubs_each = HUBS
-    while True:
-        named, live = in_classes(large, classes)
-        if live.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pop"), "rep"))
-        hubs = written(named.withColumn("rank", rank).where(F.col("rank") <= hubs_each).select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
-        compare(met(named, hubs).distinct())
-        met_all = hubs.select("bucket", F.col("hub").alias("rep"))
-        large, hubs_each = written(named.select("bucket", "rep", "pop").join(met_all, ["bucket", "rep"], "left_anti")), 4 * hubs_each
+    compare(outside_largest_class(large, classes))
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))
