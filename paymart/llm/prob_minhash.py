@@ -373,16 +373,16 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     classes = components(written(same.join(several, "u")))
     seen = None
 
-    def compare(pairs: DataFrame) -> bool:
-        """Links those pairs that are alike and have not met before; False if none was left to compare."""
+    def compare(pairs: DataFrame) -> None:
+        """Links those pairs that are alike and have not met before."""
         nonlocal classes, seen
         pairs = written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs)
         if pairs.isEmpty():
-            return False
+            return
         seen = pairs if seen is None else seen.unionByName(pairs)
-        links = verified(likely(pairs, sketches, least), held, least)
-        classes = components(written(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
-        return True
+        links = written(verified(likely(pairs, sketches, least), held, least))
+        if not links.isEmpty():
+            classes = components(written(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
 
     compare(most_popular(buckets))
     pairs, large = bucket_pairs(buckets, classes)
