@@ -321,9 +321,10 @@ def in_classes(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataF
 
 
 def met(named: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(u, v): the rows of each bucket with its hubs (bucket, hub, hub_c) of other classes."""
+    """(u, v): the rows of each bucket with its hubs (bucket, hub, hub_c) of other classes; two hubs meet once."""
     hubs = hubs.select(F.col("bucket").alias("at"), "hub", "hub_c")  # both may come from one table: names tell them apart
-    pairs = named.select("bucket", "rep", "c").join(hubs, (F.col("bucket") == F.col("at")) & (F.col("c") != F.col("hub_c")))
+    once = ~F.col("is_hub") | (F.col("rep") < F.col("hub"))
+    pairs = named.select("bucket", "rep", "c", "is_hub").join(hubs, (F.col("bucket") == F.col("at")) & (F.col("c") != F.col("hub_c")) & once)
     return pairs.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
 
 
@@ -333,7 +334,7 @@ def bucket_pairs(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
     small = named.where(F.col("n") <= SMALL)
     hubs = live.where(F.col("n") > SMALL).select("bucket", "hub", "hub_c")
     hubs = hubs.unionByName(small.select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
-    return met(named, hubs).distinct(), named.where(F.col("n") > SMALL).select("bucket", "rep", "pop")
+    return met(named.withColumn("is_hub", F.col("n") <= SMALL), hubs).distinct(), named.where(F.col("n") > SMALL).select("bucket", "rep", "pop")
 
 
 def outside_largest_class(buckets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -342,8 +343,8 @@ def outside_largest_class(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     named = written(named.select("bucket", "rep", "c"))
     sizes = named.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("of_c"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top")).select("bucket", (-F.col("top.by")).alias("most"))
-    hubs = named.join(largest, "bucket").where("c <> most").select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))
-    return met(named, written(hubs)).distinct()
+    named = written(named.join(largest, "bucket").select("bucket", "rep", "c", (F.col("c") != F.col("most")).alias("is_hub")))
+    return met(named, named.where("is_hub").select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))).distinct()
 
 
 def most_popular(buckets: DataFrame) -> DataFrame:
