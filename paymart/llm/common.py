@@ -50,12 +50,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, few: bool = False) -> DataFrame:
     """As `cut`, but by a Parquet table of the shared folder: computed once, and without the constraints that a checkpoint
-    hands on, which Catalyst multiplies over many rounds of joins."""
-    folder = shared_folder(df.sparkSession, "written")
+    hands on, which Catalyst multiplies over many rounds of joins.
+
+    `few`: a table with few rows for its many shuffle partitions goes to a sixteenth as many files, two a core at least."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, "written")
+    if few:
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -43,11 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm.common import runs, workers_can_import, written
-from paymart.llm.graph import components
+from paymart.llm.graph import components, merged
 
 WORDS, SLOTS_N, BANDS = 5, 128, 32
 AGREE = 84  # slots of 128: a pair of similarity 0.8 agrees in 102 of them on average, with a deviation of 4.5
 SMALL = 8  # texts of a bucket that may all meet
+LONG, AGREE_LONG = 512, 373  # slots of the second look at a dense group: 0.8 agrees in 410 on average, with a deviation of 9
 LEVELS = ((8, 48), (14, 160), (20, 256))  # slots of a key, keys of a signature
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
 _GOLDEN, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -182,16 +183,16 @@ def band_keys(sigs: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out.view(np.int64)
 
 
-def both_signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def both_signatures(texts: list[str], slots: int = SLOTS_N) -> tuple[np.ndarray, np.ndarray]:
     """The signatures of all texts: weighted by the counts, and of weights 1."""
     ends, hashes, weights = shingle_sets(texts)
     n = np.diff(ends, prepend=0)
-    weighted = _signatures(ends, hashes, weights)
+    weighted = _signatures(ends, hashes, weights, slots)
     row = np.repeat(np.arange(len(n)), n)
     often = np.unique(row[weights > 1])  # of the others, both signatures are one
     its = hashes[np.isin(row, often)]
     plain = weighted.copy()
-    plain[often] = _signatures(np.cumsum(n[often]), its, np.ones(len(its)))
+    plain[often] = _signatures(np.cumsum(n[often]), its, np.ones(len(its)), slots)
     return weighted, plain
 
 
@@ -217,7 +218,7 @@ def level_keys(sketch: np.ndarray, slots: int, keys: int) -> np.ndarray:
 
 def sketches_of(column: pa.Array) -> np.ndarray:
     """(text, signature, slot): the lowest byte of every slot."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2, SLOTS_N)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), 2, -1)
 
 
 def lists(ends: np.ndarray, keys: np.ndarray) -> pa.ListArray:
@@ -247,20 +248,32 @@ def doc_name(doc_id: str, text_key: str):
 
 
 def deal_again(sketches: DataFrame, slots: int, keys: int) -> DataFrame:
-    """(rep, bucket): the keys of a level for every (rep, sketch)."""
+    """(bucket, rep, pop, c): the keys of a level for every (rep, pop, c, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "sketch", 1 << 17):
             two = sketches_of(batch.column("sketch"))
             found = lists(*union_of(level_keys(two[:, 0], slots, keys), level_keys(two[:, 1], slots, keys)))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), found], ["rep", "buckets"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("rep", "pop", "c")), found], ["rep", "pop", "c", "buckets"])
 
-    return sketches.mapInArrow(run, "rep long, buckets array<long>").select("rep", F.explode("buckets").alias("bucket"))
+    dealt = sketches.select("rep", "pop", "c", "sketch").mapInArrow(run, "rep long, pop long, c long, buckets array<long>")
+    return dealt.select(F.explode("buckets").alias("bucket"), "rep", "pop", "c")
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+def long_sketches(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, sketch) of the texts (doc, text) in `reps`, of LONG slots, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, "text", 1 << 17):
+            sketch = np.stack(both_signatures(batch.column("text").to_pylist(), LONG), 1).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([x.tobytes() for x in sketch], pa.binary())], ["rep", "sketch"])
+
+    return written(texts.join(reps.select(F.col("rep").alias("doc")), "doc").mapInArrow(run, "rep long, sketch binary"), few=True)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, least: float, agree: int = AGREE) -> DataFrame:
     """Those (u, v) of `pairs` with a signature that agrees in enough slots."""
-    enough = AGREE if least >= 0.8 else 0
+    enough = agree if least >= 0.8 else 0
     rows = pairs.join(sketches.withColumnsRenamed({"rep": "v", "sketch": "b"}), "v").join(sketches.withColumnsRenamed({"rep": "u", "sketch": "a"}), "u")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +290,7 @@ def candidate_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
     texts = texts.select(doc_name("doc_id", "k").alias("doc"), "text", "k").join(reps.select(F.col("rep").alias("doc")), "doc")
     kept = written(texts)
-    often = written(kept.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
+    often = written(kept.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), few=True)
     if not often.isEmpty():
         kept = kept.join(often, "doc", "left_anti").unionByName(kept.join(often, "doc").dropDuplicates(["doc", "k"]))
     return kept.select("doc", "text")
@@ -311,13 +324,16 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def in_classes(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of (bucket, rep, pop): (the rows of buckets that hold two classes, with class c and size n; each one's most popular text)."""
-    named = buckets.join(classes, buckets["rep"] == classes["node"], "left").select("bucket", "rep", "pop", F.coalesce("component", "rep").alias("c"))
-    top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
-    live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
-    live = written(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")))
-    return named.join(live.select("bucket", "n"), "bucket"), live
+def in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """`rows` (rep, ...) with the class c of each rep."""
+    return rows.join(classes, rows["rep"] == classes["node"], "left").select(*rows.columns, F.coalesce("component", "rep").alias("c"))
+
+
+def still_two(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of (bucket, rep, pop): the rows of buckets that hold two classes by now."""
+    named = written(in_classes(buckets, classes), few=True)
+    two = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    return named.join(two.select("bucket"), "bucket").select("bucket", "rep", "pop")
 
 
 def met(named: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -328,9 +344,13 @@ def met(named: DataFrame, hubs: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
 
 
-def bucket_pairs(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs, rows of large buckets): the most popular text of a bucket meets all others, those of a small one all."""
-    named, live = in_classes(buckets, classes)
+def bucket_pairs(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (bucket, rep, pop, c): (pairs, rows of large buckets) where a bucket holds two classes. Its most popular text meets all
+    others, those of a small one all."""
+    top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
+    live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
+    live = written(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")), few=True)
+    named = written(named.join(live.select("bucket", "n"), "bucket"), few=True)
     small = named.where(F.col("n") <= SMALL)
     hubs = live.where(F.col("n") > SMALL).select("bucket", "hub", "hub_c")
     hubs = hubs.unionByName(small.select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
@@ -339,11 +359,11 @@ def bucket_pairs(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
 
 def outside_largest_class(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v): all pairs of a bucket across classes, met from the texts outside its largest class."""
-    named, _ = in_classes(buckets, classes)
-    named = written(named.select("bucket", "rep", "c"))
+    named = written(in_classes(buckets, classes).select("bucket", "rep", "c"), few=True)
     sizes = named.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("of_c"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top")).select("bucket", (-F.col("top.by")).alias("most"))
-    named = written(named.join(largest, "bucket").select("bucket", "rep", "c", (F.col("c") != F.col("most")).alias("is_hub")))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top"), F.count(F.lit(1)).alias("classes"))
+    largest = largest.where("classes > 1").select("bucket", (-F.col("top.by")).alias("most"))
+    named = written(named.join(largest, "bucket").select("bucket", "rep", "c", (F.col("c") != F.col("most")).alias("is_hub")), few=True)
     return met(named, named.where("is_hub").select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))).distinct()
 
 
@@ -371,33 +391,36 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     # texts under one doc_id, and the texts of the exact copies of a document, meet through their documents
     same = rows.join(texts.select("text_key", "rep"), "text_key").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     several = rows.groupBy("doc").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select(F.col("doc").alias("u"))
-    classes = components(written(same.join(several, "u")))
+    classes = written(components(same.join(several, "u")), few=True)
     seen = None
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, dense: bool = False) -> None:
         """Links those pairs that are alike and have not met before."""
         nonlocal classes, seen
-        pairs = written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs)
+        pairs = written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs, few=True)
         if pairs.isEmpty():
             return
         seen = pairs if seen is None else seen.unionByName(pairs)
-        links = written(verified(likely(pairs, sketches, least), held, least))
+        if dense:  # here all pairs agree in enough of the 128 slots
+            reps = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
+            alike = likely(pairs, long_sketches(held, reps), least, AGREE_LONG)
+        else:
+            alike = likely(pairs, sketches, least)
+        links = written(verified(alike, held, least), few=True)
         if not links.isEmpty():
-            classes = components(written(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
+            classes = merged(classes, links)
 
     compare(most_popular(buckets))
-    pairs, large = bucket_pairs(buckets, classes)
+    pairs, large = bucket_pairs(written(in_classes(buckets, classes), few=True))
     compare(pairs)
     for slots, keys in LEVELS:
-        large, _ = in_classes(large, classes)
-        again = written(large.select("rep", "pop").distinct())
+        large = still_two(large, classes)
+        again = written(large.select("rep", "pop").distinct(), few=True)
         if again.isEmpty():
             break
-        dealt = written(deal_again(sketches.join(again.select("rep"), "rep"), slots, keys))
-        shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        pairs, large = bucket_pairs(dealt.join(shared, "bucket").join(again, "rep").select("bucket", "rep", "pop"), classes)
+        pairs, large = bucket_pairs(written(deal_again(in_classes(again, classes).join(sketches, "rep"), slots, keys), few=True))
         compare(pairs)
-    compare(outside_largest_class(large, classes))
+    compare(outside_largest_class(large, classes), dense=True)
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))
