@@ -283,3 +283,16 @@ def test_dimension_rules(spark, tmp_root):
     part = spark.createDataFrame([("U1", "Delhi"), ("U3", "Agra")], "user_id string, city string")
     ingest.load_dimension(spark, part, tmp_root, "users")
     assert {r.user_id: r.city for r in ingest.read_current(spark, tmp_root, "users").collect()} == {"U1": "Delhi", "U2": None}
+
+
+def test_long_key_lists_of_a_load_are_not_broadcast(spark, monkeypatch):
+    """Left to itself, Spark broadcasts them by their compressed size, through the driver."""
+    monkeypatch.setattr(ingest, "MAX_BROADCAST_KEYS", 2)
+    rows = [(f"k{i}", i) for i in range(5)]
+    target, batch = (spark.createDataFrame(rows[k:], "k string, v int") for k in (0, 3))
+    plan = ingest._short(batch.select("k"))
+    joined = target.join(plan, "k", "left_semi")
+    joined.collect()
+    tree = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in tree and "BroadcastHashJoin" not in tree
+    assert sorted(map(tuple, ingest.upsert(target, batch.limit(2).withColumn("v", F.lit(7)), "k").collect())) == [("k0", 0), ("k1", 1), ("k2", 2), ("k3", 7), ("k4", 7)]
