@@ -76,6 +76,16 @@ def first_per_key(batch: DataFrame, key: str, order: tuple[str, ...] = ("transac
     return picked.select("_r.*")
 
 
+def one_per_key(batch: DataFrame, key: str) -> DataFrame:
+    """``first_per_key``, in which only rows of repeated keys are compared: a narrow count finds those keys, normally
+    few, and all other rows stay where they are.  Reads the batch three times."""
+    often = _keep(batch.groupBy(F.col(key).alias("_often")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_often"),
+                  "repeated_keys")
+    again, same = _short(often), F.col(key).eqNullSafe(F.col("_often"))
+    once = batch.join(again, same, "left_anti")
+    return once.unionByName(first_per_key(batch.join(again, same, "left_semi"), key).select(*batch.columns))
+
+
 def new_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The rows an insert-if-absent adds: one per key, keys not stored yet.
 
@@ -268,7 +278,7 @@ STORED_MARK = object()
 
 def _insert(table: TableLog, fresh: DataFrame, version: str, key: str) -> tuple[str, int]:
     """Write the rows of a batch that the table doesn't have, opening only files whose key range meets the batch's."""
-    picked = _keep(first_per_key(fresh, key), "picked")
+    picked = _keep(one_per_key(fresh, key), "picked")
     files = table.files_with(key_ranges(picked, key))
     if files:
         held = table.spark.read.schema(fresh.schema).parquet(*files)

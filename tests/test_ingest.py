@@ -285,6 +285,13 @@ def test_dimension_rules(spark, tmp_root):
     assert {r.user_id: r.city for r in ingest.read_current(spark, tmp_root, "users").collect()} == {"U1": "Delhi", "U2": None}
 
 
+def test_only_rows_of_repeated_keys_are_compared(spark):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("b", 5, "z"), (None, 3, "p"), (None, 2, "q"), ("c", 9, "r"), ("a", 0, "w")]
+    batch = spark.createDataFrame(rows, "k string, transaction_ts int, v string")
+    got, wanted = ingest.one_per_key(batch, "k"), ingest.first_per_key(batch, "k")
+    assert got.columns == batch.columns and sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
 def test_long_key_lists_of_a_load_are_not_broadcast(spark, monkeypatch):
     """Left to itself, Spark broadcasts them by their compressed size, through the driver."""
     monkeypatch.setattr(ingest, "MAX_BROADCAST_KEYS", 2)
