@@ -294,7 +294,7 @@ def test_only_rows_of_repeated_keys_are_compared(spark):
 
 def test_long_key_lists_of_a_load_are_not_broadcast(spark, monkeypatch):
     """Left to itself, Spark broadcasts them by their compressed size, through the driver."""
-    monkeypatch.setattr(ingest, "MAX_BROADCAST_KEYS", 2)
+    monkeypatch.setattr(ingest, "MAX_BROADCAST_KEYS", 1)
     rows = [(f"k{i}", i) for i in range(5)]
     target, batch = (spark.createDataFrame(rows[k:], "k string, v int") for k in (0, 3))
     plan = ingest._short(batch.select("k"))
