@@ -16,11 +16,13 @@ by either. A text is the more popular the more texts its buckets hold; the centr
 * Texts of larger buckets that still hold two classes are dealt again by more slots of the same signatures (LEVELS), into
   smaller buckets, which are compared the same way. A level's pairs grow with its rows only.
 * In buckets of the last level that are still large, every text outside the largest class meets all texts of other classes.
-  These are all the pairs that can still link, so one pass is exact and nothing is capped.
+  These are all the pairs that can still link, so one pass is exact and nothing is capped. Their number grows with the
+  square of such a bucket, by nature; they are never rows. The bucket is cut into blocks of about BLOCK texts, each pair of
+  blocks is one group that is compared by array operations, and only pairs that are likely come out of it.
 
-A pair never meets twice. Pairs whose signatures agree in fewer than AGREE slots go before any text moves; the others are
-verified on whole texts and linked if their probability Jaccard or their plain Jaccard reaches `least`. Only texts that
-share a bucket are carried along for it, written once.
+A pair's texts are never compared twice. Pairs whose signatures agree in fewer than AGREE slots go before any text moves;
+the others are verified on whole texts and linked if their probability Jaccard or their plain Jaccard reaches `least`. Only
+texts that share a bucket are carried along for it, written once.
 
 The pairs of that last pass all agree in many slots; they are sifted by longer signatures (LONG slots, at least AGREE_LONG equal),
 which lose another 3e-5 of the pairs of similarity 0.8.
@@ -36,7 +38,7 @@ empty one. Other columns, whatever their names, aren't read."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -51,6 +53,7 @@ from paymart.llm.graph import components, merged
 WORDS, SLOTS_N, BANDS = 5, 128, 32
 AGREE = 84  # slots of 128: a pair of similarity 0.8 agrees in 102 of them on average, with a deviation of 4.5
 SMALL = 8  # texts of a bucket that may all meet
+BLOCK = 512  # texts of a large bucket that are compared in one group, and as many others
 LONG, AGREE_LONG = 512, 373  # slots of the second look at a dense group: 0.8 agrees in 410 on average, with a deviation of 9
 LEVELS = ((8, 48), (14, 160), (20, 256))  # slots of a key, keys of a signature
 CACHED = 2_000_000  # shingles of texts that a worker keeps while verifying
@@ -219,7 +222,7 @@ def level_keys(sketch: np.ndarray, slots: int, keys: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketches_of(column: pa.Array) -> np.ndarray:
+def sketches_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """(text, signature, slot): the lowest byte of every slot."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), 2, -1)
 
@@ -274,9 +277,12 @@ def long_sketches(texts: DataFrame, reps: DataFrame) -> DataFrame:
     return written(texts.join(reps.select(F.col("rep").alias("doc")), "doc").mapInArrow(run, "rep long, sketch binary"), few=True)
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, least: float, agree: int = AGREE) -> DataFrame:
-    """Those (u, v) of `pairs` with a signature that agrees in enough slots."""
+def likely(pairs: DataFrame, sketches: DataFrame | None, least: float, agree: int = AGREE) -> DataFrame:
+    """Those (u, v) of `pairs` with a signature that agrees in enough slots. `pairs` are rows (u, v), or blocks of texts with
+    their sketches as `outside_largest_class` makes them; then `sketches` is None."""
     enough = agree if least >= 0.8 else 0
+    if sketches is None:
+        return likely_in_blocks(pairs, enough)
     rows = pairs.join(sketches.withColumnsRenamed({"rep": "v", "sketch": "b"}), "v").join(sketches.withColumnsRenamed({"rep": "u", "sketch": "a"}), "u")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +293,25 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float, agree: int = AGR
     return rows.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def likely_in_blocks(blocks: DataFrame, enough: int) -> DataFrame:
+    """(u, v): in each (bucket, i, j) the hubs with the other texts of other classes; two hubs meet once."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rep, c = (group.column(name).to_numpy() for name in ("rep", "c"))
+        also, asks = (group.column(name).to_numpy(zero_copy_only=False) for name in ("is_hub", "asks"))
+        sketch = sketches_of(group.column("sketch"))
+        met, pairs = np.flatnonzero(~asks), []
+        for k in np.flatnonzero(asks).tolist():
+            others = met[(c[met] != c[k]) & (~also[met] | (rep[met] < rep[k]))]
+            near = others[np.count_nonzero(sketch[others] == sketch[k], axis=2).max(1, initial=0) >= enough]
+            pairs.append(np.stack([np.minimum(rep[near], rep[k]), np.maximum(rep[near], rep[k])]))
+        u, v = np.concatenate(pairs, 1) if pairs else np.zeros((2, 0), np.int64)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return blocks.groupBy("bucket", "i", "j").applyInArrow(run, "u long, v long").distinct()
+
+
 def candidate_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(doc, text) of the documents in `reps`, one row of each document and text, written once."""
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -339,35 +364,37 @@ def still_two(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return named.join(two.select("bucket"), "bucket").select("bucket", "rep", "pop")
 
 
-def met(named: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(u, v): the rows of each bucket with its hubs (bucket, hub, hub_c) of other classes; two hubs meet once."""
-    hubs = hubs.select(F.col("bucket").alias("at"), "hub", "hub_c")  # both may come from one table: names tell them apart
-    once = ~F.col("is_hub") | (F.col("rep") < F.col("hub"))
-    pairs = named.select("bucket", "rep", "c", "is_hub").join(hubs, (F.col("bucket") == F.col("at")) & (F.col("c") != F.col("hub_c")) & once)
-    return pairs.select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
-
-
 def bucket_pairs(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of (bucket, rep, pop, c): (pairs, rows of large buckets) where a bucket holds two classes. Its most popular text meets all
     others, those of a small one all."""
     top = F.max(F.struct("pop", (-F.col("rep")).alias("by"), "c")).alias("top")
     live = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), top).where("lo <> hi")
     live = written(live.select("bucket", "n", (-F.col("top.by")).alias("hub"), F.col("top.c").alias("hub_c")), few=True)
-    named = written(named.join(live.select("bucket", "n"), "bucket"), few=True)
-    small = named.where(F.col("n") <= SMALL)
-    hubs = live.where(F.col("n") > SMALL).select("bucket", "hub", "hub_c")
-    hubs = hubs.unionByName(small.select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c")))
-    return met(named.withColumn("is_hub", F.col("n") <= SMALL), hubs).distinct(), named.where(F.col("n") > SMALL).select("bucket", "rep", "pop")
-
-
-def outside_largest_class(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(u, v): all pairs of a bucket across classes, met from the texts outside its largest class."""
+    named = written(named.join(live, "bucket"), few=True)
+    large, small = named.where(F.col("n") > SMALL), named.where(F.col("n") <= SMALL).select("bucket", "rep", "c")
+    # both sides come from one table: names tell them apart
+    others = small.select(F.col("bucket").alias("at"), F.col("rep").alias("other"), F.col("c").alias("other_c"))
+    every = small.join(others, (F.col("bucket") == F.col("at")) & (F.col("c") != F.col("other_c")) & (F.col("rep") < F.col("other")))
+    stars = large.where("c <> hub_c").select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
+    pairs = every.select(F.col("rep").alias("u"), F.col("other").alias("v")).unionByName(stars)
+    return pairs.distinct(), large.select("bucket", "rep", "pop")
+
+
+def outside_largest_class(buckets: DataFrame, classes: DataFrame, sketches: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(bucket, i, j, rep, c, is_hub, asks, sketch): blocks in which the texts outside a bucket's largest class, its hubs, ask all its
+    texts. Each hub is in a block i and there for every j, each text in a block j and there for every i."""
     named = written(in_classes(buckets, classes).select("bucket", "rep", "c"), few=True)
     sizes = named.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("of_c"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top"), F.count(F.lit(1)).alias("classes"))
-    largest = largest.where("classes > 1").select("bucket", (-F.col("top.by")).alias("most"))
-    named = written(named.join(largest, "bucket").select("bucket", "rep", "c", (F.col("c") != F.col("most")).alias("is_hub")), few=True)
-    return met(named, named.where("is_hub").select("bucket", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))).distinct()
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("of_c", (-F.col("c")).alias("by"))).alias("top"), F.count(F.lit(1)).alias("classes"), F.sum("of_c").alias("n"))
+    blocks_of = lambda n: F.ceil(n / BLOCK).cast("int")
+    largest = largest.where("classes > 1").select("bucket", (-F.col("top.by")).alias("most"), blocks_of(F.col("n") - F.col("top.of_c")).alias("is"), blocks_of(F.col("n")).alias("js"))
+    named = written(named.join(largest, "bucket").withColumn("is_hub", F.col("c") != F.col("most")).drop("most"), few=True)
+    named = named.join(sketches(named.select("rep").distinct()), "rep")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    rest = ["rep", "c", "is_hub", "sketch"]
+    hubs = named.where("is_hub").select("bucket", own("is").alias("i"), every("js").alias("j"), *rest, F.lit(True).alias("asks"))
+    return hubs.unionByName(named.select("bucket", every("is").alias("i"), own("js").alias("j"), *rest, F.lit(False).alias("asks")))
 
 
 def most_popular(buckets: DataFrame) -> DataFrame:
@@ -397,22 +424,23 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     classes = written(components(same.join(several, "u")), few=True)
     seen = None
 
-    def compare(pairs: DataFrame, dense: bool = False) -> None:
-        """Links those pairs that are alike and have not met before."""
-        nonlocal classes, seen
-        pairs = written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs, few=True)
-        if pairs.isEmpty():
-            return
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        if dense:  # here all pairs agree in enough of the 128 slots
-            reps = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
-            alike = likely(pairs, long_sketches(held, reps), least, AGREE_LONG)
-        else:
-            alike = likely(pairs, sketches, least)
+    def unseen(pairs: DataFrame) -> DataFrame:
+        return written(pairs.join(seen, ["u", "v"], "left_anti") if seen is not None else pairs, few=True)
+
+    def link(alike: DataFrame) -> None:
+        nonlocal classes
         links = written(verified(alike, held, least), few=True)
         if not links.isEmpty():
             classes = merged(classes, links)
 
+    def compare(pairs: DataFrame) -> None:
+        """Links those pairs that are alike and have not met before."""
+        nonlocal seen
+        pairs = unseen(pairs)
+        if not pairs.isEmpty():
+            seen = pairs if seen is None else seen.unionByName(pairs)
+            link(likely(pairs, sketches, least))
+
     compare(most_popular(buckets))
     pairs, large = bucket_pairs(written(in_classes(buckets, classes), few=True))
     compare(pairs)
@@ -423,7 +451,11 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
             break
         pairs, large = bucket_pairs(written(deal_again(in_classes(again, classes).join(sketches, "rep"), slots, keys), few=True))
         compare(pairs)
-    compare(outside_largest_class(large, classes), dense=True)
+    # here all pairs agree in enough of the 128 slots
+    blocks = outside_largest_class(large, classes, lambda reps: long_sketches(held, reps))
+    alike = unseen(likely(blocks, None, least, AGREE_LONG))
+    if not alike.isEmpty():
+        link(alike)
     found = rows.select("doc", "text_key").join(texts.select("text_key", "rep"), "text_key")
     found = found.join(classes, found["rep"] == classes["node"], "left")
     return found.select("doc", "text_key", F.coalesce("component", "rep").alias("class_id"))

@@ -52,3 +52,40 @@ def test_dense_group_has_the_classes_of_all_pairs(spark, monkeypatch):
     links = [(i, j) for i in range(90) for j in range(i) if max(prob_minhash.similarity(sets[i], sets[j])) >= 0.8]
     assert got == brute(links, range(90))
     assert calls[-1][0] == prob_minhash.AGREE_LONG
+
+
+def test_last_pass_compares_blocks_and_makes_no_row_of_a_pair(spark, monkeypatch):
+    """300 classes of one text in one bucket: 44,850 pairs, but rows in proportion to the texts and their blocks only."""
+    draw = random.Random(7)
+    base = [f"w{i}" for i in range(300)]
+    texts = {}
+    for i in range(300):
+        words = list(base)
+        for at in draw.sample(range(300), 7):
+            words[at] = f"x{i}_{at}"
+        texts[i] = " ".join(words)
+    for i in range(40, 50):  # alike, but in two classes so far
+        texts[i + 100] = texts[i] + " more"
+    monkeypatch.setattr(prob_minhash, "BLOCK", 100)
+    held = spark.createDataFrame(list(texts.items()), "doc long, text string")
+    buckets = spark.createDataFrame([(1, i, 5) for i in texts], "bucket long, rep long, pop long")
+    classes = spark.createDataFrame([], "node long, component long")
+    blocks = prob_minhash.outside_largest_class(buckets, classes, lambda reps: prob_minhash.long_sketches(held, reps))
+    rows = blocks.collect()
+    assert len(rows) == 299 * 3 + 300 * 3 and max(r.i for r in rows) == max(r.j for r in rows) == 2
+    sketch = {r.rep: prob_minhash.np.frombuffer(r.sketch, prob_minhash.np.uint8).reshape(2, -1) for r in rows}
+    near = lambda u, v: (sketch[u] == sketch[v]).sum(1).max() >= prob_minhash.AGREE_LONG
+    want = {(u, v) for v in texts for u in range(v) if near(u, v)}
+    got = [tuple(r) for r in prob_minhash.likely(blocks, None, 0.8, prob_minhash.AGREE_LONG).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and {(i, i + 100) for i in range(40, 50)} <= want
+
+
+@pytest.mark.parametrize("small", [0, 8])
+def test_pairs_of_a_bucket(spark, monkeypatch, small):
+    """A small bucket's texts all meet across classes, a large one's meet its most popular text, in no second join."""
+    monkeypatch.setattr(prob_minhash, "SMALL", small)
+    rows = [(1, 4, 9, 4), (1, 5, 7, 5), (1, 6, 7, 4), (1, 7, 2, 7), (2, 8, 1, 8), (2, 9, 1, 8)]
+    pairs, large = prob_minhash.bucket_pairs(spark.createDataFrame(rows, "bucket long, rep long, pop long, c long"))
+    every = {(4, 5), (4, 7), (5, 6), (5, 7), (6, 7)}
+    assert {tuple(r) for r in pairs.collect()} == (every if small else {(4, 5), (4, 7)}) and pairs.count() == (5 if small else 2)
+    assert large.count() == (0 if small else 4)
