@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -79,10 +79,25 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def runs(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+#: What Python workers keep from task to task, by name: how it is emptied.
+WORKER_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def give_back(uses: str | None = None) -> None:
+    """Empties the caches of this worker but for the one named, and hands back the memory that Arrow holds unused.
+
+    Spark's workers live on from job to job; without this they hold the caches of every operator that they have served."""
+    for name, empty in WORKER_CACHES.items():
+        if name != uses:
+            empty()
+    pa.default_memory_pool().release_unused()
+
+
+def runs(batches: Iterable[pa.RecordBatch], column: str, limit: int, uses: str | None = None) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `limit` bytes of `column`, at least one row each.
 
-    Bounds what a task holds at a time beyond one whole row."""
+    Bounds what a task holds at a time beyond one whole row. `uses`: the worker's cache that the task needs; others go."""
+    give_back(uses)
     for batch in batches:
         n, start = batch.num_rows, 0
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
@@ -92,3 +107,5 @@ def runs(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator
             if held >= limit or i == n - 1:
                 yield batch.slice(start, i + 1 - start)
                 start, held = i + 1, 0
+    batch = None
+    give_back(uses)

@@ -41,7 +41,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
-        for batch in runs(batches, "t", 1 << 20):
+        for batch in runs(batches, "t", 1 << 20, "tokens"):
             rows = []
             ids = encoder.encode([t or "" for t in batch.column("t").to_pylist()])
             for doc_id, raw in zip(batch.column("i").to_pylist(), ids):

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import runs, workers_can_import, written
+from paymart.llm.common import WORKER_CACHES, runs, workers_can_import, written
 from paymart.llm.graph import components, merged
 
 WORDS, SLOTS_N, BANDS = 5, 128, 32
@@ -67,6 +67,7 @@ class WordHashes(dict):
 
 
 _WORD_HASHES = WordHashes()
+WORKER_CACHES["words"] = _WORD_HASHES.clear
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -77,7 +78,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ends, hashes, counts): the shingles of all texts, sorted within each; ends[i] is where those of text i end."""
-    if len(_WORD_HASHES) > 500_000:
+    if len(_WORD_HASHES) > 200_000:
         _WORD_HASHES.clear()
     split = [t.lower().split() for t in texts]
     n = np.array([len(x) for x in split], np.int64)
@@ -239,7 +240,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     rows = rows.select(doc_name("doc_id", "text_key").alias("doc"), "text_key", F.col("text").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "t", 1 << 19):
+        for batch in runs(batches, "t", 1 << 19, "words"):
             two = both_signatures(batch.column("t").to_pylist())
             sketch = np.stack(two, 1).astype(np.uint8)  # the lowest byte
             columns = [batch.column("doc"), batch.column("text_key"), lists(*union_of(*map(band_keys, two)))]
@@ -257,7 +258,7 @@ def deal_again(sketches: DataFrame, slots: int, keys: int) -> DataFrame:
     """(bucket, rep, pop, c): the keys of a level for every (rep, pop, c, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "sketch", 1 << 17):
+        for batch in runs(batches, "sketch", 1 << 17, "words"):
             two = sketches_of(batch.column("sketch"))
             found = lists(*union_of(level_keys(two[:, 0], slots, keys), level_keys(two[:, 1], slots, keys)))
             yield pa.RecordBatch.from_arrays([*map(batch.column, ("rep", "pop", "c")), found], ["rep", "pop", "c", "buckets"])
@@ -270,7 +271,7 @@ def long_sketches(texts: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, sketch) of the texts (doc, text) in `reps`, of LONG slots, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "text", 1 << 17):
+        for batch in runs(batches, "text", 1 << 17, "words"):
             sketch = np.stack(both_signatures(batch.column("text").to_pylist(), LONG), 1).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([x.tobytes() for x in sketch], pa.binary())], ["rep", "sketch"])
 
@@ -342,7 +343,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 size += len(got[0])
             return got
 
-        for batch in runs(batches, "b", 1 << 22):
+        for batch in runs(batches, "b", 1 << 22, "words"):
             keep = []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 x, y = of(a), of(b)

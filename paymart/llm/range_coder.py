@@ -294,7 +294,7 @@ def write_files(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out = library_encoder(path), None
-        for batch in runs(batches, "t", 1 << 20):
+        for batch in runs(batches, "t", 1 << 20, "tokens"):
             ids = encoder.encode([t or "" for t in batch.column("t").to_pylist()])
             for doc_id, h, raw in zip(batch.column("i").to_pylist(), batch.column("h").to_pylist(), ids):
                 out = out or FileWriter(folder, doc_id, h)

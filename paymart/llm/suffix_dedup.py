@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paymart.llm.common import runs, shared_folder, workers_can_import
+from paymart.llm.common import WORKER_CACHES, runs, shared_folder, workers_can_import
 
 LENGTH, GRAM, GROUP, CHUNK = 200, 32, 2048, 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x5851F42D4C957F2D
 _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
+WORKER_CACHES["powers"] = _POWERS.clear
 
 OCCURRENCES = "a long, c long, k long, at long, left short, windows short"
 CONTEXTS = "a long, part int, split boolean, c long, r binary, l binary"
@@ -108,7 +109,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """OCCURRENCES of all anchors of (k, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "t", CHUNK):
+        for batch in runs(batches, "t", CHUNK, "powers"):
             raw = [t.encode("utf-8", "surrogatepass") for t in batch.column("t").to_pylist()]
             keys = batch.column("k").to_numpy()
             if sum(map(len, raw)) < 4 * CHUNK:

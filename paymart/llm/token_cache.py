@@ -11,6 +11,8 @@ import re
 
 import numpy as np
 
+from paymart.llm.common import WORKER_CACHES
+
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _LETTERS_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
@@ -79,6 +81,7 @@ class LibraryEncoder:
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
+WORKER_CACHES["tokens"] = _ENCODERS.clear
 
 
 def library_encoder(path: str) -> LibraryEncoder:
