@@ -359,10 +359,17 @@ def in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def still_two(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of (bucket, rep, pop): the rows of buckets that hold two classes by now."""
+    """Of (bucket, rep, pop): the texts (rep, pop) of buckets that hold two classes by now.
+
+    Only the rows of buckets that came to one class are looked up; a text is left out if they are all its rows. A dense group's
+    buckets mostly stay as they are, and make no rows here."""
     named = written(in_classes(buckets, classes), few=True)
-    two = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    return named.join(two.select("bucket"), "bucket").select("bucket", "rep", "pop")
+    one = written(named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo = hi").select("bucket"), few=True)
+    if one.isEmpty():
+        return named.select("rep", "pop").distinct()
+    gone = named.join(one, "bucket").groupBy("rep").agg(F.count(F.lit(1)).alias("gone"))
+    texts = named.groupBy("rep", "pop").agg(F.count(F.lit(1)).alias("n"))
+    return texts.join(gone, "rep", "left").where("gone is null or gone < n").select("rep", "pop")
 
 
 def bucket_pairs(named: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -446,8 +453,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     pairs, large = bucket_pairs(written(in_classes(buckets, classes), few=True))
     compare(pairs)
     for slots, keys in LEVELS:
-        large = still_two(large, classes)
-        again = written(large.select("rep", "pop").distinct(), few=True)
+        again = written(still_two(large, classes), few=True)
         if again.isEmpty():
             break
         pairs, large = bucket_pairs(written(deal_again(in_classes(again, classes).join(sketches, "rep"), slots, keys), few=True))

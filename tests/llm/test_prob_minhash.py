@@ -89,3 +89,16 @@ def test_pairs_of_a_bucket(spark, monkeypatch, small):
     every = {(4, 5), (4, 7), (5, 6), (5, 7), (6, 7)}
     assert {tuple(r) for r in pairs.collect()} == (every if small else {(4, 5), (4, 7)}) and pairs.count() == (5 if small else 2)
     assert large.count() == (0 if small else 4)
+
+
+def test_texts_of_buckets_that_still_hold_two_classes(spark):
+    """Buckets 1 and 2 still hold two classes, 3 has come to one. Rows are looked up for buckets like 3 only."""
+    rows = [(1, 4, 9), (1, 5, 7), (2, 4, 9), (2, 6, 3), (3, 6, 3), (3, 7, 2), (3, 8, 2)]
+    classes = spark.createDataFrame([(6, 6), (7, 6), (8, 6)], "node long, component long")
+    buckets = spark.createDataFrame(rows, "bucket long, rep long, pop long")
+    got = [tuple(r) for r in prob_minhash.still_two(buckets, classes).collect()]
+    assert sorted(got) == [(4, 9), (5, 7), (6, 3)]
+    dense = prob_minhash.still_two(buckets.where("bucket < 3"), classes)
+    assert "Join" not in dense._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in dense.collect()) == [(4, 9), (5, 7), (6, 3)]
+    assert prob_minhash.still_two(buckets.where("bucket = 3"), classes).isEmpty()
