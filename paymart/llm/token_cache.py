@@ -1,10 +1,9 @@
 """Token ids of whole texts from the tokenizers library, each distinct stretch between blanks encoded once per worker.
 
 The pre-tokenizer never joins text across a blank or a line feed, so the ids of a text are the ids of its stretches, one
-after another. A stretch of Latin-1 letters, or such letters followed by ASCII marks, is one or two pre-tokens. The
-normalizer lower-cases letters, so they are encoded once in lower case. ASCII letters in lower case come out of the normalizer
-and the pre-tokenizer as they are: the library's BPE model takes them at once. It encodes many other words in one call, told
-apart by the end-of-word tokens. Anything else is given to the library by itself."""
+after another. A stretch of Latin-1 letters, or such letters followed by ASCII marks, is one or two pre-tokens; the
+library encodes many of those in one call, told apart by the end-of-word tokens. Anything else is given to the library
+by itself."""
 
 from __future__ import annotations
 
@@ -29,8 +28,6 @@ class LibraryEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.raw = [i.to_bytes(4, "little") for i in range(len(self.ends))]
-        self.model = self.tok.model
         self.cache: dict[str, bytes] = {"": b""}
         self.max_entries = max_entries
 
@@ -39,12 +36,7 @@ class LibraryEncoder:
             self.cache[item] = np.array(enc.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> None:
-        """Stretches of letters only, in lower case: one pre-token each, so one end-of-word token each."""
-        raw, tokenize = self.raw, self.model.tokenize
-        for word in words:
-            if word.isascii():
-                self.cache[word] = b"".join([raw[token.id] for token in tokenize(word)])
-        words = [word for word in words if not word.isascii()]
+        """Stretches of letters only: one pre-token each, so one end-of-word token each."""
         for k in range(0, len(words), 2000):
             part = words[k : k + 2000]
             ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
@@ -62,17 +54,13 @@ class LibraryEncoder:
         words, marks, other, two = set(), set(), [], []
         for chunk in missing:
             if _LETTERS.fullmatch(chunk):
-                if (word := chunk.lower()) not in cache:
-                    words.add(word)
-                if word != chunk:
-                    two.append((chunk, word, ""))
+                words.add(chunk)
             elif m := _LETTERS_MARKS.fullmatch(chunk):
-                word, mark = m[1].lower(), m[2]
-                two.append((chunk, word, mark))
-                if word not in cache:
-                    words.add(word)
-                if mark not in cache:
-                    marks.add(mark)
+                two.append((chunk, *m.groups()))
+                if m[1] not in cache:
+                    words.add(m[1])
+                if m[2] not in cache:
+                    marks.add(m[2])
             else:
                 other.append(chunk)
         self._words(list(words))
