@@ -4,10 +4,11 @@ A block holds up to BLOCK ids, its own sorted alphabet and a checksum, and start
 decoded by itself. Each id's probability is a mixture: an order-2 prediction (the id that last followed the last two), an
 order-1 prediction (the id that last followed the last one) and order-0 counts over the block's alphabet. The two
 predictions weigh as much as they have lately been right at their present run length; the counts get the rest, never less
-than 1/8, so that every id can be coded. The mixture drives a 48-bit arithmetic coder that puts out 16-bit words. Carries
-stay in the words and are settled at the end.
+than 1/8, so that every id can be coded. An id that has a share by a prediction and one by the counts is coded by the larger.
+The mixture drives a 48-bit arithmetic coder that puts out 16-bit words. Carries stay in the words and are settled at the end.
 
-Blocks are coded side by side: a step codes one id in each of up to LANES blocks with array operations.
+Blocks are coded side by side: a step codes one id in each of up to LANES blocks with array operations. What the contexts
+predict is found for all steps at once by the encoder, which knows the ids, and step by step by the decoder.
 
 A file is its blocks, then the documents' ids and lengths, then a fixed-size end part. Rows go to files by range of
 doc_id, in ascending order inside and across files, nulls first, repeated doc_ids by the hash of their text. Files are
@@ -33,6 +34,9 @@ from paymart.llm.warc_zip import open_store
 
 BLOCK, LANES = 2048, 2048
 SLOTS = 2048  # order-2 contexts of a block, hashed
+SHARE_BITS = 14  # every id has at least 1 of 2 * BLOCK counts, so 4 of these shares, and 2 of 65536 in the least mixture
+SHARES = 1 << SHARE_BITS
+WORDS = 1_000_000  # words that a worker knows at most
 MAGIC = b"TIDRC1\0\0"
 HEAD = struct.Struct("<IIIII")  # ids, alphabet size, alphabet bytes, words, crc32
 TAIL = struct.Struct("<QQQ8s")  # blocks, documents, bytes of the document part
@@ -41,84 +45,148 @@ DOCS = "doc_id long, in_file long, n_tokens long, ids_crc32 long, base long"
 
 
 class Mixer:
-    """The model of many blocks at once; encoder and decoder keep equal copies. `decodes`: also keep the way back
-    from a cumulative count to its symbol."""
+    """The model of many blocks at once; encoder and decoder keep equal copies. `decodes`: also keep what followed each
+    context, and the way back from a cumulative count to its symbol.
+
+    Symbols count from 1 here, 0 is none. Rows of two are the order-2 and the order-1 context. What a context predicts is
+    one number: 8 * (the symbol that last followed) + (1 + the length of its run), or 0."""
 
     def __init__(self, sizes: np.ndarray, decodes: bool = False):
-        n, d = len(sizes), int(sizes.max())
-        self.lane, self.width, self.decodes = np.arange(n), d + 1, decodes
-        self.row, self.lane4, self.lane_slots = self.lane * self.width, self.lane * 4, self.lane * SLOTS
-        self.counts = (np.arange(d + 1)[None, :] < sizes[:, None]).astype(np.int32)
-        self.cum = np.zeros((n, d + 1), np.int32)
-        self.fresh = np.zeros((n, d + 1), np.int32)
-        self.last1, self.run1 = np.full(n * self.width, -1, np.int32), np.zeros(n * self.width, np.int8)
-        self.last2, self.run2 = np.full(n * SLOTS, -1, np.int32), np.zeros(n * SLOTS, np.int8)
-        self.hit1 = np.tile(np.array([2000, 8000, 14000, 20000], np.int32), n)  # of 32768
-        self.hit2 = np.tile(np.array([4000, 12000, 18000, 24000], np.int32), n)
-        self.s1, self.s2 = np.full(n, d), np.zeros(n, np.int64)  # before the first id: the spare column
-        self.steps, self.next_sum = 0, 16
+        n, lane = len(sizes), np.arange(len(sizes))
+        self.sizes, self.first, self.decodes = sizes, np.cumsum(sizes) - sizes - 1, decodes
+        self.counts = np.ones(int(sizes.sum()), np.int32)
+        self.hit = np.tile(np.array([0, 4000, 12000, 18000, 24000, 0, 2000, 8000, 14000, 20000], np.int32), n)  # of 32768
+        self.hits = np.stack([lane * 10, lane * 10 + 5])
+        if decodes:
+            self.table = np.zeros(n * SLOTS + n + len(self.counts), np.int16)
+            self.rows = np.stack([lane * SLOTS, n * SLOTS + self.first + 1 + lane])
+            self.s1, self.s2 = np.zeros(n, np.int16), np.zeros(n, np.int16)
+        self.steps, self.summed, self.next_sum = 0, 0, 16
         self._sum()
 
     def _sum(self) -> None:
-        np.cumsum(self.counts[:, :-1], 1, dtype=np.int32, out=self.cum[:, 1:])
-        self.flat = self.cum.ravel()
-        self.total = self.cum[:, -1].copy()
+        """Shares of SHARES by the counts: start and size in one number."""
+        end = np.cumsum(self.counts, dtype=np.int32)
+        last = self.first + self.sizes
+        self.total = np.diff(end[last], prepend=np.int32(0))
+        before = end - self.counts - np.repeat(end[last] - self.total, self.sizes)
+        start = (before * float(SHARES) / np.repeat(self.total.astype(float), self.sizes)).astype(np.int32)
+        size = np.diff(start, append=np.int32(0))
+        size[last] = SHARES - start[last]
+        self.share = (start << 16) | size
         if self.decodes:
-            symbols = np.broadcast_to(np.arange(self.width, dtype=np.int32), self.counts.shape)
-            self.back = np.repeat(symbols.ravel(), self.counts.ravel())
-            self.back_at = np.cumsum(self.total, dtype=np.int64) - self.total
+            begins = np.zeros(int(end[-1]), np.int8)
+            begins[end - self.counts] = 1
+            self.back = np.cumsum(begins, dtype=np.int16)  # numbers all blocks' symbols, in 16 bits
+            self.back_at, self.back_first = end[last] - self.total.astype(np.int64), (self.first + 1).astype(np.int16)
 
     def shrink(self, n: int) -> None:
         """Only the first n blocks go on."""
-        for name in ("lane", "row", "lane4", "lane_slots", "counts", "cum", "total", "fresh", "s1", "s2"):
-            setattr(self, name, getattr(self, name)[:n])
-        if self.decodes:
-            self.back_at = self.back_at[:n]
-
-    def predict(self) -> None:
-        self.at1 = self.row + self.s1
-        self.at2 = self.lane_slots + ((self.s1 * 0x9E37 + self.s2 * 0x85EB >> 3) & (SLOTS - 1))
-        self.q1, self.q2 = self.last1.take(self.at1), self.last2.take(self.at2)
-        self.k1, self.k2 = self.lane4 + self.run1.take(self.at1), self.lane4 + self.run2.take(self.at2)
-        self.m2 = (self.hit2.take(self.k2) * 57344 >> 15) * (self.q2 >= 0)
-        self.m1 = (self.hit1.take(self.k1) * (57344 - self.m2) >> 15) * ((self.q1 >= 0) & (self.q1 != self.q2))
-        self.rest = 65536 - self.m1 - self.m2
+        self.counts = self.counts[: self.first[n] + 1]
+        for name in ("sizes", "first", "hits", "total", *(("rows", "s1", "s2", "back_at", "back_first") if self.decodes else ())):
+            setattr(self, name, getattr(self, name)[..., :n])
+
+    def recall(self) -> np.ndarray:
+        """What the contexts predict."""
+        self.at = self.rows + self.s1
+        self.at[0] = self.rows[0] + slots(self.s1, self.s2)
+        return self.table[self.at]
+
+    def weigh(self, found: np.ndarray) -> None:
+        """The parts of 65536 that the order-2, the order-1 prediction and the counts get."""
+        self.q, self.run = found >> 3, found & 7
+        self.k = self.hits + self.run
+        self.p = self.hit[self.k]  # 0 where nothing is predicted
+        self.m2 = self.p[0] * 57344 >> 15
+        self.m1 = (self.p[1] * (57344 - self.m2) >> 15) * (self.q[1] != self.q[0])
+        self.m = self.m1 + self.m2
+        self.rest = 65536 - self.m
+
+    def counted(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the symbols' shares in the part of the counts."""
+        share = self.share[self.first + s]
+        start = share >> 16
+        low = self.rest * start >> SHARE_BITS
+        return low + self.m, (self.rest * (start + (share & 0xFFFF)) >> SHARE_BITS) - low
 
     def span(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the symbols' shares of 65536."""
-        at = self.row + s
-        low = self.rest * self.flat.take(at) // self.total
-        high = self.rest * self.flat.take(at + 1) // self.total
-        start = low + self.m2 * (self.q2 < s) + self.m1 * (self.q1 < s)
-        return start, high - low + self.m2 * (self.q2 == s) + self.m1 * (self.q1 == s)
+        """Start and size of the largest of the symbols' shares of 65536."""
+        start, size = self.counted(s)
+        by1 = self.m1 * (self.q[1] == s)
+        by = self.m2 * (self.q[0] == s) + by1  # equal predictions have no m1
+        larger = by > size
+        start += (self.m2 * (by1 > 0) - start) * larger
+        return start, np.maximum(size, by)
 
     def find(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The symbols whose shares hold t, and the shares."""
-        g2, g1 = np.maximum(self.q2, 0), np.maximum(self.q1, 0)
-        a2, f2 = self.span(g2)
-        a1, f1 = self.span(g1)
-        past2, past1 = t >= a2 + f2, t >= a1 + f1
-        plain = np.maximum(t - self.m2 * past2 - self.m1 * past1, 0)
-        count = np.minimum(((plain + 1) * self.total - 1) // self.rest, self.total - 1)
-        s = self.back.take(self.back_at + count)
-        s = np.where((a1 <= t) & ~past1, g1, s)
-        s = np.where((a2 <= t) & ~past2, g2, s)
-        return s, *self.span(s)
-
-    def learn(self, s: np.ndarray) -> None:
-        for q, k, at, last, run, hit in ((self.q2, self.k2, self.at2, self.last2, self.run2, self.hit2), (self.q1, self.k1, self.at1, self.last1, self.run1, self.hit1)):
-            right, p = q == s, hit.take(k)
-            hit[k] = p + ((right * 32767 - p >> 5) * (q >= 0))
-            run[at] = np.minimum((k & 3) + 1, 3) * right
-            last[at] = s
-        self.fresh.reshape(-1)[self.row + s] += 1
-        self.s2, self.s1 = self.s1, s.astype(np.int64)
+        share = ((np.maximum(t - self.m, 0) + 1.0) * SHARES - 1) / self.rest
+        count = np.minimum(((share.astype(np.int32) + 1) * self.total - 1) >> SHARE_BITS, self.total - 1)
+        s = self.back[self.back_at + count] - self.back_first
+        start, size = self.counted(s)
+        is1, is2 = t < self.m, t < self.m2
+        for yes, symbol, begin, part in ((is1, self.q[1], self.m2, self.m1), (is2, self.q[0], 0, self.m2)):
+            s += (symbol - s) * yes
+            start += (begin - start) * yes
+            size += (part - size) * yes
+        return s, start, size
+
+    def learn(self, s: np.ndarray, coded: np.ndarray) -> None:
+        """`coded`: the symbols of all steps up to this one, a row a step."""
+        right = self.q == s
+        self.hit[self.k] = self.p + (right * np.int32(32767) - self.p >> 5)
+        if self.decodes:
+            self.table[self.at] = s * np.int16(8) + np.int16(1) + np.minimum(self.run, 3) * right
+            self.s2, self.s1 = self.s1, s
         self.steps += 1
         if self.steps == self.next_sum:
-            self.counts += self.fresh
-            self.fresh[:] = 0
+            self.counts += np.bincount((coded[self.summed : self.steps, : len(s)] + self.first).ravel(), minlength=len(self.counts)).astype(np.int32)
             self._sum()
-            self.next_sum = self.steps + min(self.steps, 128)
+            self.summed, self.next_sum = self.steps, self.steps + min(self.steps, 128)
+
+
+def slots(s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """The order-2 contexts' places: s2 is the symbol before s1."""
+    return ((s1 * np.int32(0x9E37) + s2 * np.int32(0x85EB)) >> 3) & (SLOTS - 1)
+
+
+def predictions(symbols: np.ndarray) -> np.ndarray:
+    """What the contexts of all steps predict, as `Mixer.recall` gives it: (block, 2, step). `symbols`: a row a block.
+
+    The encoder knows all symbols, so it sorts the steps by context: what a context last saw stands just before."""
+    out = np.zeros((len(symbols), 2, BLOCK), np.int16)
+    for k in range(0, len(symbols), 64):
+        s = symbols[k : k + 64]
+        s1, s2 = np.zeros_like(s), np.zeros_like(s)
+        s1[:, 1:], s2[:, 2:] = s[:, :-1], s[:, :-2]
+        rows = np.arange(0, s.size, BLOCK)[:, None]
+        for order, context in enumerate((slots(s1, s2).astype(np.int16), s1)):
+            at = np.argsort(context, axis=1, kind="stable") + rows
+            seen, known = s.ravel()[at], context.ravel()[at]
+            same = known[:, 1:] == known[:, :-1]
+            right = np.zeros((len(s), BLOCK + 2), np.int16)  # two columns before the first
+            right[:, 3:] = same & (seen[:, 1:] == seen[:, :-1])
+            entry = seen * np.int16(8) + np.int16(1) + right[:, 2:] * (1 + right[:, 1:-1] * (1 + right[:, :-2]))
+            found = np.zeros_like(s)
+            found.ravel()[at[:, 1:]] = entry[:, :-1] * same
+            out[k : k + 64, order] = found
+    return out
+
+
+def alphabets_of(parts: list[np.ndarray], out: np.ndarray) -> list[np.ndarray]:
+    """Each part's sorted distinct ids; `out` gets the ids' places there, counted from 1, a row a part."""
+    alphabets, most = [], max(int(part.max()) for part in parts)
+    place = np.zeros(most + 1, np.int16) if most < 1 << 20 else None
+    for i, part in enumerate(parts):
+        ids = np.sort(part)
+        alphabet = ids[np.flatnonzero(ids != np.roll(ids, 1))] if ids[0] != ids[-1] else ids[:1]
+        if place is None:
+            out[i, : len(part)] = np.searchsorted(alphabet, part) + 1
+        else:
+            place[alphabet] = np.arange(1, len(alphabet) + 1)
+            out[i, : len(part)] = place[part]
+        alphabets.append(alphabet)
+    return alphabets
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -126,38 +194,39 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     if not len(ids):
         return []
     parts = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
-    alphabets, symbols = [], np.zeros((len(parts), BLOCK), np.int32)
-    for i, part in enumerate(parts):
-        alphabet, symbols[i, : len(part)] = np.unique(part, return_inverse=True)
-        alphabets.append(alphabet)
+    symbols = np.zeros((len(parts), BLOCK), np.int16)
+    alphabets = alphabets_of(parts, symbols)
+    found = np.ascontiguousarray(predictions(symbols).transpose(2, 1, 0))
     symbols = np.ascontiguousarray(symbols.T)
     mixer = Mixer(np.array([len(a) for a in alphabets]))
-    n = len(parts)
-    words = np.zeros((BLOCK + 4, n), np.int32)
-    used = np.zeros(n, np.int64)
-    low, width, lane = np.zeros(n, np.int64), np.full(n, 1 << 48, np.int64), np.arange(n)
-    end_low, tail = low, len(parts[-1])
+    n = every = len(parts)
+    words = np.zeros((BLOCK + 4, every), np.int32)
+    flat, at = words.ravel(), np.arange(every)
+    low, width = np.zeros(n, np.int64), np.full(n, 1 << 48, np.int64)
+    end_low, end_at, tail = low, at, len(parts[-1])
     for step in range(len(parts[0])):
-        if step == tail and n == len(parts) and len(parts) > 1:  # the last block has ended
-            end_low, n = low, n - 1
-            low, width, lane = low[:n], width[:n], lane[:n]
+        if step == tail and n == every and n > 1:  # the last block has ended
+            end_low, end_at, n = low, at, n - 1
+            low, width, at = low[:n], width[:n], at[:n]
             mixer.shrink(n)
         s = symbols[step, :n]
-        mixer.predict()
+        mixer.weigh(found[step, :, :n])
         start, size = mixer.span(s)
         unit = width >> 16
         low, width = low + unit * start, unit * size
-        out = np.flatnonzero(width < 1 << 32)
-        words[used[out], out] = low[out] >> 32
-        used[out] += 1
-        low[out] = (low[out] & 0xFFFFFFFF) << 16
-        width[out] <<= 16
-        mixer.learn(s)
-    final = low if n == len(parts) else np.append(low, end_low[-1])
-    every = np.arange(len(parts))
+        top = low >> 32
+        flat[at] = top  # written over by the next unless it is out
+        out = (width < 1 << 32).astype(np.int64)
+        bits = out << 4
+        at = at + out * every
+        low = low - (top * out << 32) << bits
+        width = width << bits
+        mixer.learn(s, symbols)
+    final, at = (low, at) if n == every else (np.append(low, end_low[-1]), np.append(at, end_at[-1]))
     for shift in (32, 16, 0):
-        words[used, every] = final >> shift if shift == 32 else (final >> shift) & 0xFFFF
-        used += 1
+        flat[at] = final >> shift if shift == 32 else (final >> shift) & 0xFFFF
+        at = at + every
+    used = at // every
     for k in range(len(words) - 1, 0, -1):  # settle the carries
         words[k - 1] += words[k] >> 16
         words[k] &= 0xFFFF
@@ -165,21 +234,24 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     blocks = []
     for i, (part, alphabet) in enumerate(zip(parts, alphabets)):
         names = pack_alphabet(alphabet)
-        head = HEAD.pack(len(part), len(alphabet), len(names), int(used[i]), zlib.crc32(part.astype("<u4").tobytes()))
+        head = HEAD.pack(len(part), len(alphabet), len(names), int(used[i]), zlib.crc32(part.astype("<u4", copy=False)))
         blocks.append(head + names + words[i, : used[i]].tobytes())
     return blocks
 
 
 def pack_alphabet(alphabet: np.ndarray) -> bytes:
-    """Gaps between sorted ids: one byte each, or 255 and four bytes in a list after them."""
-    gaps = np.diff(alphabet.astype(np.int64), prepend=-1) - 1
-    return np.minimum(gaps, 255).astype(np.uint8).tobytes() + gaps[gaps >= 255].astype("<u4").tobytes()
+    """Gaps between sorted ids: one byte each, or 255 and two bytes in a list after them, four if two don't hold them all."""
+    gaps = alphabet.astype("<u4")
+    gaps[1:] -= alphabet[:-1] + 1
+    wide = gaps[gaps >= 255]
+    return np.minimum(gaps, 255).astype(np.uint8).tobytes() + wide.astype("<u2" if len(wide) and wide.max() < 1 << 16 else "<u4").tobytes()
 
 
 def unpack_alphabet(raw: bytes, size: int) -> np.ndarray:
     gaps = np.frombuffer(raw, np.uint8, size).astype(np.int64)
-    gaps[gaps == 255] = np.frombuffer(raw, "<u4", offset=size)
-    return np.cumsum(gaps + 1) - 1
+    wide = gaps == 255
+    gaps[wide] = np.frombuffer(raw, "<u4" if len(raw) - size == 4 * np.count_nonzero(wide) else "<u2", offset=size)
+    return (np.cumsum(gaps + 1) - 1).astype(np.uint32)
 
 
 def decode_blocks(blocks: list[bytes]) -> np.ndarray:
@@ -189,34 +261,38 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     heads = [HEAD.unpack_from(b) for b in blocks]
     alphabets = [unpack_alphabet(b[HEAD.size : HEAD.size + h[2]], h[1]) for b, h in zip(blocks, heads)]
     most, n = max(h[3] for h in heads) + 1, len(blocks)
-    words = np.zeros((n, most), np.int64)
+    every = n
+    words = np.zeros((n, most), np.uint16)
     for i, (b, h) in enumerate(zip(blocks, heads)):
         words[i, : h[3]] = np.frombuffer(b, "<u2", h[3], HEAD.size + h[2])
-    flat, at = words.ravel(), np.arange(n) * most + 3
-    code = (words[:, 0] << 32) + (words[:, 1] << 16) + words[:, 2]
+    words = np.ascontiguousarray(words.T)
+    flat, at = words.ravel(), np.arange(n) + 3 * n
+    code = (words[0].astype(np.int64) << 32) + (words[1].astype(np.int64) << 16) + words[2]
     width = np.full(n, 1 << 48, np.int64)
     mixer = Mixer(np.array([len(a) for a in alphabets]), decodes=True)
-    symbols = np.zeros((heads[0][0], n), np.int32)
+    symbols = np.zeros((heads[0][0], n), np.int16)
     for step in range(heads[0][0]):
         if step == heads[-1][0] and n > 1 and n == len(blocks):
             n -= 1
             code, width, at = code[:n], width[:n], at[:n]
             mixer.shrink(n)
-        mixer.predict()
+        mixer.weigh(mixer.recall())
         unit = width >> 16
-        s, start, size = mixer.find(np.minimum(code // unit, 65535).astype(np.int32))
+        s, start, size = mixer.find(np.minimum(code / unit, 65535).astype(np.int32))  # both below 2**53: exact
         code, width = code - unit * start, unit * size
-        more = np.flatnonzero(width < 1 << 32)
-        code[more] = (code[more] << 16) | flat[at[more]]
-        width[more] <<= 16
-        at[more] += 1
-        mixer.learn(s)
+        more = (width < 1 << 32).astype(np.int64)
+        bits = more << 4
+        code = (code << bits) + flat[at] * more
+        width = width << bits
+        at = at + more * every
         symbols[step, :n] = s
-    out = [alphabet[symbols[: h[0], i]] for i, (alphabet, h) in enumerate(zip(alphabets, heads))]
+        mixer.learn(s, symbols)
+    symbols = np.ascontiguousarray(symbols.T) - 1
+    out = [alphabet[symbols[i, : h[0]]] for i, (alphabet, h) in enumerate(zip(alphabets, heads))]
     for i, h in enumerate(heads):
-        if zlib.crc32(out[i].astype("<u4").tobytes()) != h[4]:
+        if zlib.crc32(out[i].astype("<u4", copy=False)) != h[4]:
             raise ValueError("a block's checksum differs")
-    return np.concatenate(out).astype(np.uint32)
+    return np.concatenate(out)
 
 
 class FileWriter:
@@ -293,8 +369,8 @@ def write_files(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Dat
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out = library_encoder(path), None
-        for batch in runs(batches, "t", 1 << 20, "tokens"):
+        encoder, out = library_encoder(path, WORDS), None
+        for batch in runs(batches, "t", 1 << 22, "tokens"):
             ids = encoder.encode([t or "" for t in batch.column("t").to_pylist()])
             for doc_id, h, raw in zip(batch.column("i").to_pylist(), batch.column("h").to_pylist(), ids):
                 out = out or FileWriter(folder, doc_id, h)
@@ -318,7 +394,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
                 for doc_id, parts in read_file(uri):
                     crc = 0
                     for part in parts:
-                        crc = zlib.crc32(part.astype("<u4").tobytes(), crc)
+                        crc = zlib.crc32(part.astype("<u4", copy=False), crc)
                     n = sum(map(len, parts))
                     rows.append((doc_id, start, n, crc, base))
                     start += n

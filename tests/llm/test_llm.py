@@ -69,6 +69,26 @@ def test_range_coder_round_trip_and_checksum():
         range_coder.decode_blocks([bytes(bad)])
 
 
+def test_range_coder_finds_predictions_for_all_steps_at_once():
+    rng = np.random.default_rng(1)
+    symbols = rng.integers(1, 8, (70, range_coder.BLOCK)).astype(np.int16)
+    mixer = range_coder.Mixer(np.full(70, 7), decodes=True)
+    found = range_coder.predictions(symbols)
+    for step, s in enumerate(np.ascontiguousarray(symbols.T)):
+        got = mixer.recall()
+        assert (found[:, :, step].T == got).all()
+        mixer.weigh(got)
+        start, size = mixer.span(s)
+        assert (size > 0).all() and (mixer.find(start)[0] == s).all() and (mixer.find(start + size - 1)[0] == s).all()
+        mixer.learn(s, symbols.T)
+
+
+def test_range_coder_alphabet_takes_two_bytes_a_wide_gap():
+    for ids, length in (([5, 6, 1000, 49_000], 4 + 2 * 2), ([0, 70_000], 2 + 4), ([3], 1), ([300], 3), ([2**31 - 2], 5)):
+        raw = range_coder.pack_alphabet(np.array(ids, np.uint32))
+        assert len(raw) == length and range_coder.unpack_alphabet(raw, len(ids)).tolist() == ids
+
+
 def test_token_files(odd, empty):
     got = {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in range_coder.op4_range_coder(odd, default_tokenizer()).collect()}
     rows = sorted(ODD, key=lambda x: (x[0] is not None, x[0] or 0))

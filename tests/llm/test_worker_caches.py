@@ -1,5 +1,6 @@
 """What a Python worker keeps from one operator is gone once it serves another, so that an executor's memory doesn't add up."""
 
+import numpy as np
 import pyarrow as pa
 
 from paymart.llm import common, prob_minhash, suffix_dedup, token_cache
@@ -34,3 +35,15 @@ def test_words_are_bounded():
     for k in range(5):
         prob_minhash.shingles(" ".join(f"word{k}_{i}" for i in range(60_000)))
     assert len(prob_minhash._WORD_HASHES) <= 260_000
+
+
+def test_words_are_encoded_once_whatever_their_case_and_marks():
+    encoder = token_cache.LibraryEncoder(token_cache.default_tokenizer())
+    given = []
+    words = encoder._words
+    encoder._words = lambda items: (given.extend(items), words(items))[1]
+    text = "Éa Word, word WORD! (word) word.\nsecond été ÉTÉ... été; éa"
+    want = np.array(encoder.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.encode([text, "", "word second;"])[0] == want
+    assert sorted(given) == ["second", "word", "éa", "été"]
+    assert encoder.encode([text]) == [want] and len(given) == 4
