@@ -43,7 +43,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int =
         encoder = library_encoder(path)
         for batch in runs(batches, "t", 1 << 20, "tokens"):
             rows = []
-            ids = encoder.encode([t or "" for t in batch.column("t").to_pylist()])
+            ids = encoder.encode(batch.column("t"))
             for doc_id, raw in zip(batch.column("i").to_pylist(), ids):
                 raw += end
                 for k in range(0, len(raw), 4 * capacity):

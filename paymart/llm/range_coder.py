@@ -32,7 +32,7 @@ from paymart.llm.common import cut, runs, shared_folder, workers_can_import
 from paymart.llm.token_cache import library_encoder
 from paymart.llm.warc_zip import open_store
 
-BLOCK, LANES = 2048, 2048
+BLOCK, LANES = 2048, 4096
 SLOTS = 2048  # order-2 contexts of a block, hashed
 SHARE_BITS = 14  # every id has at least 1 of 2 * BLOCK counts, so 4 of these shares, and 2 of 65536 in the least mixture
 SHARES = 1 << SHARE_BITS
@@ -124,11 +124,9 @@ class Mixer:
         count = np.minimum(((share.astype(np.int32) + 1) * self.total - 1) >> SHARE_BITS, self.total - 1)
         s = self.back[self.back_at + count] - self.back_first
         start, size = self.counted(s)
-        is1, is2 = t < self.m, t < self.m2
-        for yes, symbol, begin, part in ((is1, self.q[1], self.m2, self.m1), (is2, self.q[0], 0, self.m2)):
-            s += (symbol - s) * yes
-            start += (begin - start) * yes
-            size += (part - size) * yes
+        for symbols, begin, part, at in ((self.q[1], self.m2, self.m1, np.flatnonzero(t < self.m)), (self.q[0], None, self.m2, np.flatnonzero(t < self.m2))):
+            s[at], size[at] = symbols[at], part[at]
+            start[at] = 0 if begin is None else begin[at]
         return s, start, size
 
     def learn(self, s: np.ndarray, coded: np.ndarray) -> None:
@@ -139,10 +137,10 @@ class Mixer:
             self.table[self.at] = s * np.int16(8) + np.int16(1) + np.minimum(self.run, 3) * right
             self.s2, self.s1 = self.s1, s
         self.steps += 1
-        if self.steps == self.next_sum:
+        if self.steps == self.next_sum < len(coded):
             self.counts += np.bincount((coded[self.summed : self.steps, : len(s)] + self.first).ravel(), minlength=len(self.counts)).astype(np.int32)
             self._sum()
-            self.summed, self.next_sum = self.steps, self.steps + min(self.steps, 128)
+            self.summed, self.next_sum = self.steps, self.steps + min(self.steps, 256)
 
 
 def slots(s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
@@ -151,10 +149,10 @@ def slots(s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
 
 
 def predictions(symbols: np.ndarray) -> np.ndarray:
-    """What the contexts of all steps predict, as `Mixer.recall` gives it: (block, 2, step). `symbols`: a row a block.
+    """What the contexts of all steps predict, as `Mixer.recall` gives it: (step, 2, block). `symbols`: a row a block.
 
     The encoder knows all symbols, so it sorts the steps by context: what a context last saw stands just before."""
-    out = np.zeros((len(symbols), 2, BLOCK), np.int16)
+    out = np.zeros((BLOCK, 2, len(symbols)), np.int16)
     for k in range(0, len(symbols), 64):
         s = symbols[k : k + 64]
         s1, s2 = np.zeros_like(s), np.zeros_like(s)
@@ -169,17 +167,18 @@ def predictions(symbols: np.ndarray) -> np.ndarray:
             entry = seen * np.int16(8) + np.int16(1) + right[:, 2:] * (1 + right[:, 1:-1] * (1 + right[:, :-2]))
             found = np.zeros_like(s)
             found.ravel()[at[:, 1:]] = entry[:, :-1] * same
-            out[k : k + 64, order] = found
+            out[:, order, k : k + 64] = found.T
     return out
 
 
 def alphabets_of(parts: list[np.ndarray], out: np.ndarray) -> list[np.ndarray]:
     """Each part's sorted distinct ids; `out` gets the ids' places there, counted from 1, a row a part."""
     alphabets, most = [], max(int(part.max()) for part in parts)
-    place = np.zeros(most + 1, np.int16) if most < 1 << 20 else None
+    place, new = np.zeros(most + 1, np.int16) if most < 1 << 20 else None, np.ones(BLOCK, bool)
     for i, part in enumerate(parts):
         ids = np.sort(part)
-        alphabet = ids[np.flatnonzero(ids != np.roll(ids, 1))] if ids[0] != ids[-1] else ids[:1]
+        new[1 : len(ids)] = ids[1:] != ids[:-1]
+        alphabet = ids[new[: len(ids)]]
         if place is None:
             out[i, : len(part)] = np.searchsorted(alphabet, part) + 1
         else:
@@ -196,12 +195,13 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     parts = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
     symbols = np.zeros((len(parts), BLOCK), np.int16)
     alphabets = alphabets_of(parts, symbols)
-    found = np.ascontiguousarray(predictions(symbols).transpose(2, 1, 0))
+    found = predictions(symbols)
     symbols = np.ascontiguousarray(symbols.T)
     mixer = Mixer(np.array([len(a) for a in alphabets]))
     n = every = len(parts)
-    words = np.zeros((BLOCK + 4, every), np.int32)
-    flat, at = words.ravel(), np.arange(every)
+    words = np.zeros((every, BLOCK + 4), np.int32)
+    flat, begins = words.ravel(), np.arange(every) * (BLOCK + 4)
+    at = begins
     low, width = np.zeros(n, np.int64), np.full(n, 1 << 48, np.int64)
     end_low, end_at, tail = low, at, len(parts[-1])
     for step in range(len(parts[0])):
@@ -218,19 +218,20 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         flat[at] = top  # written over by the next unless it is out
         out = (width < 1 << 32).astype(np.int64)
         bits = out << 4
-        at = at + out * every
+        at = at + out
         low = low - (top * out << 32) << bits
         width = width << bits
         mixer.learn(s, symbols)
     final, at = (low, at) if n == every else (np.append(low, end_low[-1]), np.append(at, end_at[-1]))
     for shift in (32, 16, 0):
         flat[at] = final >> shift if shift == 32 else (final >> shift) & 0xFFFF
-        at = at + every
-    used = at // every
-    for k in range(len(words) - 1, 0, -1):  # settle the carries
-        words[k - 1] += words[k] >> 16
-        words[k] &= 0xFFFF
-    words = np.ascontiguousarray(words.T.astype("<u2"))
+        at = at + 1
+    used = at - begins
+    while len(over := np.flatnonzero(flat >> 16)):  # settle the carries; a block's first word has none
+        flat[over - 1] += flat[over] >> 16
+        flat[over] &= 0xFFFF
+    del found, symbols
+    words = words.astype("<u2")
     blocks = []
     for i, (part, alphabet) in enumerate(zip(parts, alphabets)):
         names = pack_alphabet(alphabet)
@@ -261,20 +262,18 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     heads = [HEAD.unpack_from(b) for b in blocks]
     alphabets = [unpack_alphabet(b[HEAD.size : HEAD.size + h[2]], h[1]) for b, h in zip(blocks, heads)]
     most, n = max(h[3] for h in heads) + 1, len(blocks)
-    every = n
     words = np.zeros((n, most), np.uint16)
     for i, (b, h) in enumerate(zip(blocks, heads)):
         words[i, : h[3]] = np.frombuffer(b, "<u2", h[3], HEAD.size + h[2])
-    words = np.ascontiguousarray(words.T)
-    flat, at = words.ravel(), np.arange(n) + 3 * n
-    code = (words[0].astype(np.int64) << 32) + (words[1].astype(np.int64) << 16) + words[2]
+    flat, at = words.ravel(), np.arange(n) * most + 3
+    code = (words[:, 0].astype(np.int64) << 32) + (words[:, 1].astype(np.int64) << 16) + words[:, 2]
     width = np.full(n, 1 << 48, np.int64)
     mixer = Mixer(np.array([len(a) for a in alphabets]), decodes=True)
-    symbols = np.zeros((heads[0][0], n), np.int16)
+    symbols, left = np.zeros((heads[0][0], n), np.int16), code[:0]
     for step in range(heads[0][0]):
         if step == heads[-1][0] and n > 1 and n == len(blocks):
             n -= 1
-            code, width, at = code[:n], width[:n], at[:n]
+            left, code, width, at = code[n:], code[:n], width[:n], at[:n]
             mixer.shrink(n)
         mixer.weigh(mixer.recall())
         unit = width >> 16
@@ -284,9 +283,11 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
         bits = more << 4
         code = (code << bits) + flat[at] * more
         width = width << bits
-        at = at + more * every
+        at = at + more
         symbols[step, :n] = s
         mixer.learn(s, symbols)
+    if code.any() or left.any():  # the encoder ends on the start of the last share
+        raise ValueError("a block's words differ")
     symbols = np.ascontiguousarray(symbols.T) - 1
     out = [alphabet[symbols[i, : h[0]]] for i, (alphabet, h) in enumerate(zip(alphabets, heads))]
     for i, h in enumerate(heads):
@@ -371,7 +372,7 @@ def write_files(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out = library_encoder(path, WORDS), None
         for batch in runs(batches, "t", 1 << 22, "tokens"):
-            ids = encoder.encode([t or "" for t in batch.column("t").to_pylist()])
+            ids = encoder.encode(batch.column("t"))
             for doc_id, h, raw in zip(batch.column("i").to_pylist(), batch.column("h").to_pylist(), ids):
                 out = out or FileWriter(folder, doc_id, h)
                 out.add(doc_id, raw + end)

@@ -109,9 +109,8 @@ class LibraryEncoder:
     def _numbers(self, items: pa.Array, fill) -> np.ndarray:
         """Number of each of these distinct stretches; `fill` makes the missing ones known."""
         names = items.to_numpy(zero_copy_only=False).tolist()
-        get = self.cache.get
-        numbers = [get(name, -1) for name in names]
-        if missing := [name for name, k in zip(names, numbers) if k < 0]:
+        numbers = list(map(self.cache.get, names))
+        if missing := [name for name, k in zip(names, numbers) if k is None]:
             fill(missing)
             numbers = list(map(self.cache.__getitem__, names))
         return np.array(numbers, np.int64)
@@ -135,16 +134,16 @@ class LibraryEncoder:
         sizes = sizes.sum(1)
         return ids, np.cumsum(sizes) - sizes, sizes
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        rows = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; null: none."""
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        rows = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
         found = rows.values.dictionary_encode()
         ids, start, size = self._stretches(found.dictionary)
         at = found.indices.to_numpy()
         sizes = size[at]
         raw = gather(ids, start[at], sizes).astype("<u4", copy=False).tobytes()
-        ends = np.append(0, np.cumsum(sizes))[rows.offsets.to_numpy()] * 4
-        ends = ends.tolist()
+        ends = (np.append(0, np.cumsum(sizes))[rows.offsets.to_numpy()] * 4).tolist()
         return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
