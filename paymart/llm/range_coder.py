@@ -88,8 +88,9 @@ class Mixer:
 
     def recall(self) -> np.ndarray:
         """What the contexts predict."""
-        self.at = self.rows + self.s1
-        self.at[0] = self.rows[0] + slots(self.s1, self.s2)
+        self.at = np.empty_like(self.rows)
+        np.add(self.rows[0], slots(self.s1, self.s2), out=self.at[0])
+        np.add(self.rows[1], self.s1, out=self.at[1])
         return self.table[self.at]
 
     def weigh(self, found: np.ndarray) -> None:
@@ -120,13 +121,15 @@ class Mixer:
 
     def find(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The symbols whose shares hold t, and the shares."""
-        share = ((np.maximum(t - self.m, 0) + 1.0) * SHARES - 1) / self.rest
+        share = ((np.maximum(t - self.m, 0) << SHARE_BITS) + (SHARES - 1)) / self.rest
         count = np.minimum(((share.astype(np.int32) + 1) * self.total - 1) >> SHARE_BITS, self.total - 1)
         s = self.back[self.back_at + count] - self.back_first
         start, size = self.counted(s)
-        for symbols, begin, part, at in ((self.q[1], self.m2, self.m1, np.flatnonzero(t < self.m)), (self.q[0], None, self.m2, np.flatnonzero(t < self.m2))):
-            s[at], size[at] = symbols[at], part[at]
-            start[at] = 0 if begin is None else begin[at]
+        is1, is2 = t < self.m, t < self.m2
+        by1 = is1 > is2
+        s += (self.q[1] - s) * by1 + (self.q[0] - s) * is2
+        start += self.m2 * by1 - start * is1
+        size += (self.m1 - size) * by1 + (self.m2 - size) * is2
         return s, start, size
 
     def learn(self, s: np.ndarray, coded: np.ndarray) -> None:
@@ -140,7 +143,7 @@ class Mixer:
         if self.steps == self.next_sum < len(coded):
             self.counts += np.bincount((coded[self.summed : self.steps, : len(s)] + self.first).ravel(), minlength=len(self.counts)).astype(np.int32)
             self._sum()
-            self.summed, self.next_sum = self.steps, self.steps + min(self.steps, 256)
+            self.summed, self.next_sum = self.steps, self.steps + min(self.steps, 512)
 
 
 def slots(s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
@@ -171,9 +174,9 @@ def predictions(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def alphabets_of(parts: list[np.ndarray], out: np.ndarray) -> list[np.ndarray]:
-    """Each part's sorted distinct ids; `out` gets the ids' places there, counted from 1, a row a part."""
-    alphabets, most = [], max(int(part.max()) for part in parts)
+def alphabets_of(parts: list[np.ndarray], most: int, out: np.ndarray) -> list[np.ndarray]:
+    """Each part's sorted distinct ids, `most` at most; `out` gets the ids' places there, counted from 1, a row a part."""
+    alphabets = []
     place, new = np.zeros(most + 1, np.int16) if most < 1 << 20 else None, np.ones(BLOCK, bool)
     for i, part in enumerate(parts):
         ids = np.sort(part)
@@ -194,7 +197,7 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         return []
     parts = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
     symbols = np.zeros((len(parts), BLOCK), np.int16)
-    alphabets = alphabets_of(parts, symbols)
+    alphabets = alphabets_of(parts, int(ids.max()), symbols)
     found = predictions(symbols)
     symbols = np.ascontiguousarray(symbols.T)
     mixer = Mixer(np.array([len(a) for a in alphabets]))

@@ -69,6 +69,15 @@ def test_range_coder_round_trip_and_checksum():
         range_coder.decode_blocks([bytes(bad)])
 
 
+def test_range_coder_finds_every_changed_bit_of_a_blocks_last_words():
+    block = range_coder.encode_blocks(np.array([3, 1, 2, 3, 1, 2, 2], np.uint32))[0]
+    for bit in range(48):
+        bad = bytearray(block)
+        bad[-1 - bit // 8] ^= 1 << bit % 8
+        with pytest.raises((ValueError, IndexError)):
+            range_coder.decode_blocks([bytes(bad)])
+
+
 def test_range_coder_finds_predictions_for_all_steps_at_once():
     rng = np.random.default_rng(1)
     symbols = rng.integers(1, 8, (70, range_coder.BLOCK)).astype(np.int16)
